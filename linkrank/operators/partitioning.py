@@ -14,16 +14,15 @@ def bucket_sizes(edges: DataFrame, buckets: int) -> DataFrame:
     ``whole_key`` hashes the page, ``first_character`` only its first
     character. Buckets without rows are not listed.
     """
-    source = F.col("source")
-    rules = F.array(
-        F.struct(F.lit("whole_key").alias("key_rule"), md5_bucket(source, buckets).alias("bucket")),
-        F.struct(
-            F.lit("first_character").alias("key_rule"),
-            first_character_bucket(source, buckets).alias("bucket"),
-        ),
+    # The buckets are columns of their own below the explode, so that each
+    # digest is computed once per row.
+    hashed = edges.select(
+        md5_bucket(F.col("source"), buckets).alias("whole_key"),
+        first_character_bucket(F.col("source"), buckets).alias("first_character"),
     )
+    rules = F.create_map(*(part for name in hashed.columns for part in (F.lit(name), F.col(name))))
     return (
-        edges.select(F.explode(rules).alias("rule"))
-        .groupBy("rule.key_rule", "rule.bucket")
+        hashed.select(F.explode(rules).alias("key_rule", "bucket"))
+        .groupBy("key_rule", "bucket")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )

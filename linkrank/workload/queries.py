@@ -31,7 +31,7 @@ from linkrank.operators import (
     top_k,
 )
 from linkrank.plans import RankSemantics, pagerank, pagerank_progress
-from linkrank.session import scratch_path
+from linkrank.session import default_width, scratch_path
 from linkrank.sinks import CSV, TEXT, URL, write_ranks
 from linkrank.sources import links_from_lines, read_ranks, read_triples_csv, read_triples_text
 from linkrank.workload.relations import (
@@ -79,7 +79,11 @@ def _pages(sql: str = ORDER_LINKS, **options) -> Query:
 
 def _saved_lines(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
     path = scratch_path(spark, "triples.nt")
-    _relation(spark, sf_dir, TRIPLE_LINES).write.text(path, compression=compression)
+    lines = _relation(spark, sf_dir, TRIPLE_LINES)
+    if lines.rdd.getNumPartitions() < default_width(spark):
+        # A table in few files would be compressed by few tasks.
+        lines = lines.repartition(default_width(spark))
+    lines.write.text(path, compression=compression)
     return path
 
 
