@@ -94,24 +94,39 @@ class LinkGraph:
             pages = pages.hint("merge")
         return self.sources.join(pages, "page", how)
 
-    def along_links(self, pages: DataFrame) -> DataFrame:
-        """Every link with the columns of the page it leaves (inner join).
+    @property
+    def keys(self) -> list[str]:
+        """What the links are partitioned by."""
+        return ["source", "salt"] if self.salted else ["source"]
+
+    def keyed(self, pages: DataFrame) -> DataFrame:
+        """``pages`` with the link keys in place of ``page`` and ``salts``.
 
         ``pages`` holds ``page`` and ``salts`` from ``sources`` and at most one
         row per page. A page whose links are spread over several salts is
-        repeated once for each of them.
+        repeated once for each of them, so no key is hot on either side.
         """
-        keys = ["source"]
         pages = pages.withColumnRenamed("page", "source")
         if self.salted:
-            keys.append("salt")
-            pages = pages.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)))
+            salt = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1))
+            pages = pages.withColumn("salt", salt)
             if self.kept:
-                pages = pages.repartition(self.width, *keys)
-        pages = pages.drop("salts")
-        if self.kept:
-            pages = pages.hint("merge")
-        return self.links.join(pages, keys).drop("salt")
+                pages = pages.repartition(self.width, *self.keys)
+        return pages.drop("salts").hint("merge") if self.kept else pages.drop("salts")
+
+    def along_links(self, pages: DataFrame) -> DataFrame:
+        """Every link with the columns of the page it leaves (inner join)."""
+        return self.links.join(self.keyed(pages), self.keys).drop("salt")
+
+    def blocks(self, pages: DataFrame) -> DataFrame:
+        """``page, block, neighbours`` and the columns of ``pages`` (inner join).
+
+        A block is the sorted set of targets under one key of the links.
+        """
+        neighbours = F.sort_array(F.collect_set("target")).alias("neighbours")
+        lists = self.links.groupBy(*self.keys).agg(neighbours).join(self.keyed(pages), self.keys)
+        lists = lists if self.salted else lists.withColumn("salt", F.lit(0).cast("bigint"))
+        return lists.withColumnsRenamed({"source": "page", "salt": "block"})
 
     def release(self) -> None:
         """Give up the stored tables."""
@@ -166,7 +181,8 @@ def prepare_graph(
 
     links, keys = pairs.select("source", "target").where("source IS NOT NULL"), ["source"]
     if salted:
-        links, keys = _salt_hot_sources(links, laid_out.where("salts > 1")), ["source", "salt"]
+        hub_limit = math.ceil(totals.links / width)
+        links, keys = _salted(links, laid_out.where("salts > 1"), hub_limit), ["source", "salt"]
     if keep:
         links = (
             links.repartition(width, *keys)
@@ -178,32 +194,46 @@ def prepare_graph(
     return LinkGraph(laid_out, links, width, salted, (sources, links) if keep else ())
 
 
-def _salt_hot_sources(links: DataFrame, hot: DataFrame) -> DataFrame:
-    hot = hot.where("page IS NOT NULL").select(F.col("page").alias("source"), "salts")
+def _salted(links: DataFrame, hot: DataFrame, hub_limit: int) -> DataFrame:
+    """``source, target, salt``: links of a hot source spread by their target.
+
+    Sources above ``hub_limit``, the mean partition size, are at most as many
+    as there are partitions, so they can always be broadcast. If the other hot
+    sources are too many for that, they are joined by shuffle; none of them
+    has more links than an average partition.
+    """
+    hot = hot.where("page IS NOT NULL").withColumnRenamed("page", "source")
     if hot.count() <= MAX_BROADCAST_ROWS:
-        hot = F.broadcast(hot)
+        known = links.join(F.broadcast(hot.select("source", "salts")), "source", "left")
+    else:
+        hubs = F.broadcast(hot.where(F.col("links") > hub_limit).select("source", "salts"))
+        others = hot.where(F.col("links") <= hub_limit).select("source", "salts")
+        known = links.join(hubs, "source").unionByName(
+            links.join(hubs, "source", "left_anti").join(others, "source", "left")
+        )
     salt = F.pmod(F.xxhash64("target"), F.coalesce("salts", F.lit(1).cast("bigint")))
-    return links.join(hot, "source", "left").select("source", "target", salt.alias("salt"))
+    return known.select("source", "target", salt.alias("salt"))
 
 
 def adjacency(
-    edges: DataFrame, max_neighbours: int = MIN_HOT_LINKS, num_partitions: int | None = None
+    edges: DataFrame,
+    ranks: DataFrame | None = None,
+    max_neighbours: int = MIN_HOT_LINKS,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """``page, block, neighbours, degree``: the distinct targets of each page, sorted.
 
     Pages with up to ``max_neighbours`` targets have the one block 0. Larger
     ones are cut into several blocks, so that no row and no task has to hold
     the whole neighbourhood of a hub; ``degree`` is that of the whole page.
+    With ``ranks`` there is a ``pagerank`` column too, and pages without a rank
+    are left out.
     """
     graph = prepare_graph(
         edges, DegreeRule.DISTINCT, num_partitions, hot_links=max_neighbours, keep=False
     )
-    block = F.col("salt") if graph.salted else F.lit(0).cast("bigint")
-    blocks = (
-        graph.links.withColumn("block", block)
-        .groupBy("source", "block")
-        .agg(F.sort_array(F.collect_set("target")).alias("neighbours"))
-        .withColumnRenamed("source", "page")
-    )
-    degrees = graph.sources.select("page", "degree")
-    return blocks.join(degrees, "page").select("page", "block", "neighbours", "degree")
+    pages, columns = graph.sources, ["degree"]
+    if ranks is not None:
+        pages, columns = graph.ranked_sources(ranks, keep_unranked=False), ["degree", "pagerank"]
+    blocks = graph.blocks(pages.select("page", "salts", *columns))
+    return blocks.select("page", "block", "neighbours", *columns)

@@ -28,9 +28,9 @@ def link_contributions(graph: LinkGraph, ranks: DataFrame | None, keep_unranked:
     return graph.along_links(ranked.select("page", "salts", share.alias("contribution")))
 
 
-def neighbour_contributions(neighbours: DataFrame, ranks: DataFrame) -> DataFrame:
-    """``target, contribution`` from an adjacency table and a rank table."""
-    return neighbours.join(ranks.select("page", "pagerank"), "page").select(
+def neighbour_contributions(ranked: DataFrame) -> DataFrame:
+    """``target, contribution`` from the adjacency table of ranked pages."""
+    return ranked.select(
         F.explode("neighbours").alias("target"),
         (F.col("pagerank") / F.col("degree")).alias("contribution"),
     )

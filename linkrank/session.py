@@ -34,5 +34,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def default_width(spark: SparkSession) -> int:
-    """Shuffle width of the session, the default number of graph partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Number of partitions Spark gives a shuffle, the default for a graph."""
+    conf = spark.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled") == "true"
+    if adaptive and conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true":
+        initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        if initial and initial.isdigit():
+            return int(initial)
+    return int(conf.get("spark.sql.shuffle.partitions"))

@@ -149,8 +149,7 @@ def join_links_ranks(spark, sf_dir):
 
 def join_adjacency_ranks(spark, sf_dir):
     edges = _relation(spark, sf_dir, PART_LINKS)
-    joined = adjacency(edges).join(start_ranks(edges).select("page", "pagerank"), "page")
-    return joined.select("page", "block", F.size("neighbours").cast("bigint").alias("n_neighbours"), "pagerank")
+    return adjacency(edges, start_ranks(edges)).select("page", "block", F.size("neighbours").cast("bigint").alias("n_neighbours"), "pagerank")
 
 
 def contributions(spark, sf_dir):
@@ -160,7 +159,7 @@ def contributions(spark, sf_dir):
 
 def explode_contributions(spark, sf_dir):
     edges = _relation(spark, sf_dir, PART_LINKS)
-    rows = neighbour_contributions(adjacency(edges), start_ranks(edges))
+    rows = neighbour_contributions(adjacency(edges, start_ranks(edges)))
     return rows.withColumn("contribution", _six("contribution"))
 
 

@@ -6,7 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkrank.functions import first_character_bucket, md5_bucket, url_domain, url_protocol
-from linkrank.operators import adjacency, annotate_ranks, bucket_sizes, join_url_parts
+from linkrank.operators import (
+    adjacency,
+    annotate_ranks,
+    bucket_sizes,
+    join_url_parts,
+    neighbour_contributions,
+)
 from linkrank.plans import pagerank
 
 URLS = [
@@ -81,3 +87,28 @@ def test_adjacency_blocks_hold_each_neighbour_once(spark, block):
     assert all(list(b.neighbours) == sorted(b.neighbours) for b in blocks)
     if block == 1000:
         assert {b.block for b in blocks} == {0}
+    else:
+        assert sum(b.page == "hub" for b in blocks) > 1
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1, 100])
+def test_hot_sources_beyond_the_broadcast_bound(spark, monkeypatch, broadcast_rows):
+    """Hubs, warm pages and plain pages get the same blocks either way."""
+    from linkrank.operators import graph
+
+    rows = [("hub", f"t{i}") for i in range(300)] + [(f"w{i % 20}", f"t{i}") for i in range(240)] + [("a", "b")]
+    df = spark.createDataFrame(rows, "source STRING, target STRING")
+    monkeypatch.setattr(graph, "MAX_BROADCAST_ROWS", broadcast_rows)
+    blocks = adjacency(df, max_neighbours=10, num_partitions=8).collect()
+    assert sorted((b.page, n) for b in blocks for n in b.neighbours) == sorted(rows)
+    assert sum(b.page == "hub" for b in blocks) > 5 and sum(b.page == "w3" for b in blocks) == 2
+
+
+@pytest.mark.parametrize("block", [2, 1000])
+def test_contributions_of_blocks(spark, block):
+    rows = [("hub", f"t{i}") for i in range(50)] + [("a", "t1"), ("a", "t2"), ("b", "t1")]
+    df = spark.createDataFrame(rows, "source STRING, target STRING")
+    ranks = spark.createDataFrame([("hub", 2.0), ("a", 3.0), ("t1", 9.0)], "page STRING, pagerank DOUBLE")
+    got = neighbour_contributions(adjacency(df, ranks, max_neighbours=block)).collect()
+    want = [(f"t{i}", 2.0 / 50) for i in range(50)] + [("t1", 1.5), ("t2", 1.5)]
+    assert sorted(tuple(r) for r in got) == sorted(want)

@@ -163,37 +163,40 @@ def test_storage_is_given_back(spark, toy):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
+def plan_paths(df):
+    """Operator names from the root to each leaf of the physical plan."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.initialPlan()
+    stack, paths = [(plan, [])], []
+    while stack:
+        node, above = stack.pop()
+        path = above + [node.nodeName()]
+        children = node.children()
+        stack += [(children.apply(i), path) for i in range(children.size())]
+        if children.isEmpty():
+            paths.append((path, node.output().mkString(",")))
+    return paths
+
+
 @pytest.mark.parametrize("width", [4, 8, 16])
 @pytest.mark.parametrize("hot_links", [None, 5])
-def test_links_are_not_shuffled_in_a_step(spark, orders, width, hot_links):
-    """Above the stored links there is no exchange and no sort on their side."""
+def test_links_are_not_moved_in_a_step(orders, width, hot_links):
+    """Stored links go into a merge join as they lie: no exchange, no sort."""
     graph = prepare_graph(orders, DegreeRule.ROWS, width, hot_links)
     try:
-        step = rank_step(graph, rank_step(graph, None, 0.85, True), 0.85, True)
-        plan = step._jdf.queryExecution().sparkPlan().toString()
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
-        prepared = step._jdf.queryExecution().executedPlan().toString()
-        before_scan = [
-            line for line in _operators_above_links(prepared) if "Exchange" in line or "Sort " in line
-        ]
-        assert before_scan == []
+        assert graph.salted == (hot_links is not None)
+        paths = plan_paths(rank_step(graph, rank_step(graph, None, 0.85, True), 0.85, True))
+        links = [path for path, output in paths if "target" in output]
+        assert len(links) == 2
+        for path in links:
+            join = len(path) - 1 - path[::-1].index("SortMergeJoin")
+            assert set(path[join + 1 :]) <= {"Filter", "InMemoryTableScan"}
+        names = {name for path, _ in paths for name in path}
+        assert not names & {"BroadcastExchange", "CartesianProduct", "BroadcastNestedLoopJoin"}
+        # From the root to the first step: one exchange of sums for each step,
+        # plus one of ranks or shares for another width or for salts.
+        longest = max((path for path, _ in paths), key=lambda path: path.count("Exchange"))
+        assert longest.count("Exchange") == 2 + (width != 8) + 2 * graph.salted
     finally:
         graph.release()
-
-
-def _operators_above_links(plan):
-    """Operator lines between a merge join and a scan of the stored links."""
-    lines = plan.splitlines()
-    depth = lambda s: len(s) - len(s.lstrip(" :+-*"))
-    found = []
-    for i, line in enumerate(lines):
-        if "InMemoryTableScan" in line and "target" in line:
-            level = depth(line)
-            for above in reversed(lines[:i]):
-                if depth(above) < level:
-                    level = depth(above)
-                    if "SortMergeJoin" in above:
-                        break
-                    found.append(above)
-    assert found, plan
-    return found
