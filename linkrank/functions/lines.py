@@ -11,25 +11,11 @@ TOKEN_GAP = r"(?U)[\s\x1c-\x1f]+"
 SOURCE_TOKEN, TARGET_TOKEN = 0, 2
 
 
-def _tokens(line: Column) -> Column:
-    # Nothing after the third token is needed, so the split stops there.
+def leading_tokens(line: Column) -> Column:
+    """The first three tokens and, as a fourth, whatever follows them."""
     return F.split(line, TOKEN_GAP, TARGET_TOKEN + 2)
 
 
-def token_count(line: Column) -> Column:
-    """Number of tokens in the line, counted up to 4."""
-    return F.size(_tokens(line))
-
-
-def source_and_target(line: Column) -> list[Column]:
-    """``source`` and ``target`` of a ``<s> <p> <o> .`` line (NULL where missing)."""
-    tokens = _tokens(line)
-    return [
-        F.get(tokens, F.lit(SOURCE_TOKEN)).alias("source"),
-        F.get(tokens, F.lit(TARGET_TOKEN)).alias("target"),
-    ]
-
-
 def csv_rank_line(page: Column, rank: Column) -> Column:
     """``page,rank`` as one string; NULL if either is NULL."""
     return F.concat(page.cast("string"), F.lit(","), rank.cast("string"))

@@ -17,12 +17,12 @@ from pathlib import Path
 if __package__ in (None, ""):
     sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from linkrank.operators import report_lines, top_k
 from linkrank.plans import RankSemantics, pagerank
 from linkrank.sinks import CSV, LAYOUTS, TEXT, write_ranks
-from linkrank.sources import read_triples_csv, read_triples_text, rejected_lines
+from linkrank.sources import read_triples_csv, read_triples_text
 
 
 def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -46,7 +46,12 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     semantics = RankSemantics(args.semantics)
     rows_zero = semantics is RankSemantics.ROWS_ZERO
-    edges = (read_triples_csv if rows_zero else read_triples_text)(spark, args.input)
+    # Counted while the lines are read for ranking, not by a second scan.
+    rejected = Observation("input")
+    if rows_zero:
+        edges = read_triples_csv(spark, args.input)
+    else:
+        edges = read_triples_text(spark, args.input, rejected)
     steps: list[int] = []
 
     def show_step(step: int, pages: int) -> None:
@@ -71,7 +76,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             print(row.line)
         for row in top_k(ranks, 1).collect():
             print(f"Highest rank: {row.page} ({row.pagerank:.6f})")
-        print(f"Lines without a link: {rejected_lines(spark, args.input).count()}")
+        print(f"Lines without a link: {rejected.get['rejected_lines']}")
     if args.progress:
         print(f"Steps done: {len(steps)}")
 

@@ -6,11 +6,11 @@ name, and ``.bz2`` files are split between tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from linkrank.functions.lines import TARGET_TOKEN, source_and_target, token_count
+from linkrank.functions.lines import SOURCE_TOKEN, TARGET_TOKEN, leading_tokens
 
 TRIPLE_SCHEMA = StructType(
     [StructField(name, StringType(), True) for name in ("source", "predicate", "target")]
@@ -26,6 +26,10 @@ def read_triples_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.csv(path, schema=TRIPLE_SCHEMA, sep=" ", header=False)
 
 
+def _is_short(tokens: str | Column) -> Column:
+    return F.size(tokens) <= TARGET_TOKEN
+
+
 def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path)
 
@@ -38,10 +42,13 @@ def links_from_lines(lines: DataFrame, rejected: Observation | None = None) -> D
     as ``rejected_lines``; it is a progress figure, which tasks that run
     again after a loss may count twice. ``rejected_lines()`` is exact.
     """
-    short = token_count(F.col("value")) <= TARGET_TOKEN
+    split = lines.select(leading_tokens(F.col("value")).alias("tokens"))
     if rejected is not None:
-        lines = lines.observe(rejected, F.count_if(short).alias("rejected_lines"))
-    return lines.where(~short).select(*source_and_target(F.col("value")))
+        split = split.observe(rejected, F.count_if(_is_short("tokens")).alias("rejected_lines"))
+    return split.where(~_is_short("tokens")).select(
+        F.get("tokens", F.lit(SOURCE_TOKEN)).alias("source"),
+        F.get("tokens", F.lit(TARGET_TOKEN)).alias("target"),
+    )
 
 
 def read_triples_text(
@@ -53,4 +60,4 @@ def read_triples_text(
 
 def rejected_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The lines ``read_triples_text`` leaves out, to be counted or looked at."""
-    return _lines(spark, path).where(token_count(F.col("value")) <= TARGET_TOKEN)
+    return _lines(spark, path).where(_is_short(leading_tokens(F.col("value"))))

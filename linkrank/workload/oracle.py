@@ -113,6 +113,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_triples_bz2": IRI_LINKS,
         "saved_ranks_top10": iri_rows + NUMBERED.format(k=10),
         "parse_neighbors": f"SELECT t[1] AS source, t[3] AS target FROM ({ODD_TOKENS}) AS tokens WHERE len(t) >= 3",
+        "rejected_line_count": f"SELECT count(*) AS n_lines FROM ({ODD_TOKENS}) AS tokens WHERE len(t) < 3",
         "project_links": IRI_LINKS,
         "out_degree_rows": "SELECT l_partkey AS page, count(*) AS out_degree FROM lineitem GROUP BY l_partkey",
         "out_degree_distinct": (
@@ -169,6 +170,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "pagerank_rows_zero": _rows_zero(ORDER_LINKS) + PAGES,
         "pagerank_distinct_drop": _distinct_drop(ORDER_LINKS) + PAGES,
+        "pagerank_rows_zero_copies": _rows_zero(PART_LINKS) + PAGES,
+        "pagerank_distinct_drop_copies": _distinct_drop(PART_LINKS) + PAGES,
+        "triple_file_rows_zero": iri_rows + PAGES,
+        "triple_file_distinct_drop": _distinct_drop(IRI_LINKS) + PAGES,
         "pagerank_annotated": _rows_zero(URL_LINKS) + ANNOTATED_SAVED,
         "pagerank_distinct_drop_partitioned": _distinct_drop(ORDER_LINKS) + PAGES,
         "pagerank_iter3_d50": _rows_zero(ORDER_LINKS, 3, 0.5) + PAGES,

@@ -33,7 +33,13 @@ from linkrank.operators import (
 from linkrank.plans import RankSemantics, pagerank, pagerank_progress
 from linkrank.session import default_width, scratch_path
 from linkrank.sinks import CSV, TEXT, URL, write_ranks
-from linkrank.sources import links_from_lines, read_ranks, read_triples_csv, read_triples_text
+from linkrank.sources import (
+    links_from_lines,
+    read_ranks,
+    read_triples_csv,
+    read_triples_text,
+    rejected_lines,
+)
 from linkrank.workload.relations import (
     IRI_LINKS,
     ODD_LINES,
@@ -77,9 +83,11 @@ def _pages(sql: str = ORDER_LINKS, **options) -> Query:
 # --- reading and parsing ---------------------------------------------------
 
 
-def _saved_lines(spark: SparkSession, sf_dir: str, compression: str = "none") -> str:
+def _saved_lines(
+    spark: SparkSession, sf_dir: str, sql: str = TRIPLE_LINES, compression: str = "none"
+) -> str:
     path = scratch_path(spark, "triples.nt")
-    lines = _relation(spark, sf_dir, TRIPLE_LINES)
+    lines = _relation(spark, sf_dir, sql)
     if lines.rdd.getNumPartitions() < default_width(spark):
         # A table in few files would be compressed by few tasks.
         lines = lines.repartition(default_width(spark))
@@ -96,13 +104,18 @@ def scan_triples_text(spark, sf_dir):
 
 
 def scan_triples_bz2(spark, sf_dir):
-    return project_links(read_triples_csv(spark, _saved_lines(spark, sf_dir, "bzip2")))
+    return project_links(read_triples_csv(spark, _saved_lines(spark, sf_dir, compression="bzip2")))
 
 
 def parse_neighbors(spark, sf_dir):
     return links_from_lines(_relation(spark, sf_dir, ODD_LINES))
 
 
+def rejected_line_count(spark, sf_dir):
+    rejected = rejected_lines(spark, _saved_lines(spark, sf_dir, ODD_LINES))
+    return rejected.agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def project(spark, sf_dir):
     triples = _relation(spark, sf_dir, IRI_LINKS).withColumn("predicate", F.lit(PREDICATE))
     return project_links(triples)
@@ -201,6 +214,17 @@ def iteration_counts(spark, sf_dir):
     return pagerank_progress(_relation(spark, sf_dir, ORDER_LINKS), semantics=DISTINCT_DROP)
 
 
+def triple_file_rows_zero(spark, sf_dir):
+    """From compressed triple lines to ranks, the way the rows-zero job does it."""
+    return _rounded(pagerank(scan_triples_bz2(spark, sf_dir))).select("page", "pagerank")
+
+
+def triple_file_distinct_drop(spark, sf_dir):
+    """From triple lines to ranks, the way the distinct-drop job does it."""
+    ranks = pagerank(scan_triples_text(spark, sf_dir), semantics=DISTINCT_DROP)
+    return _rounded(ranks).select("page", "pagerank")
+
+
 def annotated_ranks(spark, sf_dir):
     return _rounded(annotate_ranks(_ranks(URL_LINKS)(spark, sf_dir)))
 
@@ -267,6 +291,7 @@ def queries() -> dict[str, Query]:
         "scan_triples_bz2": scan_triples_bz2,
         "saved_ranks_top10": saved_ranks_top10,
         "parse_neighbors": parse_neighbors,
+        "rejected_line_count": rejected_line_count,
         "project_links": project,
         "out_degree_rows": out_degree_rows,
         "out_degree_distinct": out_degree_distinct,
@@ -292,6 +317,10 @@ def queries() -> dict[str, Query]:
         "iteration_counts": iteration_counts,
         "pagerank_rows_zero": _pages(),
         "pagerank_distinct_drop": _pages(semantics=DISTINCT_DROP),
+        "pagerank_rows_zero_copies": _pages(PART_LINKS),
+        "pagerank_distinct_drop_copies": _pages(PART_LINKS, semantics=DISTINCT_DROP),
+        "triple_file_rows_zero": triple_file_rows_zero,
+        "triple_file_distinct_drop": triple_file_distinct_drop,
         "pagerank_annotated": _saved(URL_LINKS, URL),
         "pagerank_distinct_drop_partitioned": _pages(semantics=DISTINCT_DROP, num_partitions=100),
         "pagerank_iter3_d50": _pages(iterations=3, damping=0.5),
