@@ -21,7 +21,8 @@ from pyspark.sql import Observation, SparkSession
 
 from linkrank.operators import report_lines, top_k
 from linkrank.plans import RankSemantics, pagerank
-from linkrank.sinks import CSV, LAYOUTS, TEXT, write_ranks
+from linkrank.session import fit_width, require_absent
+from linkrank.sinks import CSV, LAYOUTS, TEXT, default_mode, write_ranks
 from linkrank.sources import read_triples_csv, read_triples_text
 
 
@@ -36,7 +37,7 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--layout", choices=LAYOUTS, help="default: csv for rows-zero, else text")
     parser.add_argument("--mode", choices=["error", "overwrite"], help="default: overwrite for by-url, else error")
-    parser.add_argument("--num-partitions", type=int, help="default: spark.sql.shuffle.partitions")
+    parser.add_argument("--num-partitions", type=int, help="shuffle width; default: as configured, or from the input size")
     parser.add_argument("--top", type=int, default=5, help="ranks to print")
     parser.add_argument("--strip-brackets", action="store_true", help="take URL parts from inside <...>")
     parser.add_argument("--progress", action="store_true", help="print the number of pages after each step")
@@ -46,12 +47,17 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     semantics = RankSemantics(args.semantics)
     rows_zero = semantics is RankSemantics.ROWS_ZERO
+    layout = args.layout or (CSV if rows_zero else TEXT)
+    mode = args.mode or default_mode(layout)
+    if mode == "error":
+        require_absent(spark, args.output)  # now rather than after the ranking
     # Counted while the lines are read for ranking, not by a second scan.
     rejected = Observation("input")
     if rows_zero:
         edges = read_triples_csv(spark, args.input)
     else:
         edges = read_triples_text(spark, args.input, rejected)
+    fit_width(edges, args.num_partitions)
     steps: list[int] = []
 
     def show_step(step: int, pages: int) -> None:
@@ -63,12 +69,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         args.iterations,
         args.damping,
         semantics,
-        num_partitions=args.num_partitions,
         on_step=show_step if args.progress else None,
     )
-    write_ranks(
-        ranks, args.output, args.layout or (CSV if rows_zero else TEXT), args.mode, args.strip_brackets
-    )
+    write_ranks(ranks, args.output, layout, mode, args.strip_brackets)
     if rows_zero:
         top_k(ranks, args.top).show(args.top, truncate=False)
     else:

@@ -5,7 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# More reducers than this cost more in bookkeeping than they gain; partitions
+# then grow with the input and spill to disk.
+MAX_FITTED_WIDTH = 20_000
+WIDTH_SETTING = "spark.sql.shuffle.partitions"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -33,6 +38,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}/{name}"
 
 
+def require_absent(spark: SparkSession, path: str) -> None:
+    """Raise ``FileExistsError`` if there is something at ``path``."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(location):
+        raise FileExistsError(f"output path {path} exists")
+
+
 def default_width(spark: SparkSession) -> int:
     """Number of partitions Spark gives a shuffle, the default for a graph."""
     conf = spark.conf
@@ -41,4 +54,21 @@ def default_width(spark: SparkSession) -> int:
         initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
         if initial and initial.isdigit():
             return int(initial)
-    return int(conf.get("spark.sql.shuffle.partitions"))
+    return int(conf.get(WIDTH_SETTING))
+
+
+def fit_width(table: DataFrame, wanted: int | None = None) -> int:
+    """Set the shuffle width of the session for work on ``table``; returns it.
+
+    It becomes ``wanted``, or else what the submitter configured, or else one
+    partition per input split but no fewer than the cores there are. For
+    programs that own their session.
+    """
+    spark = table.sparkSession
+    sc = spark.sparkContext
+    if not wanted and not sc.getConf().contains(WIDTH_SETTING):
+        splits = table.rdd.getNumPartitions()
+        wanted = min(max(splits, sc.defaultParallelism), MAX_FITTED_WIDTH)
+    if wanted:
+        spark.conf.set(WIDTH_SETTING, wanted)
+    return default_width(spark)

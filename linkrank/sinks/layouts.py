@@ -11,3 +11,8 @@ LAYOUTS = (CSV, URL, TEXT)
 def check_layout(layout: str) -> None:
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
+
+
+def default_mode(layout: str) -> str:
+    """Save mode of a layout unless another is asked for."""
+    return "overwrite" if layout == URL else "error"

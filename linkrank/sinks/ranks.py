@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from linkrank.functions.lines import csv_rank_line, tuple_rank_line
 from linkrank.operators.topk import sorted_ranks
 from linkrank.operators.urls import annotate_ranks
-from linkrank.sinks.layouts import CSV, TEXT, check_layout
+from linkrank.sinks.layouts import CSV, TEXT, check_layout, default_mode
 
 
 def write_ranks_csv(ranks: DataFrame, path: str, mode: str = "error") -> None:
@@ -53,9 +53,10 @@ def write_ranks(
 ) -> None:
     """Write the result of ``pagerank()`` in one of the three layouts."""
     check_layout(layout)
+    mode = mode or default_mode(layout)
     if layout == CSV:
-        write_ranks_csv(ranks, path, mode or "error")
+        write_ranks_csv(ranks, path, mode)
     elif layout == TEXT:
-        write_ranks_text(ranks, path, mode or "error")
+        write_ranks_text(ranks, path, mode)
     else:
-        write_ranks_by_url(annotate_ranks(ranks, strip_brackets), path, mode or "overwrite")
+        write_ranks_by_url(annotate_ranks(ranks, strip_brackets), path, mode)

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from linkrank.session import default_width, ensure_checkpoint_dir, scratch_path
+from linkrank.session import WIDTH_SETTING, default_width, ensure_checkpoint_dir, fit_width, scratch_path
 
 
 def fake(master, settings, current=None):
@@ -40,3 +40,22 @@ def test_width_is_that_of_a_shuffle():
     initial = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40"}
     assert default_width(fake("local", adaptive | initial)) == 40
     assert default_width(fake("local", adaptive | initial | {"spark.sql.adaptive.enabled": "false"})) == 8
+
+
+def test_fitted_width(spark):
+    own = spark.newSession()
+    table = own.range(0, 100, 1, 30)
+    assert fit_width(table) == 8  # configured for this session
+    assert fit_width(table, 12) == 12 and own.conf.get(WIDTH_SETTING) == "12"
+    assert default_width(spark) == 8
+
+
+@pytest.mark.parametrize("splits,cores,width", [(3, 16, 16), (500, 16, 500), (10**6, 16, 20_000)])
+def test_width_follows_the_input(splits, cores, width):
+    settings = {WIDTH_SETTING: "200", "spark.sql.adaptive.enabled": "false"}
+    session = fake("yarn", settings)
+    session.conf.set = lambda key, value: settings.__setitem__(key, str(value))
+    session.sparkContext.defaultParallelism = cores
+    session.sparkContext.getConf = lambda: SimpleNamespace(contains=lambda key: False)
+    table = SimpleNamespace(sparkSession=session, rdd=SimpleNamespace(getNumPartitions=lambda: splits))
+    assert fit_width(table) == width
