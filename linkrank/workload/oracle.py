@@ -7,6 +7,7 @@ outer join and the filling of gaps repeated in every step.
 from __future__ import annotations
 
 from linkrank.workload.relations import (
+    HUB_LINKS,
     IRI_LINKS,
     ODD_LINES,
     ORDER_LINKS,
@@ -172,6 +173,8 @@ def oracle_sql() -> dict[str, str]:
         "pagerank_distinct_drop": _distinct_drop(ORDER_LINKS) + PAGES,
         "pagerank_rows_zero_copies": _rows_zero(PART_LINKS) + PAGES,
         "pagerank_distinct_drop_copies": _distinct_drop(PART_LINKS) + PAGES,
+        "pagerank_rows_zero_hub": _rows_zero(HUB_LINKS) + PAGES,
+        "pagerank_distinct_drop_hub": _distinct_drop(HUB_LINKS) + PAGES,
         "triple_file_rows_zero": iri_rows + PAGES,
         "triple_file_distinct_drop": _distinct_drop(IRI_LINKS) + PAGES,
         "pagerank_annotated": _rows_zero(URL_LINKS) + ANNOTATED_SAVED,

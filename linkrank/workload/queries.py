@@ -41,6 +41,7 @@ from linkrank.sources import (
     rejected_lines,
 )
 from linkrank.workload.relations import (
+    HUB_LINKS,
     IRI_LINKS,
     ODD_LINES,
     ORDER_LINKS,
@@ -54,6 +55,8 @@ ROWS_ZERO, DISTINCT_DROP = RankSemantics.ROWS_ZERO, RankSemantics.DISTINCT_DROP
 ROWS, DISTINCT = DegreeRule.ROWS, DegreeRule.DISTINCT
 DAMPING = 0.85
 BUCKETS = 100
+# Low enough for the hub to be spread over partitions at every table size.
+HUB_SPREAD = 500
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -319,6 +322,8 @@ def queries() -> dict[str, Query]:
         "pagerank_distinct_drop": _pages(semantics=DISTINCT_DROP),
         "pagerank_rows_zero_copies": _pages(PART_LINKS),
         "pagerank_distinct_drop_copies": _pages(PART_LINKS, semantics=DISTINCT_DROP),
+        "pagerank_rows_zero_hub": _pages(HUB_LINKS, hot_links=HUB_SPREAD),
+        "pagerank_distinct_drop_hub": _pages(HUB_LINKS, semantics=DISTINCT_DROP, hot_links=HUB_SPREAD),
         "triple_file_rows_zero": triple_file_rows_zero,
         "triple_file_distinct_drop": triple_file_distinct_drop,
         "pagerank_annotated": _saved(URL_LINKS, URL),

@@ -11,6 +11,14 @@ ORDER_LINKS = "SELECT l_orderkey AS source, l_partkey AS target FROM lineitem"
 PART_LINKS = "SELECT l_partkey AS source, l_suppkey AS target FROM lineitem"
 
 
+# Page 0 holds about a third of all rows as a source and another as a target.
+HUB_LINKS = """
+SELECT CASE WHEN l_linenumber % 3 = 0 THEN CAST(0 AS BIGINT) ELSE l_partkey END AS source,
+       CASE WHEN l_linenumber % 3 = 1 THEN CAST(0 AS BIGINT) ELSE l_orderkey END AS target
+FROM lineitem
+"""
+
+
 def page_url(key: str) -> str:
     """A URL for a page id: both protocols, with and without ``www.``, five domains."""
     return (
