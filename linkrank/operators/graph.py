@@ -19,7 +19,6 @@ import math
 from dataclasses import dataclass
 from enum import Enum
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,7 +81,8 @@ class LinkGraph:
         """
         if ranks is None:
             return self.sources.withColumn("pagerank", F.lit(1.0))
-        joined = self.with_page_layout(ranks.select("page", "pagerank"), "left" if keep_unranked else "inner")
+        how = "left" if keep_unranked else "inner"
+        joined = self.with_page_layout(ranks.select("page", "pagerank"), how)
         return joined.withColumn("pagerank", F.coalesce("pagerank", F.lit(0.0)))
 
     def with_page_layout(self, pages: DataFrame, how: str) -> DataFrame:
@@ -146,12 +146,14 @@ def prepare_graph(
     ``num_partitions`` defaults to the shuffle width of the session. A source
     with more than ``hot_links`` links is spread over several partitions by a
     salt taken from the target; the default limit is the mean partition size.
-    ``keep`` stores both tables (for many passes); without it they stay plain
+    ``keep`` stores both tables in memory and, beyond it, on disk (for many passes); without it they stay plain
     query plans (for a single pass). Stored blocks lost with an executor are
     computed again from the input.
     """
-    spark = edges.sparkSession
-    width = num_partitions or default_width(spark)
+    for name, value in (("num_partitions", num_partitions), ("hot_links", hot_links)):
+        if value is not None and value < 1:
+            raise ValueError(f"{name} must be 1 or more")
+    width = num_partitions or default_width(edges.sparkSession)
     edges = edges.select("source", "target")
     if rule is DegreeRule.DISTINCT:
         edges = edges.where("source IS NOT NULL AND target IS NOT NULL")
@@ -166,12 +168,8 @@ def prepare_graph(
         .withColumnRenamed("source", "page")
     )
     if keep:
-        pairs.persist(StorageLevel.MEMORY_AND_DISK)
-        sources = (
-            sources.repartition(width, "page")
-            .sortWithinPartitions("page")
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
+        pairs.persist()
+        sources = sources.repartition(width, "page").sortWithinPartitions("page").persist()
 
     totals = sources.agg(F.sum("links").alias("links"), F.max("links").alias("largest")).first()
     limit = hot_links or max(MIN_HOT_LINKS, math.ceil((totals.links or 0) / width))
@@ -184,11 +182,7 @@ def prepare_graph(
         hub_limit = math.ceil(totals.links / width)
         links, keys = _salted(links, laid_out.where("salts > 1"), hub_limit), ["source", "salt"]
     if keep:
-        links = (
-            links.repartition(width, *keys)
-            .sortWithinPartitions(*keys)
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
+        links = links.repartition(width, *keys).sortWithinPartitions(*keys).persist()
         links.count()
         pairs.unpersist()
     return LinkGraph(laid_out, links, width, salted, (sources, links) if keep else ())

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Fixed value: a line of the top-k report.
+REPORT_LINE = "%d. %s has rank: %.6f"
+
 
 def _by_rank() -> list[Column]:
     return [F.desc("pagerank"), F.asc("page")]
@@ -32,5 +35,5 @@ def numbered(ranks: DataFrame, k: int) -> DataFrame:
 
 def report_lines(ranks: DataFrame, k: int) -> DataFrame:
     """``position, line``: ``1. page has rank: 0.123456`` for the top ``k``."""
-    line = F.format_string("%d. %s has rank: %.6f", "position", F.col("page").cast("string"), "pagerank")
+    line = F.format_string(REPORT_LINE, "position", F.col("page").cast("string"), "pagerank")
     return numbered(ranks, k).select("position", line.alias("line"))

@@ -1,7 +1,8 @@
 """The registered queries as plain SQL for an independent engine (DuckDB).
 
 The ranking is unrolled into one common table expression per step, with the
-outer join and the filling of gaps repeated in every step.
+outer join and the filling of gaps repeated in every step. Ranks are rounded
+as in the queries: to nine digits, which removes noise, then to six.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ def _rows_zero(edges: str, steps: int = 10, damping: float = 0.85) -> str:
             f"r{i} AS MATERIALIZED (SELECT coalesce(n.page, d.page) AS page, coalesce(n.pagerank, 0) AS pagerank,"
             f" coalesce(d.out_degree, 0) AS out_degree FROM n{i} n FULL JOIN degrees d ON n.page = d.page)"
         )
-    ctes.append(f"ranked AS (SELECT page, round(pagerank, 6) AS pagerank, out_degree FROM r{steps})")
+    ctes.append(f"ranked AS (SELECT page, round(round(pagerank, 9), 6) AS pagerank, out_degree FROM r{steps})")
     return "WITH " + ",\n".join(ctes)
 
 
@@ -63,7 +64,7 @@ def _distinct_drop(edges: str, steps: int = 10) -> str:
             f"r{i} AS MATERIALIZED (SELECT l.target AS page, sum(r.pagerank / d.out_degree) * 0.85 + 0.15 AS pagerank"
             f" FROM links l JOIN r{i - 1} r ON l.source = r.page JOIN degrees d ON l.source = d.page GROUP BY l.target)"
         )
-    ctes.append(f"ranked AS (SELECT page, round(pagerank, 6) AS pagerank FROM r{steps})")
+    ctes.append(f"ranked AS (SELECT page, round(round(pagerank, 9), 6) AS pagerank FROM r{steps})")
     return "WITH " + ",\n".join(ctes)
 
 
@@ -125,25 +126,25 @@ def oracle_sql() -> dict[str, str]:
             " FROM lineitem GROUP BY l_orderkey"
         ),
         "contributions": part_rows
-        + "SELECT source, target, round(CAST(1 AS DOUBLE) / out_degree, 6) AS contribution"
+        + "SELECT source, target, round(round(CAST(1 AS DOUBLE) / out_degree, 9), 6) AS contribution"
         " FROM links JOIN degrees ON source = page",
         "rank_step_rows_zero": part_rows
-        + "SELECT target AS page, round((1 - 0.85) + 0.85 * sum(CAST(1 AS DOUBLE) / out_degree), 6) AS pagerank"
+        + "SELECT target AS page, round(round((1 - 0.85) + 0.85 * sum(CAST(1 AS DOUBLE) / out_degree), 9), 6) AS pagerank"
         " FROM links JOIN degrees ON source = page GROUP BY target",
         "rank_step_distinct_drop": part_distinct
-        + "SELECT target AS page, round(sum(CAST(1 AS DOUBLE) / out_degree) * 0.85 + 0.15, 6) AS pagerank"
+        + "SELECT target AS page, round(round(sum(CAST(1 AS DOUBLE) / out_degree) * 0.85 + 0.15, 9), 6) AS pagerank"
         " FROM links JOIN degrees ON source = page GROUP BY target",
         "null_guard_sum": order_rows
         + ", sums AS (SELECT target, sum(CAST(1 AS DOUBLE) / out_degree) AS total"
         " FROM links JOIN degrees ON source = page GROUP BY target)"
-        " SELECT page, round((1 - 0.85) + 0.85 * CASE WHEN total IS NOT NULL THEN total ELSE 0 END, 6) AS pagerank"
+        " SELECT page, round(round((1 - 0.85) + 0.85 * CASE WHEN total IS NOT NULL THEN total ELSE 0 END, 9), 6) AS pagerank"
         " FROM degrees LEFT JOIN sums ON page = target",
         "outer_fill_ranks": _rows_zero(ORDER_LINKS, 1) + "\nSELECT page, pagerank, out_degree FROM ranked",
         "rank_lines": iri_rows + "\nSELECT concat(page, ',', printf('%.6f', pagerank)) AS line FROM ranked",
         "url_domain": f"SELECT page_id, url, {_domain('url')} AS domain FROM pages",
         "url_protocol": f"SELECT page_id, url, {_protocol('url')} AS protocol FROM pages",
         "explode_contributions": part_distinct
-        + "SELECT target, round(CAST(1 AS DOUBLE) / out_degree, 6) AS contribution"
+        + "SELECT target, round(round(CAST(1 AS DOUBLE) / out_degree, 9), 6) AS contribution"
         " FROM links JOIN degrees ON source = page",
         "md5_bucket": f"SELECT page_id, {_md5_bucket('url', BUCKETS)} AS bucket FROM pages",
         "distinct_links": f"SELECT DISTINCT source, target FROM ({PART_LINKS}) AS edges",
@@ -155,10 +156,10 @@ def oracle_sql() -> dict[str, str]:
         " FROM degrees",
         "left_join_url_info": _rows_zero(URL_LINKS, 1) + ANNOTATED,
         "sum_contributions": part_rows
-        + "SELECT target, round(sum(CAST(1 AS DOUBLE) / out_degree), 6) AS sum_contributions"
+        + "SELECT target, round(round(sum(CAST(1 AS DOUBLE) / out_degree), 9), 6) AS sum_contributions"
         " FROM links JOIN degrees ON source = page GROUP BY target",
         "reduce_contributions": part_distinct
-        + "SELECT target, round(sum(CAST(1 AS DOUBLE) / out_degree), 6) AS sum_contributions"
+        + "SELECT target, round(round(sum(CAST(1 AS DOUBLE) / out_degree), 9), 6) AS sum_contributions"
         " FROM links JOIN degrees ON source = page GROUP BY target",
         "adjacency_list": part_distinct
         + "SELECT source AS page, CAST(0 AS BIGINT) AS block,"

@@ -66,11 +66,13 @@ def _relation(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
 
 
 def _six(column: str | Column) -> Column:
-    return F.round(column, 6)
+    """Six digits. Sums differ in their last digits from run to run; rounding to
+    nine first keeps that from deciding exact halves such as 1.5590625.
+    """
+    return F.round(F.round(column, 9), 6)
 
 
 def _rounded(ranks: DataFrame) -> DataFrame:
-    """Ranks to six digits: sums differ in the last digits from run to run."""
     return ranks.withColumn("pagerank", _six("pagerank"))
 
 
@@ -110,7 +112,7 @@ def scan_triples_bz2(spark, sf_dir):
     return project_links(read_triples_csv(spark, _saved_lines(spark, sf_dir, compression="bzip2")))
 
 
-def parse_neighbors(spark, sf_dir):
+def links_of_odd_lines(spark, sf_dir):
     return links_from_lines(_relation(spark, sf_dir, ODD_LINES))
 
 
@@ -145,9 +147,8 @@ def initial_ranks(spark, sf_dir):
 
 def adjacency_list(spark, sf_dir):
     blocks = adjacency(_relation(spark, sf_dir, PART_LINKS))
-    return blocks.select(
-        "page", "block", F.array_join(F.col("neighbours").cast("array<string>"), " ").alias("neighbours"), "degree"
-    )
+    neighbours = F.array_join(F.col("neighbours").cast("array<string>"), " ")
+    return blocks.select("page", "block", neighbours.alias("neighbours"), "degree")
 
 
 # --- parts of a step -------------------------------------------------------
@@ -159,13 +160,14 @@ def _single_pass(spark, sf_dir, rule):
 
 def join_links_ranks(spark, sf_dir):
     graph = _single_pass(spark, sf_dir, ROWS)
-    ranked = graph.ranked_sources(None, True)
-    return graph.along_links(ranked.select("page", "salts", "pagerank", F.col("degree").alias("out_degree")))
+    ranked = graph.ranked_sources(None, True).withColumnRenamed("degree", "out_degree")
+    return graph.along_links(ranked.select("page", "salts", "pagerank", "out_degree"))
 
 
 def join_adjacency_ranks(spark, sf_dir):
     edges = _relation(spark, sf_dir, PART_LINKS)
-    return adjacency(edges, start_ranks(edges)).select("page", "block", F.size("neighbours").cast("bigint").alias("n_neighbours"), "pagerank")
+    n_neighbours = F.size("neighbours").cast("bigint").alias("n_neighbours")
+    return adjacency(edges, start_ranks(edges)).select("page", "block", n_neighbours, "pagerank")
 
 
 def contributions(spark, sf_dir):
@@ -293,7 +295,7 @@ def queries() -> dict[str, Query]:
         "scan_triples_text": scan_triples_text,
         "scan_triples_bz2": scan_triples_bz2,
         "saved_ranks_top10": saved_ranks_top10,
-        "parse_neighbors": parse_neighbors,
+        "parse_neighbors": links_of_odd_lines,
         "rejected_line_count": rejected_line_count,
         "project_links": project,
         "out_degree_rows": out_degree_rows,

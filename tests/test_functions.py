@@ -16,8 +16,8 @@ from linkrank.operators import (
 from linkrank.plans import pagerank
 
 URLS = [
-    ("<http://www.dbpedia.org/resource/X>", "<http:", "", "dbpedia.org", "http"),
-    ("http://www.dbpedia.org/resource/X", "dbpedia.org", "http", "dbpedia.org", "http"),
+    ("<http://www.example.org/resource/X>", "<http:", "", "example.org", "http"),
+    ("http://www.example.org/resource/X", "example.org", "http", "example.org", "http"),
     ("https://www.ththin.example.com/fr/31", "ththin.example.com", "https", "ththin.example.com", "https"),
     ("ftp://h/x", "ftp:", "", "ftp:", ""),
     ("e.org", "e.org", "", "e.org", ""),

@@ -152,7 +152,7 @@ def test_empty_input(spark):
         assert pagerank(empty, 2, semantics=semantics).count() == 0
 
 
-@pytest.mark.parametrize("bad", [dict(iterations=-1), dict(iterations=1.5), dict(damping=1.1), dict(damping=-0.1), dict(checkpoint_every=0)])
+@pytest.mark.parametrize("bad", [dict(iterations=-1), dict(iterations=1.5), dict(damping=1.1), dict(damping=-0.1), dict(checkpoint_every=0), dict(num_partitions=0), dict(hot_links=0)])
 def test_bad_arguments(toy, bad):
     with pytest.raises(ValueError):
         pagerank(toy, **bad)
