@@ -27,6 +27,8 @@ from linkrank.session import default_width
 # A source is never called hot below this many links: that many rows are an
 # ordinary partition.
 MIN_HOT_LINKS = 100_000
+# Small graphs get fewer partitions than a shuffle, one per this many links.
+MIN_PARTITION_LINKS = 50_000
 # Tables of hot sources are broadcast up to this many rows (a few MB). By
 # default there are at most as many hot sources as partitions.
 MAX_BROADCAST_ROWS = 100_000
@@ -143,7 +145,8 @@ def prepare_graph(
 ) -> LinkGraph:
     """Lay out the links in ``edges`` (columns ``source, target``).
 
-    ``num_partitions`` defaults to the shuffle width of the session. A source
+    ``num_partitions`` defaults to the shuffle width of the session, or less for
+    a small graph. A source
     with more than ``hot_links`` links is spread over several partitions by a
     salt taken from the target; the default limit is the mean partition size.
     ``keep`` stores both tables in memory and, beyond it, on disk (for many passes); without it they stay plain
@@ -169,6 +172,8 @@ def prepare_graph(
     )
     if keep:
         pairs.persist()
+        if num_partitions is None:
+            width = min(width, max(1, math.ceil(pairs.count() / MIN_PARTITION_LINKS)))
         sources = sources.repartition(width, "page").sortWithinPartitions("page").persist()
 
     totals = sources.agg(F.sum("links").alias("links"), F.max("links").alias("largest")).first()

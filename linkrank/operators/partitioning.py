@@ -14,15 +14,20 @@ def bucket_sizes(edges: DataFrame, buckets: int) -> DataFrame:
     ``whole_key`` hashes the page, ``first_character`` only its first
     character. Buckets without rows are not listed.
     """
-    # The buckets are columns of their own below the explode, so that each
-    # digest is computed once per row.
-    hashed = edges.select(
-        md5_bucket(F.col("source"), buckets).alias("whole_key"),
-        first_character_bucket(F.col("source"), buckets).alias("first_character"),
+    # Rows are counted by bucket and first character before the second hash,
+    # which then has few rows left to look at.
+    source = F.col("source").cast("string")
+    counted = edges.groupBy(
+        md5_bucket(source, buckets).alias("whole_key"), F.substring(source, 1, 1).alias("start")
+    ).agg(F.count(F.lit(1)).alias("n_rows"))
+    rules = F.create_map(
+        F.lit("whole_key"),
+        F.col("whole_key"),
+        F.lit("first_character"),
+        first_character_bucket(F.col("start"), buckets),
     )
-    rules = F.create_map(*(part for name in hashed.columns for part in (F.lit(name), F.col(name))))
     return (
-        hashed.select(F.explode(rules).alias("key_rule", "bucket"))
+        counted.select(F.explode(rules).alias("key_rule", "bucket"), "n_rows")
         .groupBy("key_rule", "bucket")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .agg(F.sum("n_rows").alias("n_rows"))
     )
