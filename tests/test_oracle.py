@@ -8,9 +8,10 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as registered
+from linkrank import workload
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLE = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLE = workload.queries(), workload.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,7 @@ def normal(frame: pd.DataFrame) -> pd.DataFrame:
 
 def test_same_names():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(registered.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
