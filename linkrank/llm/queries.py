@@ -5,20 +5,40 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linkrank.llm.common import read_table
+from linkrank.llm.common import id_remainder, read_table
 from linkrank.llm.hash_tree import shard_documents
+from linkrank.llm.langid import identify_languages
 from linkrank.llm.mixing import mix_documents
 from linkrank.llm.token_counts import count_tokens
+from linkrank.llm.toxicity import score_toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _with_fold(results: DataFrame, modulus: int, held_out: int, *columns: str) -> DataFrame:
+    fold = (id_remainder(F.col("doc_id"), modulus) == held_out).alias("held_out")
+    return results.select("doc_id", fold, *columns)
+
+
+def op2_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    learned_from = docs.where(id_remainder(F.col("doc_id"), 5) != 0)
+    return _with_fold(identify_languages(docs, learned_from), 5, 0, "lang_pred", "score", "rejected")
+
+
 def op4_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op5_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    learned_from = labels.where(id_remainder(F.col("doc_id"), 4) != 2)
+    return _with_fold(score_toxicity(docs, learned_from), 4, 2, "score", "predicted")
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_documents(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -32,7 +52,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_centroid_language": op2_centroid_language,
         "op4_hash_tree_sharding": op4_hash_tree_sharding,
+        "op5_weak_toxicity": op5_weak_toxicity,
         "op6_source_mixing": op6_source_mixing,
         "op10_token_counts": op10_token_counts,
     }
