@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkrank.llm.common import id_remainder, read_table
 from linkrank.llm.hash_tree import shard_documents
+from linkrank.llm.html_text import extract_pages
 from linkrank.llm.langid import identify_languages
 from linkrank.llm.mixing import mix_documents
 from linkrank.llm.token_counts import count_tokens
@@ -23,6 +24,10 @@ def _with_fold(results: DataFrame, modulus: int, held_out: int, *columns: str) -
     return results.select("doc_id", fold, *columns)
 
 
+def op1_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op2_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     learned_from = docs.where(id_remainder(F.col("doc_id"), 5) != 0)
@@ -52,6 +57,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_text_density": op1_text_density,
         "op2_centroid_language": op2_centroid_language,
         "op4_hash_tree_sharding": op4_hash_tree_sharding,
         "op5_weak_toxicity": op5_weak_toxicity,
