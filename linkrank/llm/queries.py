@@ -12,6 +12,7 @@ from linkrank.llm.hash_tree import shard_documents
 from linkrank.llm.html_text import extract_pages
 from linkrank.llm.langid import identify_languages
 from linkrank.llm.mixing import mix_documents
+from linkrank.llm.odd_sketch import near_duplicates
 from linkrank.llm.token_counts import count_tokens
 from linkrank.llm.toxicity import score_toxicity
 
@@ -49,6 +50,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,5 +67,6 @@ def queries() -> dict[str, Query]:
         "op4_hash_tree_sharding": op4_hash_tree_sharding,
         "op5_weak_toxicity": op5_weak_toxicity,
         "op6_source_mixing": op6_source_mixing,
+        "op8_odd_sketch_dedup": op8_odd_sketch_dedup,
         "op10_token_counts": op10_token_counts,
     }
