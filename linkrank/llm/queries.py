@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank.llm.common import id_remainder, read_table
+from linkrank.llm.de_bruijn import remove_repeats
 from linkrank.llm.hash_tree import shard_documents
 from linkrank.llm.html_text import extract_pages
 from linkrank.llm.langid import identify_languages
@@ -50,6 +51,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_de_bruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -67,6 +72,7 @@ def queries() -> dict[str, Query]:
         "op4_hash_tree_sharding": op4_hash_tree_sharding,
         "op5_weak_toxicity": op5_weak_toxicity,
         "op6_source_mixing": op6_source_mixing,
+        "op7_de_bruijn_dedup": op7_de_bruijn_dedup,
         "op8_odd_sketch_dedup": op8_odd_sketch_dedup,
         "op10_token_counts": op10_token_counts,
     }
