@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from linkrank.llm.bm25_wand import ANSWER_PART, LEAK, LEAK_PART, SHINGLE
 from linkrank.llm.hash_tree import HASH_DIGITS, SLOT_DIGITS, Shard, grown, regular_tree
 from linkrank.llm.mixing import BITS, LEVELS, MAX_REPEATS, WEIGHTS
 
@@ -92,5 +93,30 @@ from placed
 """
 
 
+def _shingled(table: str) -> str:
+    return f"""
+  select *, [array_to_string(words[i:i + {SHINGLE} - 1], ' ') for i in range(1, greatest(2, len(words) - {SHINGLE} + 2))] as shingles
+  from (select *, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') as words from {table} where text is not null)
+  where len(words) > 0"""
+
+
+LEAKS = f"""
+with docs as ({_shingled("(select row_number() over () as row, doc_id, text from documents)")}),
+items as (
+  select *, greatest(0, len(words) - ceil(len(words) / {ANSWER_PART}::double)::bigint - least({SHINGLE}, len(words)) + 1) as split
+  from ({_shingled("(select row_number() over () as item, item_id, text from benchmark)")})),
+in_docs as (select distinct row, doc_id, unnest(shingles) as shingle from docs),
+in_items as (
+  select item, item_id, len(shingles) as n, split, unnest(shingles) as shingle, unnest(range(len(shingles))) as place from items),
+found as (
+  select row, doc_id, item, item_id, n, split, count(*) filter (place < split) as question, count(*) filter (place >= split) as answer
+  from in_docs join in_items using (shingle) group by all)
+select doc_id, item_id, question::int as question_found, split::int as question_shingles,
+       answer::int as answer_found, (n - split)::int as answer_shingles
+from found
+where question + answer >= {LEAK} * n and question >= {LEAK_PART} * split and answer >= {LEAK_PART} * (n - split)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_hash_tree_sharding": SHARDING, "op6_source_mixing": MIXING}
+    return {"op4_hash_tree_sharding": SHARDING, "op6_source_mixing": MIXING, "op9_benchmark_leaks": LEAKS}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkrank.llm.bm25_wand import find_leaks
 from linkrank.llm.common import id_remainder, read_table
 from linkrank.llm.de_bruijn import remove_repeats
 from linkrank.llm.hash_tree import shard_documents
@@ -59,6 +60,11 @@ def op8_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return leaks.drop("score")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,5 +80,6 @@ def queries() -> dict[str, Query]:
         "op6_source_mixing": op6_source_mixing,
         "op7_de_bruijn_dedup": op7_de_bruijn_dedup,
         "op8_odd_sketch_dedup": op8_odd_sketch_dedup,
+        "op9_benchmark_leaks": op9_benchmark_leaks,
         "op10_token_counts": op10_token_counts,
     }
