@@ -15,6 +15,7 @@ from linkrank.llm.html_text import extract_pages
 from linkrank.llm.langid import identify_languages
 from linkrank.llm.mixing import mix_documents
 from linkrank.llm.odd_sketch import near_duplicates
+from linkrank.llm.prefix_forest import nearest
 from linkrank.llm.token_counts import count_tokens
 from linkrank.llm.toxicity import score_toxicity
 
@@ -37,6 +38,11 @@ def op2_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_fold(identify_languages(docs, learned_from), 5, 0, "lang_pred", "score", "rejected")
 
 
+def op3_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op4_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -75,6 +81,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_text_density": op1_text_density,
         "op2_centroid_language": op2_centroid_language,
+        "op3_prefix_forest": op3_prefix_forest,
         "op4_hash_tree_sharding": op4_hash_tree_sharding,
         "op5_weak_toxicity": op5_weak_toxicity,
         "op6_source_mixing": op6_source_mixing,
