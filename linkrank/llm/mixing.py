@@ -19,7 +19,8 @@ from linkrank.llm.common import WORD_PATTERN, stored
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEATS = 3
 LEVELS, BITS = 3, 12
-SALTS = 64  # a hot source meets its threshold in so many tasks
+SALTS = 64  # a hot source meets its limits in so many tasks
+ROW_BYTES, BROADCAST_BYTES = 100, 8 << 20
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -54,25 +55,40 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_rep
     return shared.select("source", "source_size", target.alias("target"))
 
 
-def mix(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """``rows`` (``source, size, hash`` among their columns) with ``source_size, target, copies``.
+def source_limits(rows: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """What each source gives, from rows of ``source, size, hash``: a table with one row for each source.
 
-    A source is taken whole as often as its target holds it; what is left is the
-    budget for the documents whose hash is below the source's threshold. The
-    bucket of the last level is taken if that comes nearer to the target.
+    ``source_size, target``; ``whole``: how often the source is taken in full;
+    ``prefix``: documents whose hash is below it are taken once more. The bucket
+    of the last level is taken if that comes nearer to the target.
     """
+    targets = source_targets(rows, weights, max_repeats)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     state = targets.withColumn("whole", whole.cast("long"))
     budget = F.col("target") - F.col("whole") * F.col("source_size")
-    state = stored(state.withColumn("rest", budget).withColumn("prefix", F.lit(0).cast("long")))
-    limits = state
+    limits = stored(state.withColumn("rest", budget).withColumn("prefix", F.lit(0).cast("long")))
     for level in range(LEVELS):
         limits = _refine(rows, limits, level)
-    salted = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).withColumnRenamed("source", "name")
-    keyed = rows.withColumn("spread", F.pmod(F.col("hash"), F.lit(SALTS)).cast("int"))
-    joined = keyed.join(salted, F.col("source").eqNullSafe(F.col("name")) & (F.col("spread") == F.col("salt")))
-    copies = F.col("whole") + (F.col("hash") < F.col("prefix")).cast("long")
-    return joined.select(*rows.columns, "source_size", "target", copies.alias("copies"))
+    return limits
+
+
+def with_copies(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """``rows`` (``source, hash`` among their columns) with ``source_size, target, copies``.
+
+    The limits are sent to the tasks if they take ``BROADCAST_BYTES`` at most;
+    otherwise rows and limits meet by source and a salt from the hash.
+    """
+    copies = (F.col("whole") + (F.col("hash") < F.col("prefix")).cast("long")).alias("copies")
+    named = limits.withColumnRenamed("source", "name")
+    same = F.col("source").eqNullSafe(F.col("name"))
+    used = limits.agg(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + ROW_BYTES)).first()[0] or 0
+    if used <= BROADCAST_BYTES:
+        joined = rows.join(F.broadcast(named), same)
+    else:
+        salted = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        spread = F.pmod(F.col("hash"), F.lit(SALTS)).cast("int")
+        joined = rows.withColumn("spread", spread).join(salted, same & (F.col("spread") == F.col("salt")))
+    return joined.select(*rows.columns, "source_size", "target", copies)
 
 
 def _refine(rows: DataFrame, limits: DataFrame, level: int) -> DataFrame:
@@ -117,6 +133,10 @@ def document_hash(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(name.cast("binary")), 1, LEVELS * BITS // 4), 16, 10).cast("long")
 
 
+def _measured(docs: DataFrame) -> list[Column]:
+    return ["source", words(F.col("text")).alias("size"), document_hash(F.col("doc_id"), F.col("text")).alias("hash")]
+
+
 def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` and ``source, copies, hash`` for every row of ``docs``.
 
@@ -124,9 +144,17 @@ def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repea
     take 0 words; null sources are one source, the last; equal ids are taken or
     left together. A source without words has target 0.
     """
-    rows = stored(
-        docs.select("doc_id", "source", words(F.col("text")).alias("size"), document_hash(F.col("doc_id"), F.col("text")).alias("hash"))
-    )
-    mixed = mix(rows, source_targets(rows, weights, max_repeats))
+    rows = stored(docs.select("doc_id", *_measured(docs)))
+    mixed = with_copies(rows, source_limits(rows, weights, max_repeats))
     taken = F.col("copies") * F.col("size")
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "copies", "hash")
+
+
+def mixed_corpus(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as it is taken, with the columns of ``docs``."""
+    rows = stored(docs.select(*_measured(docs)))
+    limits = source_limits(rows, weights, max_repeats)
+    held = docs.select(F.struct(*docs.columns).alias("document"), *_measured(docs)[::2])
+    taken = with_copies(held, limits).where("copies > 0")
+    repeated = taken.select("document", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.select("document.*")

@@ -183,15 +183,12 @@ def _ties(classes: DataFrame) -> DataFrame:
     return alike.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+def components(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """``doc_id, digest, n_shingles, component, component_id`` for every row of ``docs``.
 
-    Documents are linked if 100 * intersection >= ``percent`` * union of their
-    sets of 5-word shingles (fewer words: one shingle). ``component_id`` is the
-    smallest id that links reach; null ids count only if there is no other.
-    Null, empty and blank texts are linked with nothing: their component is
-    their own id. ``kept`` is whether the id is the component's. Repeated rows
-    are kept and get the same result; other columns are ignored.
+    ``digest`` is the text's xxhash64 and with the id tells rows apart;
+    ``component`` is a number for each group of linked documents, null for texts
+    without words. The rest is as in ``near_duplicates``.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     features = stored(rows.mapInPandas(_features, FEATURES))
@@ -227,14 +224,55 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     linked = connected_components(links)
     result = classes.select("node", "high", "low", "n_shingles", F.col("doc_id").alias("smallest"))
     reached = linked.join(result, "node").groupBy("component").agg(F.min("smallest").alias("component_id"))
-    by_node = linked.join(reached, "component").select("node", "component_id", F.lit(True).alias("in_component"))
+    by_node = linked.join(reached, "component").select("node", "component", "component_id")
+    alone = F.col("component").isNull()
     final = stored(
         result.join(by_node, "node", "left").select(
-            "high", "low", "n_shingles", F.when(F.col("in_component"), F.col("component_id")).otherwise(F.col("smallest")).alias("component_id")
+            "high",
+            "low",
+            "n_shingles",
+            F.coalesce("component", "node").alias("component"),
+            F.when(alone, F.col("smallest")).otherwise(F.col("component_id")).alias("component_id"),
         )
     )
-    named_rows = features.select("doc_id", "high", "low", "n_shingles").join(final, ["high", "low", "n_shingles"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return named_rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    named_rows = features.select("doc_id", "digest", "high", "low", "n_shingles").join(final, ["high", "low", "n_shingles"], "left")
+    component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return named_rows.select("doc_id", "digest", "n_shingles", "component", component_id.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+
+    Documents are linked if 100 * intersection >= ``percent`` * union of their
+    sets of 5-word shingles (fewer words: one shingle). ``component_id`` is the
+    smallest id that links reach; null ids count only if there is no other.
+    Null, empty and blank texts are linked with nothing: their component is
+    their own id. ``kept`` is whether the id is the component's. Repeated rows
+    are kept and get the same result; other columns are ignored.
+    """
+    found = components(docs, percent).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """One row of each group of linked documents, with the columns of ``docs``.
+
+    The row of the smallest id stays; of equal or null ids, that of the smaller
+    text hash. Rows equal in id and text are one document. Texts without words stay.
+    """
+    found = components(docs, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest"))
+    chosen = found.where("component is not null").groupBy("component").agg(first.alias("first"))
+    kept = chosen.select("first.doc_id", "first.digest").unionByName(
+        found.where("component is null").select("doc_id", "digest").distinct()
+    )
+    keys = stored(kept.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("unnamed"), F.coalesce("digest", F.lit(0)).alias("digest")))
+    id_ = F.col("doc_id").cast("long")
+    rows = docs.select(
+        F.coalesce(id_, F.lit(0)).alias("id"),
+        id_.isNull().alias("unnamed"),
+        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("digest"),
+        F.struct(*docs.columns).alias("document"),
     )
+    names = ["id", "unnamed", "digest"]
+    return rows.join(keys, names, "left_semi").dropDuplicates(names).select("document.*")

@@ -139,7 +139,7 @@ def _best(k: int):
         rows = rows.sort_values(["code", "vec_id"])
         x = np.stack(rows["embedding"].to_list()).astype(np.float64)
         ids, codes = rows["vec_id"].to_numpy(), rows["code"].to_numpy()
-        parts = []
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for query_id, depth, code, vector in zip(queries["query_id"], queries["depth"], queries["code"], queries["embedding"], strict=True):
             shift = SYMBOL_BITS * (DEPTH - depth)
             low = (code >> shift) << shift
@@ -149,8 +149,8 @@ def _best(k: int):
             if len(near) > k:
                 near = near[score[near] >= np.partition(score[near], -k)[-k]]
             near = near[np.lexsort((ids[a:b][near], -score[near]))[:k]]
-            parts.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[a:b][near], "score": score[near]}))
-        return pd.concat(parts, ignore_index=True)
+            parts.append((np.full(len(near), query_id), ids[a:b][near], score[near]))
+        return pd.DataFrame({c: np.concatenate(values) for c, values in zip(columns, zip(*parts, strict=True), strict=True)})
 
     return search
 

@@ -252,3 +252,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     model = fit_toxicity(docs, labels, **options)
     scored = docs.select("doc_id", toxicity(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    return docs.where(toxicity(F.col("text"), fit_toxicity(docs, labels, **options)) < threshold)
