@@ -21,7 +21,6 @@ Window hashes have 64 bits and are only compared under equal 64-bit minimizers.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,12 +32,13 @@ from pyspark.sql import functions as F
 from linkrank.llm.common import stored
 from linkrank.llm.word_hashes import hash_words, runs, signed
 
-WINDOW, CORE = 20, 8
+WINDOW, CORE = 20, 6
 PIECE_BYTES = 4 << 20
 NO_ID = (1 << 63) - 1  # a null id sorts last
+SIGN = np.int64(-(1 << 63))
 COORDINATES = ["doc", "digest", "start", "size", "source_doc", "source_digest", "source_start"]
 PATHS = ", ".join(f"{c} long" for c in COORDINATES)
-EDGES = f"key long, {PATHS}, windows binary"
+EDGES = "key long, record binary"  # packed: the shuffle carries them for most of the text
 
 
 def _breaks(*follows: np.ndarray) -> np.ndarray:
@@ -52,14 +52,33 @@ def _step(values: np.ndarray, by: int) -> np.ndarray:
     return values[1:] - values[:-1] == by
 
 
-def _batch(columns: dict[str, np.ndarray], windows: np.ndarray | None = None, sizes: np.ndarray | None = None) -> pa.RecordBatch:
-    arrays = {k: pa.array(v, pa.int64()) for k, v in columns.items()}
-    if sizes is not None:
-        offsets = np.zeros(len(sizes) + 1, np.int32)
-        np.cumsum(sizes * 8, out=offsets[1:])
-        data = pa.py_buffer(np.ascontiguousarray(windows))
-        arrays["windows"] = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), data])
-    return pa.RecordBatch.from_pydict(arrays)
+def _sortable(values: np.ndarray) -> np.ndarray:
+    """Numbers whose bytes compare like the numbers, and back again."""
+    return (values.astype(np.int64) ^ SIGN).byteswap()
+
+
+def _plain(values: np.ndarray) -> np.ndarray:
+    return values.byteswap() ^ SIGN
+
+
+def _path_batch(values: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], COORDINATES)
+
+
+def _pack(key: np.ndarray, head: list[np.ndarray], tail: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    """Rows of a key and a record: the numbers of ``head``, sortable, then ``sizes`` numbers of ``tail``."""
+    ends = np.cumsum(sizes + len(head))
+    starts = ends - sizes - len(head)
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+    rest = np.ones(len(data), bool)
+    for i, values in enumerate(head):
+        data[starts + i] = _sortable(values)
+        rest[starts + i] = False
+    data[rest] = tail
+    offsets = np.zeros(len(sizes) + 1, np.int32)
+    offsets[1:] = ends * 8
+    record = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), record], ["key", "record"])
 
 
 def _edges_of(doc: np.ndarray, digest: np.ndarray, texts: list[str]) -> Iterator[pa.RecordBatch]:
@@ -89,27 +108,23 @@ def _edges_of(doc: np.ndarray, digest: np.ndarray, texts: list[str]) -> Iterator
     place = inside - starts[owner]
     hashes, smallest = hashes[inside], smallest[inside]
     repeated, first = _first_seen(hashes)
+    # In a loop of one word an edge follows itself; its source is the place before.
+    loop = np.flatnonzero((hashes[1:] == hashes[:-1]) & (_step(owner, 0)) & (_step(place, 1))) + 1
+    first[loop] = loop - 1
     again = np.flatnonzero(repeated)
+    source = first[again]
     if len(again):
-        source = first[again]
         at = _breaks(_step(owner[again], 0), _step(place[again], 1), _step(owner[source], 0), _step(place[source], 1))
         size = np.diff(np.append(at, len(again)))
         own, src = again[at], source[at]
-        columns = {
-            "key": digest[owner[own]], "doc": doc[owner[own]], "digest": digest[owner[own]], "start": place[own], "size": size,
-            "source_doc": doc[owner[src]], "source_digest": digest[owner[src]], "source_start": place[src],
-        }
-        yield _batch(columns, np.zeros(0, np.uint64), np.zeros(len(at), np.int64))
+        # A path that is known already has a negative start.
+        path = [doc[owner[own]], digest[owner[own]], ~place[own], size, doc[owner[src]], digest[owner[src]], place[src]]
+        yield _pack(digest[owner[own]], path, np.zeros(0, np.int64), np.zeros(len(at), np.int64))
     here = np.flatnonzero(~repeated)
     at = _breaks(_step(owner[here], 0), _step(place[here], 1), smallest[here][1:] == smallest[here][:-1])
     size = np.diff(np.append(at, len(here)))
     own = here[at]
-    nothing = np.zeros(len(at), np.int64)
-    columns = {
-        "key": signed(smallest[own]), "doc": doc[owner[own]], "digest": digest[owner[own]], "start": place[own], "size": size,
-        "source_doc": nothing, "source_digest": nothing, "source_start": nothing,
-    }
-    yield _batch(columns, hashes[here], size)
+    yield _pack(signed(smallest[own]), [doc[owner[own]], digest[owner[own]], place[own]], signed(hashes[here]), size)
 
 
 def _first_seen(hashes: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -162,22 +177,27 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Paths of repeated edges from rows sorted by key and coordinates; paths found before pass through."""
     seen = _Seen()
     for batch in batches:
-        columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ["key", *COORDINATES]}
-        windows = batch.column("windows")
-        offsets = np.frombuffer(windows.buffers()[1], np.int32)[windows.offset : windows.offset + len(windows) + 1]
-        known = offsets[1:] == offsets[:-1]
+        record = batch.column("record")
+        if not len(record):
+            continue
+        offsets = np.frombuffer(record.buffers()[1], np.int32)[record.offset : record.offset + len(record) + 1] // 8
+        data = np.frombuffer(record.buffers()[2], np.int64, int(offsets[-1]))
+        begin = offsets[:-1].astype(np.int64)
+        keys = batch.column("key").to_numpy(zero_copy_only=False)
+        known = _plain(data[begin + 2]) < 0
         if known.any():
-            yield _batch({c: columns[c][known] for c in COORDINATES})
-        rows = np.flatnonzero(~known)
-        if not len(rows):
+            path = [_plain(data[begin[known] + i]) for i in range(len(COORDINATES))]
+            path[2] = ~path[2]
+            yield _path_batch(path)
+        begin, keys, size = begin[~known], keys[~known], np.diff(offsets)[~known].astype(np.int64) - 3
+        if not len(begin):
             continue
-        hashes = np.frombuffer(windows.buffers()[2], np.uint64, (offsets[-1] - offsets[0]) // 8, int(offsets[0]))
-        size = columns["size"][rows]
-        row = np.repeat(rows, size)
-        begin = np.repeat(np.cumsum(size) - size, size)
-        place = columns["start"][row] + np.arange(len(row)) - begin
-        key = columns["key"][row]
-        where = np.stack([columns["doc"][row], columns["digest"][row], place], axis=1)
+        row = np.repeat(np.arange(len(begin)), size)
+        inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        hashes = data[begin[row] + 3 + inside].view(np.uint64)
+        key = keys[row]
+        doc, digest, start = (_plain(data[begin + i])[row] for i in range(3))
+        where = np.stack([doc, digest, start + inside], axis=1)
         repeated, first = _first_seen(hashes, key)
         source = where[first]
         if seen.key is not None and (carried := np.flatnonzero(key == seen.key)).size:
@@ -195,7 +215,7 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = _breaks(*steps)
         size = np.diff(np.append(at, len(again)))
         own, src = own[at], src[at]
-        yield _batch(dict(zip(COORDINATES, [own[:, 0], own[:, 1], own[:, 2], size, src[:, 0], src[:, 1], src[:, 2]], strict=True)))
+        yield _path_batch([own[:, 0], own[:, 1], own[:, 2], size, src[:, 0], src[:, 1], src[:, 2]])
 
 
 def repeated_paths(texts: DataFrame) -> DataFrame:
@@ -203,10 +223,11 @@ def repeated_paths(texts: DataFrame) -> DataFrame:
 
     Words ``start`` to ``start + size + WINDOW - 1`` of a document also stand at
     ``source_start`` of the source, which comes earlier. ``digest`` tells
-    documents of one id apart.
+    documents of one id apart. Records sort by document and place, so the
+    first occurrence of an edge comes first.
     """
     edges = texts.mapInArrow(_edges, EDGES)
-    dealt = edges.repartition("key").sortWithinPartitions("key", "doc", "digest", "start")
+    dealt = edges.repartition("key").sortWithinPartitions("key", "record")
     pieces = stored(dealt.mapInArrow(_paths, PATHS))
     distance = F.col("start") - F.col("source_start")
     line = Window.partitionBy("doc", "digest", "source_doc", "source_digest", "distance").orderBy("start", "size")
@@ -239,12 +260,12 @@ def _kept(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator
                 gone = np.cumsum(change[:-1]) > 0
                 words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
             kept = b" ".join(words)
-            rows.append((total, total - len(words), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8")))
-        yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256", "kept"])
+            rows.append((total, total - len(words), kept.decode("utf-8")))
+        yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_words, n_removed, kept_sha256, kept`` for every row of ``docs``.
+    """``doc_id, n_words, n_removed, kept`` for every row of ``docs``.
 
     A word goes if a window of ``WINDOW`` words that covers it also starts
     earlier: in a document of smaller id (null ids last; equal ids in the order
@@ -257,7 +278,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     paths = repeated_paths(rows.where("text is not null").select("doc", "digest", "text"))
     by_doc = paths.groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "size")).alias("paths"))
-    kept = F.pandas_udf(_kept, "n_words long, n_removed long, kept_sha256 string, kept string")
+    kept = F.pandas_udf(_kept, "n_words long, n_removed long, kept string")
     joined = rows.join(by_doc, ["doc", "digest"], "left")
     result = joined.select("doc_id", kept("text", F.col("paths.start"), F.col("paths.size")).alias("r"))
-    return result.select("doc_id", "r.n_words", "r.n_removed", "r.kept_sha256", "r.kept")
+    return result.select("doc_id", "r.*")
