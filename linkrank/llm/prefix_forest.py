@@ -217,6 +217,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, enough: int = EN
         *shard, "query_id", "embedding", "code", "depth", spread("query_id", "query_blocks").alias("query_block"), every("row_blocks").alias("row_block")
     )
     key = [*shard, "row_block", "query_block"]
+    # Both sides may come from one table; new columns tell them apart.
+    index, visits = (side.select(*[F.col(c).alias(c) for c in side.columns]) for side in (index, visits))
     best = index.groupBy(*key).cogroup(visits.groupBy(*key)).applyInPandas(_best(k), "query_id long, vec_id long, score double")
     merged = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
