@@ -16,7 +16,7 @@ edges mostly share it and travel as one row with their coordinates.
    found, and then across rows and tasks on (document, source, distance).
 4. Paths are joined to the documents and their words taken out.
 
-Window hashes have 64 bits and are only compared under equal 64-bit minimizers.
+Window hashes have 56 bits and are only compared under equal 64-bit minimizers.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ WINDOW, CORE = 20, 6
 PIECE_BYTES = 4 << 20
 NO_ID = (1 << 63) - 1  # a null id sorts last
 SIGN = np.int64(-(1 << 63))
+HEAD, HASH_BYTES = 20, 7  # of a record: document, digest and start; each window's hash
 COORDINATES = ["doc", "digest", "start", "size", "source_doc", "source_digest", "source_start"]
 PATHS = ", ".join(f"{c} long" for c in COORDINATES)
 EDGES = "key long, record binary"  # packed: the shuffle carries them for most of the text
@@ -52,31 +53,36 @@ def _step(values: np.ndarray, by: int) -> np.ndarray:
     return values[1:] - values[:-1] == by
 
 
-def _sortable(values: np.ndarray) -> np.ndarray:
-    """Numbers whose bytes compare like the numbers, and back again."""
-    return (values.astype(np.int64) ^ SIGN).byteswap()
+def _sortable(values: np.ndarray, n_bytes: int = 8) -> np.ndarray:
+    """Rows of bytes that compare like the numbers."""
+    kind, sign = (np.int64, SIGN) if n_bytes == 8 else (np.int32, np.int32(-(1 << 31)))
+    return (values.astype(kind) ^ sign).byteswap().view(np.uint8).reshape(-1, n_bytes)
 
 
-def _plain(values: np.ndarray) -> np.ndarray:
-    return values.byteswap() ^ SIGN
+def _plain(data: np.ndarray, at: np.ndarray, n_bytes: int = 8) -> np.ndarray:
+    """The numbers whose sortable bytes start at the places ``at``."""
+    kind, sign = (np.int64, SIGN) if n_bytes == 8 else (np.int32, np.int32(-(1 << 31)))
+    raw = np.ascontiguousarray(data[at[:, None] + np.arange(n_bytes)])
+    return (raw.view(kind).ravel().byteswap() ^ sign).astype(np.int64)
 
 
 def _path_batch(values: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], COORDINATES)
 
 
-def _pack(key: np.ndarray, head: list[np.ndarray], tail: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
-    """Rows of a key and a record: the numbers of ``head``, sortable, then ``sizes`` numbers of ``tail``."""
-    ends = np.cumsum(sizes + len(head))
-    starts = ends - sizes - len(head)
-    data = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
+def _pack(key: np.ndarray, head: np.ndarray, tail: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    """Rows of a key and a record: a row of ``head``, then ``sizes`` bytes of ``tail``."""
+    width = head.shape[1]
+    ends = np.cumsum(sizes + width)
+    starts = ends - sizes - width
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
     rest = np.ones(len(data), bool)
-    for i, values in enumerate(head):
-        data[starts + i] = _sortable(values)
-        rest[starts + i] = False
+    places = (starts[:, None] + np.arange(width)).ravel()
+    data[places] = head.ravel()
+    rest[places] = False
     data[rest] = tail
     offsets = np.zeros(len(sizes) + 1, np.int32)
-    offsets[1:] = ends * 8
+    offsets[1:] = ends
     record = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), record], ["key", "record"])
 
@@ -118,13 +124,16 @@ def _edges_of(doc: np.ndarray, digest: np.ndarray, texts: list[str]) -> Iterator
         size = np.diff(np.append(at, len(again)))
         own, src = again[at], source[at]
         # A path that is known already has a negative start.
-        path = [doc[owner[own]], digest[owner[own]], ~place[own], size, doc[owner[src]], digest[owner[src]], place[src]]
-        yield _pack(digest[owner[own]], path, np.zeros(0, np.int64), np.zeros(len(at), np.int64))
+        numbers = [size, doc[owner[src]], digest[owner[src]], place[src]]
+        head = [_sortable(doc[owner[own]]), _sortable(digest[owner[own]]), _sortable(~place[own], 4), *map(_sortable, numbers)]
+        yield _pack(signed(hashes[own]), np.hstack(head), np.zeros(0, np.uint8), np.zeros(len(at), np.int64))
     here = np.flatnonzero(~repeated)
     at = _breaks(_step(owner[here], 0), _step(place[here], 1), smallest[here][1:] == smallest[here][:-1])
     size = np.diff(np.append(at, len(here)))
     own = here[at]
-    yield _pack(signed(smallest[own]), [doc[owner[own]], digest[owner[own]], place[own]], signed(hashes[here]), size)
+    head = [_sortable(doc[owner[own]]), _sortable(digest[owner[own]]), _sortable(place[own], 4)]
+    tail = hashes[here].view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES].ravel()
+    yield _pack(signed(smallest[own]), np.hstack(head), tail, size * HASH_BYTES)
 
 
 def _first_seen(hashes: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -180,24 +189,25 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         record = batch.column("record")
         if not len(record):
             continue
-        offsets = np.frombuffer(record.buffers()[1], np.int32)[record.offset : record.offset + len(record) + 1] // 8
-        data = np.frombuffer(record.buffers()[2], np.int64, int(offsets[-1]))
-        begin = offsets[:-1].astype(np.int64)
-        keys = batch.column("key").to_numpy(zero_copy_only=False)
-        known = _plain(data[begin + 2]) < 0
+        offsets = np.frombuffer(record.buffers()[1], np.int32)[record.offset : record.offset + len(record) + 1].astype(np.int64)
+        data = np.frombuffer(record.buffers()[2], np.uint8, int(offsets[-1]))
+        begin, keys = offsets[:-1], batch.column("key").to_numpy(zero_copy_only=False)
+        doc, digest, start = _plain(data, begin), _plain(data, begin + 8), _plain(data, begin + 16, 4)
+        known = start < 0
         if known.any():
-            path = [_plain(data[begin[known] + i]) for i in range(len(COORDINATES))]
-            path[2] = ~path[2]
-            yield _path_batch(path)
-        begin, keys, size = begin[~known], keys[~known], np.diff(offsets)[~known].astype(np.int64) - 3
-        if not len(begin):
+            numbers = [_plain(data, begin[known] + HEAD + 8 * i) for i in range(4)]
+            yield _path_batch([doc[known], digest[known], ~start[known], *numbers])
+        here = np.flatnonzero(~known)
+        if not len(here):
             continue
-        row = np.repeat(np.arange(len(begin)), size)
+        size = (np.diff(offsets)[here] - HEAD) // HASH_BYTES
+        row = np.repeat(here, size)
         inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-        hashes = data[begin[row] + 3 + inside].view(np.uint64)
+        padded = np.zeros((len(row), 8), np.uint8)
+        padded[:, :HASH_BYTES] = data[(begin[row] + HEAD + HASH_BYTES * inside)[:, None] + np.arange(HASH_BYTES)]
+        hashes = padded.view(np.uint64).ravel()
         key = keys[row]
-        doc, digest, start = (_plain(data[begin + i])[row] for i in range(3))
-        where = np.stack([doc, digest, start + inside], axis=1)
+        where = np.stack([doc[row], digest[row], start[row] + inside], axis=1)
         repeated, first = _first_seen(hashes, key)
         source = where[first]
         if seen.key is not None and (carried := np.flatnonzero(key == seen.key)).size:
@@ -273,9 +283,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     single blanks. Null and empty texts have no words. A row that stands in the
     table twice is one document, and both rows get its result.
     """
-    rows = docs.select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("digest"), "text"
-    )
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc")
+    rows = docs.select("doc_id", doc, F.xxhash64("text").alias("digest"), "text")
+    shared = rows.groupBy("doc").agg((F.min("digest") != F.max("digest")).alias("shared")).where("shared")
+    if shared.isEmpty():
+        rows = rows.withColumn("digest", F.lit(0).cast("long"))  # ids alone tell the texts apart
     paths = repeated_paths(rows.where("text is not null").select("doc", "digest", "text"))
     by_doc = paths.groupBy("doc", "digest").agg(F.collect_list(F.struct("start", "size")).alias("paths"))
     kept = F.pandas_udf(_kept, "n_words long, n_removed long, kept string")
