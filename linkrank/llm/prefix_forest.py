@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from linkrank.llm.common import stored
 
-TREES, DEPTH = 48, 3
-ENOUGH = 8_192
+TREES, DEPTH = 64, 3
+ENOUGH = 4_096
 K = 20
 BLOCK_ROWS, BLOCK_QUERIES = 4_096, 2_048
 SYMBOL_BITS = 14  # up to 8,191 dimensions
