@@ -25,7 +25,8 @@ def tuple_rank_line(page: Column, rank: Column) -> Column:
     """``('page', rank)``, the way Python prints such a pair.
 
     A page holding a single quote is put in double quotes; one holding both
-    kinds has its single quotes escaped. Backslashes are doubled.
+    kinds has its single quotes escaped. Backslashes are doubled. Tabs and other
+    control characters stay as they are, where Python would escape them.
     """
     text = F.replace(page.cast("string"), F.lit("\\"), F.lit("\\\\"))
     single, double = F.contains(text, F.lit("'")), F.contains(text, F.lit('"'))

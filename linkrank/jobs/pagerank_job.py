@@ -3,6 +3,7 @@
     spark-submit linkrank/jobs/pagerank_job.py INPUT OUTPUT [ITERATIONS] [DAMPING]
         [--semantics rows-zero|distinct-drop] [--layout csv|by-url|text]
         [--mode error|overwrite] [--num-partitions N] [--top K] [--progress]
+        [--checkpoint-every STEPS] [--hot-links N]
 
 Rows-zero reads blank-separated triples and saves CSV; distinct-drop splits
 lines at whitespace and saves text. A failure ends the program with an error.
@@ -38,6 +39,8 @@ def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--layout", choices=LAYOUTS, help="default: csv for rows-zero, else text")
     parser.add_argument("--mode", choices=["error", "overwrite"], help="default: overwrite for by-url, else error")
     parser.add_argument("--num-partitions", type=int, help="shuffle width; default: as configured, or from the input size")
+    parser.add_argument("--checkpoint-every", type=int, default=2, help="steps between checkpoints")
+    parser.add_argument("--hot-links", type=int, help="links from which a page is spread; default: a mean partition")
     parser.add_argument("--top", type=int, default=5, help="ranks to print")
     parser.add_argument("--strip-brackets", action="store_true", help="take URL parts from inside <...>")
     parser.add_argument("--progress", action="store_true", help="print the number of pages after each step")
@@ -69,6 +72,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         args.iterations,
         args.damping,
         semantics,
+        num_partitions=args.num_partitions,
+        checkpoint_every=args.checkpoint_every,
+        hot_links=args.hot_links,
         on_step=show_step if args.progress else None,
     )
     write_ranks(ranks, args.output, layout, mode, args.strip_brackets)

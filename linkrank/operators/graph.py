@@ -22,16 +22,15 @@ from enum import Enum
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.session import default_width
+from linkrank.session import default_width, ensure_checkpoint_dir
 
 # A source is never called hot below this many links: that many rows are an
-# ordinary partition.
+# ordinary partition. Concerns the layout only; ranks do not depend on it.
 MIN_HOT_LINKS = 100_000
-# Small graphs get fewer partitions than a shuffle, one per this many links.
-MIN_PARTITION_LINKS = 50_000
-# Tables of hot sources are broadcast up to this many rows (a few MB). By
-# default there are at most as many hot sources as partitions.
-MAX_BROADCAST_ROWS = 100_000
+# Tables of hot sources are broadcast up to this size, measured on their rows.
+MAX_BROADCAST_BYTES = 8 << 20
+ROW_BYTES = 32  # besides the page itself
+HASH_DIGITS = 15  # of the md5 that puts a target into a block; 60 bits fit a BIGINT
 
 
 class DegreeRule(Enum):
@@ -90,8 +89,6 @@ class LinkGraph:
     def with_page_layout(self, pages: DataFrame, how: str) -> DataFrame:
         """Join ``sources`` (left side) with a per-page table, on the page."""
         if self.kept:
-            if self.width != default_width(pages.sparkSession):
-                pages = pages.repartition(self.width, "page")
             # Both sides already lie side by side; only ``pages`` is sorted.
             pages = pages.hint("merge")
         return self.sources.join(pages, "page", how)
@@ -120,16 +117,6 @@ class LinkGraph:
         """Every link with the columns of the page it leaves (inner join)."""
         return self.links.join(self.keyed(pages), self.keys).drop("salt")
 
-    def blocks(self, pages: DataFrame) -> DataFrame:
-        """``page, block, neighbours`` and the columns of ``pages`` (inner join).
-
-        A block is the sorted set of targets under one key of the links.
-        """
-        neighbours = F.sort_array(F.collect_set("target")).alias("neighbours")
-        lists = self.links.groupBy(*self.keys).agg(neighbours).join(self.keyed(pages), self.keys)
-        lists = lists if self.salted else lists.withColumn("salt", F.lit(0).cast("bigint"))
-        return lists.withColumnsRenamed({"source": "page", "salt": "block"})
-
     def release(self) -> None:
         """Give up the stored tables."""
         for table in self.stored:
@@ -145,13 +132,15 @@ def prepare_graph(
 ) -> LinkGraph:
     """Lay out the links in ``edges`` (columns ``source, target``).
 
-    ``num_partitions`` defaults to the shuffle width of the session, or less for
-    a small graph. A source
+    ``num_partitions`` defaults to the shuffle width of the session. A source
     with more than ``hot_links`` links is spread over several partitions by a
-    salt taken from the target; the default limit is the mean partition size.
-    ``keep`` stores both tables in memory and, beyond it, on disk (for many passes); without it they stay plain
-    query plans (for a single pass). Stored blocks lost with an executor are
-    computed again from the input.
+    salt taken from the target. ``keep`` stores both tables in memory and,
+    beyond it, on disk (for many passes), and hot links default to the mean
+    partition size, 100,000 at least. Without it they stay plain query plans
+    (for a single pass): no job runs here, and links are only spread if
+    ``hot_links`` is given. Stored blocks lost with an executor are computed
+    again from the input. For one exchange per step, jobs on a kept graph run
+    with its width as that of shuffles (``session.shuffle_width``).
     """
     for name, value in (("num_partitions", num_partitions), ("hot_links", hot_links)):
         if value is not None and value < 1:
@@ -172,10 +161,11 @@ def prepare_graph(
     )
     if keep:
         pairs.persist()
-        if num_partitions is None:
-            width = min(width, max(1, math.ceil(pairs.count() / MIN_PARTITION_LINKS)))
         sources = sources.repartition(width, "page").sortWithinPartitions("page").persist()
 
+    if not keep and hot_links is None:
+        laid_out = sources.withColumn("salts", F.lit(1).cast("bigint"))
+        return LinkGraph(laid_out, pairs.select("source", "target").where("source IS NOT NULL"), width, False)
     totals = sources.agg(F.sum("links").alias("links"), F.max("links").alias("largest")).first()
     limit = hot_links or max(MIN_HOT_LINKS, math.ceil((totals.links or 0) / width))
     salted = (totals.largest or 0) > limit
@@ -193,46 +183,61 @@ def prepare_graph(
     return LinkGraph(laid_out, links, width, salted, (sources, links) if keep else ())
 
 
+def _broadcast_size(table: DataFrame, page: str) -> int:
+    """Bytes that a table of one row per page takes, from its rows."""
+    size = F.octet_length(F.col(page).cast("string")) + F.lit(ROW_BYTES)
+    return table.agg(F.sum(size)).first()[0] or 0
+
+
 def _salted(links: DataFrame, hot: DataFrame, hub_limit: int) -> DataFrame:
     """``source, target, salt``: links of a hot source spread by their target.
 
     Sources above ``hub_limit``, the mean partition size, are at most as many
-    as there are partitions, so they can always be broadcast. If the other hot
-    sources are too many for that, they are joined by shuffle; none of them
-    has more links than an average partition.
+    as there are partitions, so they can always be broadcast. If the table of
+    all hot sources is too large for that, the others are joined by shuffle;
+    none of them has more links than an average partition.
     """
-    hot = hot.where("page IS NOT NULL").withColumnRenamed("page", "source")
-    if hot.count() <= MAX_BROADCAST_ROWS:
-        known = links.join(F.broadcast(hot.select("source", "salts")), "source", "left")
-    else:
-        hubs = F.broadcast(hot.where(F.col("links") > hub_limit).select("source", "salts"))
-        others = hot.where(F.col("links") <= hub_limit).select("source", "salts")
-        known = links.join(hubs, "source").unionByName(
-            links.join(hubs, "source", "left_anti").join(others, "source", "left")
-        )
     salt = F.pmod(F.xxhash64("target"), F.coalesce("salts", F.lit(1).cast("bigint")))
-    return known.select("source", "target", salt.alias("salt"))
+    return _with_hot(links, hot, "salts", hub_limit).select("source", "target", salt.alias("salt"))
 
 
-def adjacency(
-    edges: DataFrame,
-    ranks: DataFrame | None = None,
-    max_neighbours: int = MIN_HOT_LINKS,
-    num_partitions: int | None = None,
-) -> DataFrame:
+def _with_hot(links: DataFrame, hot: DataFrame, name: str, hub_limit: int) -> DataFrame:
+    """``links`` with the column ``name`` of their source from ``hot`` (``page, links, name``), else NULL."""
+    hot = hot.where("page IS NOT NULL").withColumnRenamed("page", "source")
+    if _broadcast_size(hot, "source") <= MAX_BROADCAST_BYTES:
+        return links.join(F.broadcast(hot.select("source", name)), "source", "left")
+    hubs = F.broadcast(hot.where(F.col("links") > hub_limit).select("source", name))
+    others = hot.where(F.col("links") <= hub_limit).select("source", name)
+    return links.join(hubs, "source").unionByName(
+        links.join(hubs, "source", "left_anti").join(others, "source", "left")
+    )
+
+
+def adjacency(edges: DataFrame, block_size: int, ranks: DataFrame | None = None) -> DataFrame:
     """``page, block, neighbours, degree``: the distinct targets of each page, sorted.
 
-    Pages with up to ``max_neighbours`` targets have the one block 0. Larger
-    ones are cut into several blocks, so that no row and no task has to hold
-    the whole neighbourhood of a hub; ``degree`` is that of the whole page.
+    A page's targets lie in ``ceil(degree / block_size)`` blocks, so that no row
+    and no task has to hold the whole neighbourhood of a hub. A target's block
+    is the number in the first 15 hex digits of its md5, modulo the blocks of
+    the page; empty blocks give no row. ``degree`` is that of the whole page.
     With ``ranks`` there is a ``pagerank`` column too, and pages without a rank
-    are left out.
+    are left out. The input is read once: the distinct links are written to the
+    checkpoint folder.
     """
-    graph = prepare_graph(
-        edges, DegreeRule.DISTINCT, num_partitions, hot_links=max_neighbours, keep=False
-    )
-    pages, columns = graph.sources, ["degree"]
+    if block_size < 1:
+        raise ValueError("block_size must be 1 or more")
+    ensure_checkpoint_dir(edges.sparkSession)
+    links = distinct_links(edges.where("source IS NOT NULL AND target IS NOT NULL")).checkpoint()
+    degrees = links.groupBy(F.col("source").alias("page")).agg(F.count(F.lit(1)).alias("links"))
+    blocks_of = F.ceil(F.col("links") / F.lit(block_size)).cast("bigint")
+    large = degrees.where(F.col("links") > block_size).withColumn("blocks", blocks_of)
+    hub_limit = math.ceil(links.count() / default_width(edges.sparkSession))
+    digits = F.substring(F.md5(F.col("target").cast("string").cast("binary")), 1, HASH_DIGITS)
+    block = F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.coalesce("blocks", F.lit(1).cast("bigint")))
+    dealt = _with_hot(links, large, "blocks", hub_limit).withColumn("block", block)
+    lists = dealt.groupBy("source", "block").agg(F.sort_array(F.collect_set("target")).alias("neighbours"))
+    pages, columns = degrees.withColumnRenamed("links", "degree"), ["degree"]
     if ranks is not None:
-        pages, columns = graph.ranked_sources(ranks, keep_unranked=False), ["degree", "pagerank"]
-    blocks = graph.blocks(pages.select("page", "salts", *columns))
-    return blocks.select("page", "block", "neighbours", *columns)
+        pages, columns = pages.join(ranks.select("page", "pagerank"), "page"), ["degree", "pagerank"]
+    whole = lists.withColumnRenamed("source", "page").join(pages, "page")
+    return whole.select("page", "block", "neighbours", *columns)

@@ -18,14 +18,21 @@ def damped(total: Column, damping: float) -> Column:
     return F.lit(1 - damping) + F.lit(damping) * total
 
 
+def page_shares(graph: LinkGraph, ranks: DataFrame | None, keep_unranked: bool) -> DataFrame:
+    """``page, salts, contribution``: what each page passes along every one of its links.
+
+    Has the layout of the graph's sources, and keeps it in a checkpoint.
+    """
+    share = F.col("pagerank") / F.col("degree")
+    return graph.ranked_sources(ranks, keep_unranked).select("page", "salts", share.alias("contribution"))
+
+
 def link_contributions(graph: LinkGraph, ranks: DataFrame | None, keep_unranked: bool) -> DataFrame:
     """``source, target, contribution``: what each link passes on.
 
     The division happens once per page, before the join with the links.
     """
-    share = F.col("pagerank") / F.col("degree")
-    ranked = graph.ranked_sources(ranks, keep_unranked)
-    return graph.along_links(ranked.select("page", "salts", share.alias("contribution")))
+    return graph.along_links(page_shares(graph, ranks, keep_unranked))
 
 
 def neighbour_contributions(ranked: DataFrame) -> DataFrame:
@@ -41,17 +48,22 @@ def sum_contributions(contributions: DataFrame) -> DataFrame:
     return contributions.groupBy("target").agg(F.sum("contribution").alias("sum_contributions"))
 
 
-def rank_step(
-    graph: LinkGraph, ranks: DataFrame | None, damping: float, keep_unranked: bool
-) -> DataFrame:
-    """``page, pagerank`` of every page that is the target of a counted link."""
-    totals = sum_contributions(link_contributions(graph, ranks, keep_unranked))
+def ranks_from_shares(graph: LinkGraph, shares: DataFrame, damping: float) -> DataFrame:
+    """``page, pagerank`` of every page that is the target of a link of a page in ``shares``."""
+    totals = sum_contributions(graph.along_links(shares))
     return totals.select(
         F.col("target").alias("page"),
         damped(F.col("sum_contributions"), damping).alias("pagerank"),
     )
 
 
+def rank_step(
+    graph: LinkGraph, ranks: DataFrame | None, damping: float, keep_unranked: bool
+) -> DataFrame:
+    """``page, pagerank`` of every page that is the target of a counted link."""
+    return ranks_from_shares(graph, page_shares(graph, ranks, keep_unranked), damping)
+
+
 def complete_ranks(graph: LinkGraph, ranks: DataFrame, add_sources: bool) -> DataFrame:
     """``page, pagerank, out_degree`` of a rank table.
 

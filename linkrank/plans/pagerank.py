@@ -21,8 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.operators.graph import DegreeRule, LinkGraph, prepare_graph
-from linkrank.operators.steps import complete_ranks, rank_step
-from linkrank.session import ensure_checkpoint_dir
+from linkrank.operators.steps import complete_ranks, page_shares, ranks_from_shares
+from linkrank.session import (
+    checkpoint_in_place,
+    default_width,
+    discard_checkpoint,
+    ensure_checkpoint_dir,
+    shuffle_width,
+)
 
 
 class RankSemantics(Enum):
@@ -52,13 +58,17 @@ def pagerank(
 
     Returns ``page, pagerank, out_degree``, read from a reliable checkpoint:
     using the result several times ranks once. Every ``checkpoint_every`` steps
-    the rank table - small next to the links - is written to
-    ``spark.checkpoint.dir``, which bounds the plan, the shuffle files held,
-    and the work repeated when executors are lost.
+    what the pages pass on - a table of the pages with links, small next to the
+    links - is written to ``spark.checkpoint.dir``, which bounds the plan, the
+    shuffle files held, and the work repeated when executors are lost. It keeps
+    the layout of the links, so the next step joins it as it lies. The files of
+    a checkpoint are removed once the next one is there.
 
     ``on_step(step, pages)`` is called after each step with the number of pages
-    in the rank table, counted on what the checkpoint holds. ``num_partitions``
-    and ``hot_links`` are explained at ``prepare_graph``; neither changes ranks.
+    in the rank table; if pages can drop out, each step is a checkpoint then and
+    is counted there. Shuffles inside have ``num_partitions`` partitions, by
+    default those of the session. It and ``hot_links`` are explained at
+    ``prepare_graph``; neither changes ranks.
     """
     if isinstance(iterations, bool) or not isinstance(iterations, int) or iterations < 0:
         raise ValueError("iterations must be a whole number, 0 or more")
@@ -68,18 +78,37 @@ def pagerank(
         raise ValueError("checkpoint_every must be 1 or more")
     ensure_checkpoint_dir(edges.sparkSession)
 
-    graph = prepare_graph(edges, semantics.degree_rule, num_partitions, hot_links)
-    try:
-        ranks = None
-        for step in range(1, iterations + 1):
-            ranks = rank_step(graph, ranks, damping, semantics.keeps_unreached)
-            if on_step or (step % checkpoint_every == 0 and step < iterations):
-                ranks = ranks.checkpoint()
-            if on_step:
-                on_step(step, _page_table(graph, ranks, semantics).count())
-        return _page_table(graph, ranks, semantics).checkpoint()
-    finally:
-        graph.release()
+    keeps = semantics.keeps_unreached
+    width = num_partitions or default_width(edges.sparkSession)
+    with shuffle_width(edges.sparkSession, width):
+        graph = prepare_graph(edges, semantics.degree_rule, num_partitions, hot_links)
+        old: DataFrame | None = None
+        pages: int | None = None
+        try:
+            ranks, shares = None, page_shares(graph, None, keeps)
+            for step in range(1, iterations + 1):
+                ranks = ranks_from_shares(graph, shares, damping)
+                counted = None
+                if on_step and keeps:
+                    # The targets of links never change, nor do the sources.
+                    pages = pages or _page_table(graph, ranks, semantics).count()
+                    on_step(step, pages)
+                elif on_step:
+                    counted = ranks = ranks.checkpoint()
+                    on_step(step, ranks.count())
+                shares = page_shares(graph, ranks, keeps)
+                if counted is None and step % checkpoint_every == 0 and step < iterations:
+                    counted = shares = checkpoint_in_place(shares)
+                if counted is not None:
+                    if old is not None:
+                        discard_checkpoint(old)
+                    old = counted
+            result = _page_table(graph, ranks, semantics).checkpoint()
+            if old is not None:
+                discard_checkpoint(old)
+            return result
+        finally:
+            graph.release()
 
 
 def _page_table(graph: LinkGraph, ranks: DataFrame | None, semantics: RankSemantics) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# More reducers than this cost more in bookkeeping than they gain; partitions
-# then grow with the input and spill to disk.
-MAX_FITTED_WIDTH = 20_000
 WIDTH_SETTING = "spark.sql.shuffle.partitions"
+INITIAL_WIDTH_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_scratch: list[str] = []
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -34,8 +35,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, not yet existing path inside the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}/{name}"
+    """A fresh, not yet existing path inside the shared checkpoint folder.
+
+    ``clear_scratch`` removes what was written below such paths.
+    """
+    folder = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    _scratch.append(folder)
+    return f"{folder}/{name}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch folders of this program."""
+    while _scratch:
+        _remove(spark, _scratch.pop())
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)
+
+
+def discard_checkpoint(table: DataFrame) -> None:
+    """Remove the files of a table that ``checkpoint()`` returned; it can't be read afterwards."""
+    kept = table._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+    if kept.isDefined():
+        _remove(table.sparkSession, kept.get())
 
 
 def require_absent(spark: SparkSession, path: str) -> None:
@@ -51,12 +75,46 @@ def default_width(spark: SparkSession) -> int:
     conf = spark.conf
     adaptive = conf.get("spark.sql.adaptive.enabled") == "true"
     if adaptive and conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true":
-        initial = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        initial = conf.get(INITIAL_WIDTH_SETTING, None)
         if initial and initial.isdigit():
             return int(initial)
     return int(conf.get(WIDTH_SETTING))
 
 
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, object]) -> Iterator[None]:
+    """Session settings for jobs that run inside."""
+    before = {k: spark.conf.get(k, None) for k in wanted}  # None: not set, the default holds
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def shuffle_width(spark: SparkSession, width: int):
+    """Context in which shuffles have ``width`` partitions."""
+    names = [WIDTH_SETTING]
+    if spark.conf.get(INITIAL_WIDTH_SETTING, None):
+        names.append(INITIAL_WIDTH_SETTING)
+    return _settings(spark, dict.fromkeys(names, width))
+
+
+def checkpoint_in_place(table: DataFrame) -> DataFrame:
+    """``table.checkpoint()`` that keeps the partitioning and order of the plan.
+
+    Adaptive execution may change both while a job runs, so its checkpoints
+    count as laid out in no way. The setting is read when the job starts.
+    """
+    with _settings(table.sparkSession, {"spark.sql.adaptive.enabled": "false"}):
+        return table.checkpoint()
+
+
 def fit_width(table: DataFrame, wanted: int | None = None) -> int:
     """Set the shuffle width of the session for work on ``table``; returns it.
 
@@ -68,7 +126,7 @@ def fit_width(table: DataFrame, wanted: int | None = None) -> int:
     sc = spark.sparkContext
     if not wanted and not sc.getConf().contains(WIDTH_SETTING):
         splits = table.rdd.getNumPartitions()
-        wanted = min(max(splits, sc.defaultParallelism), MAX_FITTED_WIDTH)
+        wanted = max(splits, sc.defaultParallelism)
     if wanted:
         spark.conf.set(WIDTH_SETTING, wanted)
     return default_width(spark)

@@ -14,6 +14,9 @@ from linkrank.operators.topk import sorted_ranks
 from linkrank.operators.urls import annotate_ranks
 from linkrank.sinks.layouts import CSV, TEXT, check_layout, default_mode
 
+# Files of a directory without adaptive execution, at most.
+SPLIT_FILES = 64
+
 
 def write_ranks_csv(ranks: DataFrame, path: str, mode: str = "error") -> None:
     """One quoted ``page,rank`` column per line, bzip2. NULL pages give no line."""
@@ -27,12 +30,17 @@ def write_ranks_by_url(annotated: DataFrame, path: str, mode: str = "overwrite")
     The rows are brought together by directory first, so that a directory gets
     few files instead of one from every task. ``rebalance`` does this by size:
     a domain that holds most of the pages is split into many files, and small
-    domains share a task.
+    domains share a task. Without adaptive execution a hash of the page is part
+    of the key, so that a large domain is split then as well.
     """
+    rows = annotated.select("page", "pagerank", "domain", "protocol")
+    if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        dealt = rows.hint("rebalance", "domain", "protocol")
+    else:
+        part = F.pmod(F.xxhash64("page"), F.lit(SPLIT_FILES))
+        dealt = rows.repartition("domain", "protocol", part)
     (
-        annotated.select("page", "pagerank", "domain", "protocol")
-        .hint("rebalance", "domain", "protocol")
-        .write.partitionBy("domain", "protocol")
+        dealt.write.partitionBy("domain", "protocol")
         .mode(mode)
         .csv(path)
     )

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from linkrank.sinks.layouts import CSV, TEXT, URL, check_layout
 
+# What no saved page can be: one character that the writers never give alone.
+NO_VALUE = "\x00"
 # The rank follows the last comma, as page names may hold commas themselves.
 _CSV_LINE = r"(?s)^(.*),([^,]*)$"
 _TUPLE_LINE = r"(?s)^\((['\"])(.*)\1, ([^,]*)\)$"
@@ -21,10 +23,10 @@ def read_ranks(spark: SparkSession, path: str, layout: str = CSV) -> DataFrame:
     """``page, pagerank`` (for the URL layout also ``domain, protocol``)."""
     check_layout(layout)
     if layout == URL:
-        # A full schema keeps domains such as 2024 strings.
-        return spark.read.csv(
-            path, schema="page STRING, pagerank DOUBLE, domain STRING, protocol STRING"
-        )
+        # A full schema keeps domains such as 2024 strings. A page is never read
+        # as NULL because it is empty: "" and nothing stay apart.
+        schema = "page STRING, pagerank DOUBLE, domain STRING, protocol STRING"
+        return spark.read.csv(path, schema=schema, nullValue=NO_VALUE)
     if layout == TEXT:
         lines, pattern, page, rank = spark.read.text(path), _TUPLE_LINE, 2, 3
     else:

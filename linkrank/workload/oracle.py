@@ -17,6 +17,7 @@ from linkrank.workload.relations import (
     URL_LINKS,
 )
 
+# The two patterns of linkrank.functions.urls as SQL text.
 DOMAIN = r"'^(?:https?:\/\/)?(?:www\.)?([^\/]+)'"
 PROTOCOL = r"'^(https?):\/\/'"
 BUCKETS = 100
@@ -101,6 +102,34 @@ STEP_DISTINCT = f"""
 WITH links AS (SELECT DISTINCT source, target FROM ({{edges}}) AS edges),
 degrees AS (SELECT source AS page, count(*) AS out_degree FROM links GROUP BY source)
 """
+# The ranks of pages with links after one step.
+SECOND_ROWS = """, n1 AS (
+  SELECT target AS page, (1 - 0.85) + 0.85 * sum(CAST(1 AS DOUBLE) / out_degree) AS pagerank
+  FROM links JOIN degrees ON source = page GROUP BY target),
+r1 AS (SELECT d.page, coalesce(n1.pagerank, 0) AS pagerank, out_degree FROM degrees d LEFT JOIN n1 ON d.page = n1.page)
+"""
+SECOND_DISTINCT = """, n1 AS (
+  SELECT target AS page, sum(CAST(1 AS DOUBLE) / out_degree) * 0.85 + 0.15 AS pagerank
+  FROM links JOIN degrees ON source = page GROUP BY target),
+r1 AS (SELECT d.page, n1.pagerank, out_degree FROM degrees d JOIN n1 ON d.page = n1.page)
+"""
+STRIPPED = "regexp_replace({url}, '^<|>$', '', 'g')"
+
+
+def _six(value: str) -> str:
+    return f"round(round({value}, 9), 6)"
+
+
+def _blocks(block_size: int, ranks: str, columns: str) -> str:
+    """Blocks of the adjacency lists of pages in ``ranks``; follows STEP_DISTINCT."""
+    block = f"('0x' || substr(md5(CAST(target AS VARCHAR)), 1, 15))::BIGINT % CAST(ceil(out_degree / {block_size}.0) AS BIGINT)"
+    return f"""
+, dealt AS (SELECT page, {block} AS block, target, out_degree, pagerank FROM links JOIN {ranks} ON source = page)
+SELECT page, block, {columns} FROM dealt GROUP BY page, block, out_degree, pagerank"""
+
+
+START = "(SELECT page, out_degree, CAST(1 AS DOUBLE) AS pagerank FROM degrees) AS r0"
+NEIGHBOURS = "string_agg(CAST(target AS VARCHAR), ' ' ORDER BY target) AS neighbours, out_degree AS degree"
 ODD_TOKENS = rf"SELECT regexp_split_to_array(value, '\s+') AS t FROM ({ODD_LINES}) AS lines"
 
 
@@ -151,9 +180,7 @@ def oracle_sql() -> dict[str, str]:
         "annotated_ranks": _rows_zero(URL_LINKS) + ANNOTATED,
         "join_links_ranks": part_rows
         + "SELECT source, target, CAST(1 AS DOUBLE) AS pagerank, out_degree FROM links JOIN degrees ON source = page",
-        "join_adjacency_ranks": part_distinct
-        + "SELECT page, CAST(0 AS BIGINT) AS block, out_degree AS n_neighbours, CAST(1 AS DOUBLE) AS pagerank"
-        " FROM degrees",
+        "join_adjacency_ranks": part_distinct + _blocks(100_000, START, "out_degree AS n_neighbours, pagerank"),
         "left_join_url_info": _rows_zero(URL_LINKS, 1) + ANNOTATED,
         "sum_contributions": part_rows
         + "SELECT target, round(round(sum(CAST(1 AS DOUBLE) / out_degree), 9), 6) AS sum_contributions"
@@ -161,10 +188,48 @@ def oracle_sql() -> dict[str, str]:
         "reduce_contributions": part_distinct
         + "SELECT target, round(round(sum(CAST(1 AS DOUBLE) / out_degree), 9), 6) AS sum_contributions"
         " FROM links JOIN degrees ON source = page GROUP BY target",
-        "adjacency_list": part_distinct
-        + "SELECT source AS page, CAST(0 AS BIGINT) AS block,"
-        " string_agg(CAST(target AS VARCHAR), ' ' ORDER BY target) AS neighbours, count(*) AS degree"
-        " FROM links GROUP BY source",
+        "adjacency_list": part_distinct + _blocks(100_000, START, NEIGHBOURS),
+        "adjacency_blocks": part_distinct + _blocks(7, START, NEIGHBOURS),
+        "join_links_ranks_second_step": part_rows
+        + SECOND_ROWS
+        + f"SELECT source, target, {_six('pagerank')} AS pagerank, out_degree FROM links JOIN r1 ON source = page",
+        "contributions_second_step": part_rows
+        + SECOND_ROWS
+        + f"SELECT source, target, {_six('pagerank / out_degree')} AS contribution FROM links JOIN r1 ON source = page",
+        "sum_contributions_second_step": part_rows
+        + SECOND_ROWS
+        + f"SELECT target, {_six('sum(pagerank / out_degree)')} AS sum_contributions"
+        " FROM links JOIN r1 ON source = page GROUP BY target",
+        "reduce_contributions_second_step": part_distinct
+        + SECOND_DISTINCT
+        + f"SELECT target, {_six('sum(pagerank / out_degree)')} AS sum_contributions"
+        " FROM links JOIN r1 ON source = page GROUP BY target",
+        "rank_step_rows_zero_second_step": part_rows
+        + SECOND_ROWS
+        + f"SELECT target AS page, {_six('(1 - 0.85) + 0.85 * sum(pagerank / out_degree)')} AS pagerank"
+        " FROM links JOIN r1 ON source = page GROUP BY target",
+        "rank_step_distinct_drop_second_step": part_distinct
+        + SECOND_DISTINCT
+        + f"SELECT target AS page, {_six('sum(pagerank / out_degree) * 0.85 + 0.15')} AS pagerank"
+        " FROM links JOIN r1 ON source = page GROUP BY target",
+        "join_adjacency_ranks_second_step": part_distinct
+        + SECOND_DISTINCT
+        + _blocks(7, "r1", f"count(*) AS n_in_block, out_degree AS n_neighbours, {_six('pagerank')} AS pagerank"),
+        "explode_contributions_second_step": part_distinct
+        + SECOND_DISTINCT
+        + f"SELECT target, {_six('pagerank / out_degree')} AS contribution FROM links JOIN r1 ON source = page",
+        "stripped_url_parts": (
+            f"SELECT DISTINCT source AS page, {_domain(STRIPPED.format(url='source'))} AS domain,"
+            f" {_protocol(STRIPPED.format(url='source'))} AS protocol FROM ({IRI_LINKS}) AS edges"
+        ),
+        "stripped_annotated_ranks": iri_rows
+        + f"\nSELECT DISTINCT r.page, r.pagerank, {_domain(STRIPPED.format(url='e.source'))} AS domain,"
+        f" {_protocol(STRIPPED.format(url='e.source'))} AS protocol FROM ranked r LEFT JOIN edges e ON r.page = e.source",
+        "iteration_counts_rows_zero": _rows_zero(ORDER_LINKS)
+        + "\n"
+        + " UNION ALL ".join(
+            f"SELECT CAST({i} AS BIGINT) AS iteration, count(*) AS n_pages FROM r{i}" for i in range(1, 11)
+        ),
         "iteration_counts": _distinct_drop(ORDER_LINKS)
         + "\n"
         + " UNION ALL ".join(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkrank.functions import md5_bucket, url_domain, url_protocol
 from linkrank.operators import (
     DegreeRule,
+    LinkGraph,
     adjacency,
     annotate_ranks,
     bucket_sizes,
@@ -57,6 +58,8 @@ DAMPING = 0.85
 BUCKETS = 100
 # Low enough for the hub to be spread over partitions at every table size.
 HUB_SPREAD = 500
+# Targets of a page in one adjacency row: a usual number, and one that cuts most pages.
+BLOCK_SIZE, SMALL_BLOCK = 100_000, 7
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -92,10 +95,8 @@ def _saved_lines(
     spark: SparkSession, sf_dir: str, sql: str = TRIPLE_LINES, compression: str = "none"
 ) -> str:
     path = scratch_path(spark, "triples.nt")
-    lines = _relation(spark, sf_dir, sql)
-    if lines.rdd.getNumPartitions() < default_width(spark):
-        # A table in few files would be compressed by few tasks.
-        lines = lines.repartition(default_width(spark))
+    # A table in few files would be compressed by few tasks.
+    lines = _relation(spark, sf_dir, sql).repartition(default_width(spark))
     lines.write.text(path, compression=compression)
     return path
 
@@ -145,10 +146,13 @@ def initial_ranks(spark, sf_dir):
     return start_ranks(_relation(spark, sf_dir, ORDER_LINKS))
 
 
-def adjacency_list(spark, sf_dir):
-    blocks = adjacency(_relation(spark, sf_dir, PART_LINKS))
-    neighbours = F.array_join(F.col("neighbours").cast("array<string>"), " ")
-    return blocks.select("page", "block", neighbours.alias("neighbours"), "degree")
+def _adjacency(block_size: int) -> Query:
+    def run(spark, sf_dir):
+        blocks = adjacency(_relation(spark, sf_dir, PART_LINKS), block_size)
+        neighbours = F.array_join(F.col("neighbours").cast("array<string>"), " ")
+        return blocks.select("page", "block", neighbours.alias("neighbours"), "degree")
+
+    return run
 
 
 # --- parts of a step -------------------------------------------------------
@@ -166,8 +170,8 @@ def join_links_ranks(spark, sf_dir):
 
 def join_adjacency_ranks(spark, sf_dir):
     edges = _relation(spark, sf_dir, PART_LINKS)
-    n_neighbours = F.size("neighbours").cast("bigint").alias("n_neighbours")
-    return adjacency(edges, start_ranks(edges)).select("page", "block", n_neighbours, "pagerank")
+    blocks = adjacency(edges, BLOCK_SIZE, start_ranks(edges))
+    return blocks.select("page", "block", F.col("degree").alias("n_neighbours"), "pagerank")
 
 
 def contributions(spark, sf_dir):
@@ -177,7 +181,7 @@ def contributions(spark, sf_dir):
 
 def explode_contributions(spark, sf_dir):
     edges = _relation(spark, sf_dir, PART_LINKS)
-    rows = neighbour_contributions(adjacency(edges, start_ranks(edges)))
+    rows = neighbour_contributions(adjacency(edges, BLOCK_SIZE, start_ranks(edges)))
     return rows.withColumn("contribution", _six("contribution"))
 
 
@@ -198,6 +202,55 @@ def _step(rule: DegreeRule) -> Query:
     return run
 
 
+# --- the same parts in the second step, where ranks differ and pages are gone
+
+
+def _second(rule: DegreeRule, part: Callable[[LinkGraph, DataFrame, bool], DataFrame]) -> Query:
+    """``part`` of the graph and the ranks after one step."""
+
+    def run(spark, sf_dir):
+        graph, keeps = _single_pass(spark, sf_dir, rule), rule is ROWS
+        return part(graph, rank_step(graph, None, DAMPING, keeps), keeps)
+
+    return run
+
+
+def _joined(graph, ranks, keeps):
+    ranked = graph.ranked_sources(ranks, keeps).withColumnRenamed("degree", "out_degree")
+    return _rounded(graph.along_links(ranked.select("page", "salts", "pagerank", "out_degree")))
+
+
+def _passed_on(graph, ranks, keeps):
+    rows = link_contributions(graph, ranks, keeps)
+    return rows.withColumn("contribution", _six("contribution"))
+
+
+def _summed(graph, ranks, keeps):
+    sums = sum_contributions(link_contributions(graph, ranks, keeps))
+    return sums.withColumn("sum_contributions", _six("sum_contributions"))
+
+
+def _ranked(graph, ranks, keeps):
+    return _rounded(rank_step(graph, ranks, DAMPING, keeps))
+
+
+def _second_blocks(spark, sf_dir):
+    edges = _relation(spark, sf_dir, PART_LINKS)
+    graph = prepare_graph(edges, DISTINCT, keep=False)
+    return adjacency(edges, SMALL_BLOCK, rank_step(graph, None, DAMPING, False))
+
+
+def join_adjacency_second(spark, sf_dir):
+    blocks = _rounded(_second_blocks(spark, sf_dir))
+    n_in_block = F.size("neighbours").cast("bigint").alias("n_in_block")
+    return blocks.select("page", "block", n_in_block, F.col("degree").alias("n_neighbours"), "pagerank")
+
+
+def explode_second(spark, sf_dir):
+    rows = neighbour_contributions(_second_blocks(spark, sf_dir))
+    return rows.withColumn("contribution", _six("contribution"))
+
+
 def outer_fill_ranks(spark, sf_dir):
     graph = prepare_graph(_relation(spark, sf_dir, ORDER_LINKS), ROWS, keep=False)
     return _rounded(complete_ranks(graph, rank_step(graph, None, DAMPING, True), True))
@@ -219,6 +272,10 @@ def iteration_counts(spark, sf_dir):
     return pagerank_progress(_relation(spark, sf_dir, ORDER_LINKS), semantics=DISTINCT_DROP)
 
 
+def iteration_counts_rows_zero(spark, sf_dir):
+    return pagerank_progress(_relation(spark, sf_dir, ORDER_LINKS))
+
+
 def triple_file_rows_zero(spark, sf_dir):
     """From compressed triple lines to ranks, the way the rows-zero job does it."""
     return _rounded(pagerank(scan_triples_bz2(spark, sf_dir))).select("page", "pagerank")
@@ -258,6 +315,17 @@ def protocol_of_url(spark, sf_dir):
     return _urls(spark, sf_dir).select("page_id", "url", url_protocol(F.col("url")).alias("protocol"))
 
 
+def stripped_url_parts(spark, sf_dir):
+    """URL parts from inside the angle brackets."""
+    sources = _relation(spark, sf_dir, IRI_LINKS).select(F.col("source").alias("page")).distinct()
+    page = F.col("page")
+    return sources.select("page", url_domain(page, True).alias("domain"), url_protocol(page, True).alias("protocol"))
+
+
+def stripped_annotated_ranks(spark, sf_dir):
+    return _rounded(annotate_ranks(_ranks(IRI_LINKS)(spark, sf_dir), strip_brackets=True))
+
+
 def bucket_of_key(spark, sf_dir):
     return _urls(spark, sf_dir).select("page_id", md5_bucket(F.col("url"), BUCKETS).alias("bucket"))
 
@@ -318,8 +386,20 @@ def queries() -> dict[str, Query]:
         "left_join_url_info": left_join_url_info,
         "sum_contributions": _sums(ROWS),
         "reduce_contributions": _sums(DISTINCT),
-        "adjacency_list": adjacency_list,
+        "adjacency_list": _adjacency(BLOCK_SIZE),
+        "adjacency_blocks": _adjacency(SMALL_BLOCK),
+        "join_links_ranks_second_step": _second(ROWS, _joined),
+        "contributions_second_step": _second(ROWS, _passed_on),
+        "sum_contributions_second_step": _second(ROWS, _summed),
+        "reduce_contributions_second_step": _second(DISTINCT, _summed),
+        "rank_step_rows_zero_second_step": _second(ROWS, _ranked),
+        "rank_step_distinct_drop_second_step": _second(DISTINCT, _ranked),
+        "join_adjacency_ranks_second_step": join_adjacency_second,
+        "explode_contributions_second_step": explode_second,
         "iteration_counts": iteration_counts,
+        "iteration_counts_rows_zero": iteration_counts_rows_zero,
+        "stripped_url_parts": stripped_url_parts,
+        "stripped_annotated_ranks": stripped_annotated_ranks,
         "pagerank_rows_zero": _pages(),
         "pagerank_distinct_drop": _pages(semantics=DISTINCT_DROP),
         "pagerank_rows_zero_copies": _pages(PART_LINKS),

@@ -80,7 +80,7 @@ def test_annotation_equals_join(spark, strip):
 def test_adjacency_blocks_hold_each_neighbour_once(spark, block):
     rows = [("hub", f"t{i}") for i in range(200)] * 2 + [("a", "b"), ("a", "c"), ("b", None), (None, "b")]
     df = spark.createDataFrame(rows, "source STRING, target STRING")
-    blocks = adjacency(df, max_neighbours=block).collect()
+    blocks = adjacency(df, block).collect()
     got = sorted((b.page, n) for b in blocks for n in b.neighbours)
     assert got == sorted({r for r in rows if None not in r})
     assert all(b.degree == {"hub": 200, "a": 2}[b.page] for b in blocks)
@@ -91,15 +91,15 @@ def test_adjacency_blocks_hold_each_neighbour_once(spark, block):
         assert sum(b.page == "hub" for b in blocks) > 1
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1, 100])
-def test_hot_sources_beyond_the_broadcast_bound(spark, monkeypatch, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [0, 40, 10_000])
+def test_hot_sources_beyond_the_broadcast_bound(spark, monkeypatch, broadcast_bytes):
     """Hubs, warm pages and plain pages get the same blocks either way."""
     from linkrank.operators import graph
 
     rows = [("hub", f"t{i}") for i in range(300)] + [(f"w{i % 20}", f"t{i}") for i in range(240)] + [("a", "b")]
     df = spark.createDataFrame(rows, "source STRING, target STRING")
-    monkeypatch.setattr(graph, "MAX_BROADCAST_ROWS", broadcast_rows)
-    blocks = adjacency(df, max_neighbours=10, num_partitions=8).collect()
+    monkeypatch.setattr(graph, "MAX_BROADCAST_BYTES", broadcast_bytes)
+    blocks = adjacency(df, 10).collect()
     assert sorted((b.page, n) for b in blocks for n in b.neighbours) == sorted(rows)
     assert sum(b.page == "hub" for b in blocks) > 5 and sum(b.page == "w3" for b in blocks) == 2
 
@@ -109,6 +109,6 @@ def test_contributions_of_blocks(spark, block):
     rows = [("hub", f"t{i}") for i in range(50)] + [("a", "t1"), ("a", "t2"), ("b", "t1")]
     df = spark.createDataFrame(rows, "source STRING, target STRING")
     ranks = spark.createDataFrame([("hub", 2.0), ("a", 3.0), ("t1", 9.0)], "page STRING, pagerank DOUBLE")
-    got = neighbour_contributions(adjacency(df, ranks, max_neighbours=block)).collect()
+    got = neighbour_contributions(adjacency(df, block, ranks)).collect()
     want = [(f"t{i}", 2.0 / 50) for i in range(50)] + [("t1", 1.5), ("t2", 1.5)]
     assert sorted(tuple(r) for r in got) == sorted(want)

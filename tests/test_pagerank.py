@@ -1,12 +1,16 @@
 """Rank semantics on the 7-page toy graph and a few properties."""
 
+import gc
 import math
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from linkrank import RankSemantics, pagerank, pagerank_progress
 from linkrank.operators import DegreeRule, prepare_graph, rank_step
+from linkrank.operators.steps import page_shares, ranks_from_shares
+from linkrank.session import checkpoint_in_place, shuffle_width
 
 ROWS_ZERO, DISTINCT_DROP = RankSemantics.ROWS_ZERO, RankSemantics.DISTINCT_DROP
 TOY = [("A", "B"), ("A", "C"), ("B", "C"), ("C", "A"), ("D", "C"), ("A", "B"), ("C", "E"), ("F", "G"), ("G", "A")]
@@ -181,22 +185,56 @@ def plan_paths(df):
 
 @pytest.mark.parametrize("width", [4, 8, 16])
 @pytest.mark.parametrize("hot_links", [None, 5])
-def test_links_are_not_moved_in_a_step(orders, width, hot_links):
-    """Stored links go into a merge join as they lie: no exchange, no sort."""
-    graph = prepare_graph(orders, DegreeRule.ROWS, width, hot_links)
+@pytest.mark.parametrize("checkpoint", [False, True])
+def test_links_are_not_moved_in_a_step(spark, orders, width, hot_links, checkpoint):
+    """Stored links go into a merge join as they lie: no exchange, no sort. Nor are the shares of a checkpoint moved."""
+    with shuffle_width(spark, width):
+        graph = prepare_graph(orders, DegreeRule.ROWS, width, hot_links)
+        try:
+            assert graph.salted == (hot_links is not None)
+            shares = page_shares(graph, rank_step(graph, None, 0.85, True), True)
+            if checkpoint:
+                shares = checkpoint_in_place(shares)
+                assert shares.rdd.getNumPartitions() == width
+            paths = plan_paths(ranks_from_shares(graph, shares, 0.85))
+            links = [path for path, output in paths if "target" in output]
+            assert len(links) == 2 - checkpoint
+            for path in links:
+                join = len(path) - 1 - path[::-1].index("SortMergeJoin")
+                assert set(path[join + 1 :]) <= {"Filter", "InMemoryTableScan"}
+            names = {name for path, _ in paths for name in path}
+            assert not names & {"BroadcastExchange", "CartesianProduct", "BroadcastNestedLoopJoin"}
+            # From the root to the first step: one exchange of sums for each step,
+            # plus one of shares for salts.
+            longest = max((path for path, _ in paths), key=lambda path: path.count("Exchange"))
+            assert longest.count("Exchange") == (2 - checkpoint) * (1 + graph.salted)
+            if checkpoint and not graph.salted:
+                kept = next(path for path, _ in paths if "Scan ExistingRDD" in path[-1])
+                assert kept.count("Exchange") == 1 and "Sort" not in kept
+        finally:
+            graph.release()
+
+
+def test_one_checkpoint_is_left(spark, orders):
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    gc.collect()
+    before = set(folder.glob("rdd-*"))
+    ranks = pagerank(orders, 10)
+    left = [p for p in folder.glob("rdd-*") if p not in before and any(p.iterdir())]
+    assert len(left) == 1 and ranks.count() == 1476
+
+
+@pytest.mark.parametrize("width", [3, 20])
+def test_the_asked_for_width_is_used(spark, orders, width):
+    ranks = pagerank(orders, 2, num_partitions=width)
+    assert ranks.rdd.getNumPartitions() == width and spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_single_pass_runs_no_job(spark, orders):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("single pass", "")
     try:
-        assert graph.salted == (hot_links is not None)
-        paths = plan_paths(rank_step(graph, rank_step(graph, None, 0.85, True), 0.85, True))
-        links = [path for path, output in paths if "target" in output]
-        assert len(links) == 2
-        for path in links:
-            join = len(path) - 1 - path[::-1].index("SortMergeJoin")
-            assert set(path[join + 1 :]) <= {"Filter", "InMemoryTableScan"}
-        names = {name for path, _ in paths for name in path}
-        assert not names & {"BroadcastExchange", "CartesianProduct", "BroadcastNestedLoopJoin"}
-        # From the root to the first step: one exchange of sums for each step,
-        # plus one of ranks or shares for another width or for salts.
-        longest = max((path for path, _ in paths), key=lambda path: path.count("Exchange"))
-        assert longest.count("Exchange") == 2 + (width != 8) + 2 * graph.salted
+        rank_step(prepare_graph(orders, DegreeRule.ROWS, keep=False), None, 0.85, True)
+        assert not tracker.getJobIdsForGroup("single pass")
     finally:
-        graph.release()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -4,7 +4,15 @@ from types import SimpleNamespace
 
 import pytest
 
-from linkrank.session import WIDTH_SETTING, default_width, ensure_checkpoint_dir, fit_width, scratch_path
+from linkrank.session import (
+    WIDTH_SETTING,
+    clear_scratch,
+    default_width,
+    ensure_checkpoint_dir,
+    fit_width,
+    scratch_path,
+    shuffle_width,
+)
 
 
 def fake(master, settings, current=None):
@@ -30,6 +38,21 @@ def test_scratch_paths_lie_in_the_shared_folder(spark):
     assert first != second and first.startswith(ensure_checkpoint_dir(spark))
 
 
+def test_scratch_can_be_cleared(spark):
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_width_for_a_time(spark):
+    with pytest.raises(ZeroDivisionError), shuffle_width(spark, 3):
+        assert default_width(spark) == 3
+        1 / 0
+    assert default_width(spark) == 8
+
+
 def test_width_is_that_of_a_shuffle():
     adaptive = {
         "spark.sql.adaptive.enabled": "true",
@@ -50,7 +73,7 @@ def test_fitted_width(spark):
     assert default_width(spark) == 8
 
 
-@pytest.mark.parametrize("splits,cores,width", [(3, 16, 16), (500, 16, 500), (10**6, 16, 20_000)])
+@pytest.mark.parametrize("splits,cores,width", [(3, 16, 16), (500, 16, 500), (10**6, 16, 10**6)])
 def test_width_follows_the_input(splits, cores, width):
     settings = {WIDTH_SETTING: "200", "spark.sql.adaptive.enabled": "false"}
     session = fake("yarn", settings)
