@@ -39,11 +39,8 @@ def write_ranks_by_url(annotated: DataFrame, path: str, mode: str = "overwrite")
     else:
         part = F.pmod(F.xxhash64("page"), F.lit(SPLIT_FILES))
         dealt = rows.repartition("domain", "protocol", part)
-    (
-        dealt.write.partitionBy("domain", "protocol")
-        .mode(mode)
-        .csv(path)
-    )
+    writer = dealt.write.partitionBy("domain", "protocol").mode(mode)
+    writer.csv(path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_ranks_text(ranks: DataFrame, path: str, mode: str = "error") -> None:
