@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkrank.llm.common import stored
-from linkrank.llm.word_hashes import hash_words, runs, signed
+from linkrank.llm.word_hashes import hash_words, mixed, runs, signed
 
 WINDOW, CORE = 20, 6
 PIECE_BYTES = 4 << 20
@@ -126,7 +126,8 @@ def _edges_of(doc: np.ndarray, digest: np.ndarray, texts: list[str]) -> Iterator
         # A path that is known already has a negative start.
         numbers = [size, doc[owner[src]], digest[owner[src]], place[src]]
         head = [_sortable(doc[owner[own]]), _sortable(digest[owner[own]]), _sortable(~place[own], 4), *map(_sortable, numbers)]
-        yield _pack(signed(hashes[own]), np.hstack(head), np.zeros(0, np.uint8), np.zeros(len(at), np.int64))
+        spread = mixed(doc[owner[own]].view(np.uint64) * np.uint64(31) + place[own].astype(np.uint64))
+        yield _pack(signed(spread), np.hstack(head), np.zeros(0, np.uint8), np.zeros(len(at), np.int64))
     here = np.flatnonzero(~repeated)
     at = _breaks(_step(owner[here], 0), _step(place[here], 1), smallest[here][1:] == smallest[here][:-1])
     size = np.diff(np.append(at, len(here)))
