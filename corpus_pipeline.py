@@ -18,6 +18,10 @@ from linkrank.llm.toxicity import without_toxic
 from linkrank.session import scratch_path
 
 
+# Percent of the union of two shingle sets that near duplicates share.
+NEAR_PERCENT = 80
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, learned from all labels, does not find toxic."""
     return without_toxic(docs, read_table(spark, sf_dir, "labels"))
@@ -25,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return without_duplicates(docs)
+    return without_duplicates(docs, NEAR_PERCENT)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

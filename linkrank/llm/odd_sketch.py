@@ -8,7 +8,7 @@
 3. Classes that share a band key are tied to one of them, the pivot, never to
    each other, and ties whose sketches differ too much are cut. The components
    of the ties are groups: two sets at the threshold miss each other's group
-   with a chance of about (1 - 0.85**6)**32 = 3e-7.
+   with a chance of about (1 - 0.85**6)**40 = 6e-9.
 4. Within a group, every pair is compared by sketches and every pair that may
    reach the threshold by its full sets. A large group is split into blocks of
    ``BLOCK``, and each pair of blocks is a task of its own, so no task holds a
@@ -30,7 +30,7 @@ from linkrank.llm.common import connected_components, stored
 from linkrank.llm.word_hashes import hash_words, mixed, shingle_set, signed
 
 SHINGLE = 5
-BANDS, ROWS = 32, 6
+BANDS, ROWS = 40, 6
 SAMPLES = BANDS * ROWS
 BITS = 512
 TIE, MAY_LINK = 0.5, 0.6  # estimates below are cut; a link's is about 0.85 with a deviation of 0.03

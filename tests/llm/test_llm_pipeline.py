@@ -19,7 +19,7 @@ def test_stages(spark):
     rows = {n: [(r.doc_id, r.text) for r in t.collect()] for n, t in tables.items() if n != "sharding"}
     clean = rows["toxicity"]
     assert set(clean) <= set(rows[""])
-    groups = brute.components(clean)
+    groups = brute.components(clean, corpus_pipeline.NEAR_PERCENT)
     assert sorted(rows["near_duplicates"]) == sorted(r for r in clean if groups[r][1] == r[0])
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     held = [{i for i, own in items if set(bm25_wand.shingles(bm25_wand.words_of(own))) <= set(bm25_wand.shingles(bm25_wand.words_of(t)))} for _, t in rows["near_duplicates"]]
