@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from linkrank.llm.bm25_wand import ANSWER_PART, LEAK, LEAK_PART, SHINGLE
+from linkrank.llm.de_bruijn import WINDOW
 from linkrank.llm.hash_tree import HASH_DIGITS, SLOT_DIGITS, Shard, grown, regular_tree
 from linkrank.llm.mixing import BITS, LEVELS, MAX_REPEATS, WEIGHTS
 
@@ -118,5 +119,52 @@ where question + answer >= {LEAK} * n and question >= {LEAK_PART} * split and an
 """
 
 
+_STARTS = f"range(1, greatest(1, len(w) - {WINDOW - 2}))"
+REPEATS = f"""
+with words as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+windows as (
+  select doc_id, unnest({_STARTS}) as start, unnest([array_to_string(w[i:i + {WINDOW - 1}], ' ') for i in {_STARTS}]) as run from words),
+ranked as (select doc_id, start, row_number() over (partition by run order by doc_id, start) as occurrence from windows),
+gone as (select distinct doc_id, unnest(range(start, start + {WINDOW})) as place from ranked where occurrence > 1),
+placed as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as place from words),
+kept as (
+  select doc_id, count(gone.place) as n_removed, string_agg(word, ' ' order by place) filter (where gone.place is null) as text
+  from placed left join gone using (doc_id, place) group by doc_id)
+select words.doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from words left join kept using (doc_id)
+"""
+
+
+_RUN = f"least({SHINGLE}, len(w))"
+COMPONENTS = f"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') as w
+  from documents),
+sets as (
+  select distinct doc_id, unnest([array_to_string(w[i:i + {_RUN} - 1], ' ') for i in range(1, len(w) - {_RUN} + 2)]) as shingle
+  from words where len(w) > 0),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+pairs as (
+  select a.doc_id as x, b.doc_id as y, count(*) as shared
+  from sets a join sets b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all),
+links as (
+  select x, y from pairs join sizes a on x = a.doc_id join sizes b on y = b.doc_id
+  where 100 * shared >= 85 * (a.n + b.n - shared)),
+reached(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select reached.doc_id, y from reached join links on other = x)
+select r.doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(other) as component_id, r.doc_id = min(other) as kept
+from reached r left join sizes on r.doc_id = sizes.doc_id group by r.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_hash_tree_sharding": SHARDING, "op6_source_mixing": MIXING, "op9_benchmark_leaks": LEAKS}
+    return {
+        "op4_hash_tree_sharding": SHARDING,
+        "op6_source_mixing": MIXING,
+        "op7_de_bruijn_dedup": REPEATS,
+        "op8_odd_sketch_dedup": COMPONENTS,
+        "op9_benchmark_leaks": LEAKS,
+    }
