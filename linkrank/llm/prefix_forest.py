@@ -11,11 +11,18 @@ component that brings its length to 1 (0 in a query).
    symbol at a time, until its prefixes hold ``ENOUGH`` rows over all trees. If
    even the first symbols hold fewer, it ascends to the root, and one tree
    answers for all.
+   That is where a query starts, not a promise.
 3. Queries go to the shards (tree, first symbol) of the rows. A shard sorts its
    rows by string, so a prefix is a range, and returns the best rows of each
    query's range. Large shards are dealt into blocks of rows and of queries, so
    a group of like vectors of any size fills tasks, not one task.
 4. The shards' best rows are merged for each query.
+5. How often two vectors share a symbol depends on their cosine only. So the
+   ``k``-th cosine found, which is never above the true one, tells the chance
+   that a true neighbour shares the query's prefix in some tree. Queries where
+   it is below ``CHANCE``, or that found fewer than ``k``, ascend and search
+   again, at last from the root, which compares all rows. This holds for every
+   size of table and every kind of vectors.
 
 Every row is indexed and nothing is fitted. No bucket is cut short.
 """
@@ -23,6 +30,7 @@ Every row is indexed and nothing is fitted. No bucket is cut short.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -33,6 +41,8 @@ from linkrank.llm.common import stored
 
 TREES, DEPTH = 64, 3
 ENOUGH = 4_096
+CHANCE = 0.9
+COSINES = np.linspace(-1, 1, 161)
 K = 20
 BLOCK_ROWS, BLOCK_QUERIES = 4_096, 2_048
 SYMBOL_BITS = 14  # up to 8,191 dimensions
@@ -124,6 +134,49 @@ def _prefix_counts(largest: float):
     return count
 
 
+@lru_cache(maxsize=64)
+def collisions(size: int) -> np.ndarray:
+    """Chance that a rotation gives two vectors of ``size`` components one symbol, for each of ``COSINES``."""
+    rng = np.random.default_rng([5, size])
+    samples = min(20_000, max(2_000, 4_000_000 // size))
+    one, other = rng.standard_normal((2, samples, size))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (other * one).sum(axis=1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    row = np.arange(samples)
+    axis = np.abs(one).argmax(axis=1)
+    shared = []
+    for c in COSINES:
+        turned = c * one + np.sqrt(1 - c * c) * other
+        shared.append(np.mean((np.abs(turned).argmax(axis=1) == axis) & (turned[row, axis] * one[row, axis] > 0)))
+    return np.array(shared)
+
+
+def chance(cosine: float, dims: int, depth: int) -> float:
+    """Chance that a vector at ``cosine`` of a query shares its prefix of ``depth`` symbols in one tree at least."""
+    at = int(np.searchsorted(COSINES, cosine, side="right")) - 1  # the next lower one: rather too low than too high
+    shared = collisions(dims + 1)[max(at, 0)]
+    return float(1 - (1 - shared**depth) ** TREES)
+
+
+def next_depth(depth: int, cosine: float | None, dims: int) -> int:
+    """Where a query searches again: ``depth`` itself if its neighbours are found, else above; no cosine: fewer than ``k`` found."""
+    if depth == 0 or cosine is not None and chance(cosine, dims, depth) >= CHANCE:
+        return depth
+    suffice = [d for d in range(1, depth) if cosine is not None and chance(cosine, dims, d) >= CHANCE]
+    # The cosine grows with the search, so the root is for those that the first symbols have failed.
+    return max(suffice, default=min(1, depth - 1)) if cosine is not None else depth - 1
+
+
+def next_depths(depth: Column, cosine: Column, dims: Column) -> Column:
+    @F.pandas_udf("int")
+    def found(depth: pd.Series, cosine: pd.Series, dims: pd.Series) -> pd.Series:
+        rows = zip(depth.tolist(), cosine.tolist(), dims.tolist(), strict=True)
+        return pd.Series([next_depth(int(d), None if pd.isna(c) else c, int(n)) for d, c, n in rows], dtype="int32")
+
+    return found(depth, cosine, dims)
+
+
 def usable(vector: Column) -> Column:
     """Whether a vector takes part: not null or zero, and all components finite."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -163,7 +216,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, enough: int = EN
     id or a vector that is null, empty, zero or not finite take no part. Vectors
     are compared with those of equal length only. Rows of one id count as one,
     with their best score; equal scores go by id. Fewer than ``k`` candidates
-    are all returned.
+    are all returned. Each of the true ``k`` is found with a chance of
+    ``CHANCE`` or more; ``enough`` only says where queries start.
     """
     usual = lambda t: t.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(
         F.col("vec_id").isNotNull() & usable(F.col("embedding"))
@@ -185,8 +239,31 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, enough: int = EN
     )
     steps = steps.withColumn("prefix", F.expr(f"shiftright(code, {SYMBOL_BITS} * ({DEPTH} - depth))"))
     held = steps.join(counts, ["dims", "tree", "depth", "prefix"]).groupBy("query_id", "depth").agg(F.sum("n").alias("held"))
-    depths = held.where(F.col("held") >= enough).groupBy("query_id").agg(F.max("depth").alias("depth"))
-    placed = hashed.join(depths, "query_id", "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
+    starts = held.where(F.col("held") >= enough).groupBy("query_id").agg(F.max("depth").alias("depth"))
+    asked_ids = hashed.select("query_id").distinct().join(starts, "query_id", "left")
+    depths = stored(asked_ids.select("query_id", F.coalesce("depth", F.lit(0)).alias("depth")))
+    lengths = hashed.select("query_id", "dims", norm.alias("norm"))
+    parts: list[DataFrame] = []
+    while True:
+        best = stored(_search(rows, hashed, counts, depths, largest, k))
+        last = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("last"))
+        judged = depths.where("depth > 0").join(lengths, "query_id").join(last, "query_id", "left")
+        # One id may ask with several vectors; the one that needs most counts.
+        onward = judged.withColumn("cosine", F.col("last") / (F.col("norm") * largest)).groupBy("query_id", "depth").agg(
+            F.min(next_depths(F.col("depth"), F.col("cosine"), F.col("dims"))).alias("next")
+        )
+        onward = stored(onward.where("next < depth").select("query_id", F.col("next").alias("depth")))
+        if onward.isEmpty():
+            parts.append(best)
+            break
+        parts.append(best.join(onward, "query_id", "left_anti"))
+        depths = onward
+    return reduce(DataFrame.unionByName, parts).select("query_id", "rank", "vec_id", "score")
+
+
+def _search(rows: DataFrame, hashed: DataFrame, counts: DataFrame, depths: DataFrame, largest: float, k: int) -> DataFrame:
+    """The ``k`` best rows of the queries in ``depths``, each compared with the rows of its prefixes of that length."""
+    placed = hashed.join(depths, "query_id")
     shards = counts.where("depth = 1").select("dims", "tree", F.col("prefix").cast("int").alias("symbol"), F.col("n").alias("rows"))
     found = placed.where("depth > 0").select("query_id", "embedding", "dims", "depth", F.explode("strings").alias("s"))
     by_prefix = found.select("query_id", "embedding", "dims", "depth", "s.tree", "s.symbol", "s.code")
@@ -222,5 +299,4 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, enough: int = EN
     best = index.groupBy(*key).cogroup(visits.groupBy(*key)).applyInPandas(_best(k), "query_id long, vec_id long, score double")
     merged = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

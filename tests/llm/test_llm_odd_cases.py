@@ -76,6 +76,35 @@ def test_neighbours(spark, enough):
     assert prefix_forest.nearest(table.limit(0), table, k=3).count() == 0
 
 
+@pytest.mark.parametrize("noise", [0.3, None])
+def test_neighbours_at_every_depth(spark, noise):
+    """Queries start at their full strings and ascend until their neighbours are found, not until they hold some rows."""
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((1200, 16))
+    if noise:
+        x = np.repeat(x[:40], 30, axis=0) + noise * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = prefix_forest.nearest(table, table.where("vec_id % 50 = 0"), enough=1).toPandas().groupby("query_id")
+    hits = 0
+    for query in range(0, 1200, 50):
+        score = x @ x[query]
+        score[query] = -np.inf
+        want = np.argsort(-score)[:20]
+        hits += len(set(want) & set(got.get_group(query)["vec_id"]))
+    assert hits >= 0.9 * 20 * 24
+
+
+def test_no_depth_without_the_chance_for_it():
+    for dims in (16, 64, 300):
+        for cosine in (-0.2, 0.1, 0.35, 0.6, 0.9):
+            depth = 3
+            while (above := prefix_forest.next_depth(depth, cosine, dims)) != depth:
+                depth = above
+            assert depth == 0 or prefix_forest.chance(cosine, dims, depth) >= prefix_forest.CHANCE
+    assert [prefix_forest.next_depth(d, None, 64) for d in (3, 2, 1, 0)] == [2, 1, 0, 0]
+
+
 def test_shards(odd_docs, no_docs):
     rows = hash_tree.shard_documents(odd_docs).collect()
     assert len(rows) == len(ROWS) and {r.law for r in rows} == {"key"}
