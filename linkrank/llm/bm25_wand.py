@@ -8,6 +8,11 @@ cannot make up ``SLACK``; the other terms' block maxima plus that bound are an
 upper bound for every item of a block, and only blocks that may reach the
 threshold are scored. So all items above the threshold are found, none by luck.
 
+A passage of ``PASSAGE`` words cannot reach the threshold of a much longer item.
+So an item of more than ``PIECE`` words is also indexed by overlapping pieces,
+each with its own score for itself. Every run of ``PIECE`` words lies in one
+passage, and a found piece makes its whole item a candidate.
+
 Found items are verified on the text: of the item's 5-word shingles, four
 fifths must stand in the document, and half of those of the question and of the
 answer, which is the last quarter of the item's words.
@@ -34,6 +39,7 @@ K1, B = 1.2, 0.75
 THRESHOLD, SLACK = 0.5, 0.15
 BLOCK = 16
 PASSAGE, STRIDE = 128, 64
+PIECE, PIECE_STRIDE = 64, 32  # PASSAGE - STRIDE words at most
 LEAK, LEAK_PART = 0.8, 0.5
 ANSWER_PART = 4
 PART_ITEMS = 20_000
@@ -56,6 +62,14 @@ def answer_from(n_words: int) -> int:
     return max(0, n_words - -(-n_words // ANSWER_PART) - k + 1)
 
 
+def pieces_of(words: list[str]) -> list[list[str]]:
+    """What an item is indexed by: all of its words and, of a long item, overlapping pieces."""
+    if len(words) <= PIECE:
+        return [words]
+    last = len(words) - PIECE
+    return [words, *(words[at : at + PIECE] for at in [*range(0, last, PIECE_STRIDE), last])]
+
+
 @dataclass
 class Postings:
     """Rows of (number, impact) for each term, one after the other."""
@@ -81,6 +95,7 @@ class Postings:
 @dataclass
 class ItemIndex:
     ids: list[int | None]
+    item_of: np.ndarray  # item of each piece; postings have numbers of pieces
     shingles: list[list[tuple[str, ...]]]
     answers: list[int]
     vocabulary: dict[str, int]
@@ -97,7 +112,9 @@ class ItemIndex:
         mean = sum(len(w) for _, w, _ in counted) / max(1, len(counted))
         vocabulary = {t: i for i, t in enumerate(spread)}
         postings: list[list[tuple[int, float]]] = [[] for _ in vocabulary]
-        for number, (_, w, c) in enumerate(counted):
+        pieces = [(j, p) for j, (_, w, _) in enumerate(counted) for p in pieces_of(w)]
+        for number, (_, w) in enumerate(pieces):
+            c = Counter(w)
             norm = K1 * (1 - B + B * len(w) / mean)
             impact = {t: idf[t] * n * (K1 + 1) / (n + norm) for t, n in c.items()}
             own = sum(impact.values())
@@ -111,17 +128,18 @@ class ItemIndex:
             tops.append(sorted(best.items()))
         return cls(
             [i for i, _, _ in counted],
+            np.array([j for j, _ in pieces], np.int64),
             [shingles(w) for _, w, _ in counted],
             [answer_from(len(w)) for _, w, _ in counted],
             vocabulary,
             Postings.of(postings),
             Postings.of(tops),
             np.array([max(v for _, v in row) for row in postings]),
-            -(-len(counted) // BLOCK),
+            -(-len(pieces) // BLOCK),
         )
 
     def retrieve(self, terms: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``owner, item, score`` of all scores from the threshold on, for distinct (owner, term) pairs sorted by owner."""
+        """``owner, piece, score`` of all scores from the threshold on, for distinct (owner, term) pairs sorted by owner."""
         nothing = np.zeros(0, np.int64)
         n_owners = int(owner[-1]) + 1 if len(owner) else 0
         bound = np.bincount(owner, self.highest[terms], n_owners)
@@ -148,13 +166,13 @@ class ItemIndex:
         rows, of = self.items.rows(terms)
         here = np.isin(owner[of] * self.n_blocks + self.items.number[rows] // BLOCK, cell)
         rows, of = rows[here], of[here]
-        pair, back = np.unique(owner[of] * len(self.ids) + self.items.number[rows], return_inverse=True)
+        pair, back = np.unique(owner[of] * len(self.item_of) + self.items.number[rows], return_inverse=True)
         score = np.bincount(back, self.items.impact[rows], len(pair))
         pair, score = pair[score >= THRESHOLD], score[score >= THRESHOLD]
-        return pair // len(self.ids), pair % len(self.ids), score
+        return pair // len(self.item_of), pair % len(self.item_of), score
 
     def candidates(self, words: list[list[str]]) -> dict[tuple[int, int], float]:
-        """Best score of each (text, item) over the passages of each text."""
+        """Best score of each (text, item) over the passages of each text and the pieces of each item."""
         get, size = self.vocabulary.get, len(self.vocabulary)
         if not size:
             return {}
@@ -175,7 +193,8 @@ class ItemIndex:
         if not passage:
             return {}
         pairs = np.unique(np.concatenate(passage) * size + np.concatenate(term))
-        owner, item, score = self.retrieve(pairs % size, pairs // size)
+        owner, piece, score = self.retrieve(pairs % size, pairs // size)
+        item = self.item_of[piece]
         best: dict[tuple[int, int], float] = {}
         for o, j, s in zip(owner.tolist(), item.tolist(), score.tolist(), strict=True):
             best[text_of[o], j] = max(s, best.get((text_of[o], j), 0.0))

@@ -250,6 +250,15 @@ def test_leak_across_segments(monkeypatch):
     assert [x[0] for x in index.leaks([f"{filler} {PASSAGE} {filler}"])[0]] == [1]
 
 
+@pytest.mark.parametrize("n_words", [65, 200, 400, 2000])
+def test_leak_of_a_long_item(n_words):
+    """A passage holds a small part of a long item only."""
+    item = " ".join(f"long{i}" for i in range(n_words))
+    index = bm25_wand.ItemIndex.build([(1, PASSAGE), (2, item), (3, "some other words")])
+    filler = " ".join(f"f{i}" for i in range(150))
+    assert [[x[0] for x in found] for found in index.leaks([f"{filler} {item} {filler}", filler, item[: len(item) // 2]])] == [[2], [], []]
+
+
 def test_token_counts(odd_docs, no_docs):
     import public_tokenizers
     from tokenizers import Tokenizer
