@@ -19,13 +19,14 @@ answer, which is the last quarter of the item's words.
 
 Items are a reference set that does not grow with the corpus. They are indexed
 in parts of ``PART_ITEMS``, each sent to the tasks; the corpus is not shuffled.
+Term weights come from all items, so scores do not depend on the parts.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -92,6 +93,27 @@ class Postings:
         return self.start[terms][owner] + inside, owner
 
 
+class Statistics:
+    """Number of items with words, their mean length, and the items by term."""
+
+    def __init__(self, texts: Iterable[str]) -> None:
+        self.items, self.words = 0, 0
+        self.spread: Counter[str] = Counter()
+        for text in texts:
+            w = words_of(text)
+            self.items += bool(w)
+            self.words += len(w)
+            self.spread.update(set(w))
+
+    @property
+    def mean(self) -> float:
+        return self.words / max(1, self.items)
+
+    def idf(self, term: str) -> float:
+        n = self.spread[term]
+        return float(np.log1p((self.items - n + 0.5) / (n + 0.5)))
+
+
 @dataclass
 class ItemIndex:
     ids: list[int | None]
@@ -105,12 +127,14 @@ class ItemIndex:
     n_blocks: int = field(default=0)
 
     @classmethod
-    def build(cls, rows: list[tuple[int | None, str]]) -> ItemIndex:
+    def build(cls, rows: list[tuple[int | None, str]], statistics: Statistics | None = None) -> ItemIndex:
+        """Index of ``rows``; ``statistics`` are those of all items where ``rows`` are a part of them."""
+        known = statistics or Statistics(text for _, text in rows)
         counted = [(i, w, Counter(w)) for i, text in rows if (w := words_of(text))]
-        spread = Counter(t for _, _, c in counted for t in c)
-        idf = {t: float(np.log1p((len(counted) - n + 0.5) / (n + 0.5))) for t, n in spread.items()}
-        mean = sum(len(w) for _, w, _ in counted) / max(1, len(counted))
-        vocabulary = {t: i for i, t in enumerate(spread)}
+        terms = dict.fromkeys(t for _, _, c in counted for t in c)
+        idf = {t: known.idf(t) for t in terms}
+        mean = known.mean
+        vocabulary = {t: i for i, t in enumerate(terms)}
         postings: list[list[tuple[int, float]]] = [[] for _ in vocabulary]
         pieces = [(j, p) for j, (_, w, _) in enumerate(counted) for p in pieces_of(w)]
         for number, (_, w) in enumerate(pieces):
@@ -267,11 +291,9 @@ def indexes(items: DataFrame, part_items: int = PART_ITEMS) -> list[ItemIndex]:
     rows = items.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     parts = max(1, -(-rows.count() // part_items))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    found = []
-    for n in range(parts):
-        chosen = sorted(((r["item_id"], r["text"]) for r in rows.where(part == n).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        found.append(ItemIndex.build(chosen))
-    return found
+    chosen = [[(r["item_id"], r["text"]) for r in rows.where(part == n).collect()] for n in range(parts)]
+    statistics = Statistics(text for some in chosen for _, text in some)
+    return [ItemIndex.build(sorted(some, key=lambda r: (r[0] is None, r[0] or 0, r[1])), statistics) for some in chosen]
 
 
 def leaked_items(text: Column, parts: list[ItemIndex]) -> Column:

@@ -259,6 +259,26 @@ def test_leak_of_a_long_item(n_words):
     assert [[x[0] for x in found] for found in index.leaks([f"{filler} {item} {filler}", filler, item[: len(item) // 2]])] == [[2], [], []]
 
 
+def test_weights_do_not_depend_on_the_parts_of_the_items(spark):
+    rng = np.random.default_rng(6)
+    items = [(i, " ".join(f"v{n}" for n in rng.zipf(1.5, 10 + i % 90) % 200)) for i in range(60)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    whole = {(t, j): v for index in bm25_wand.indexes(table, 60) for t, j, v in _impacts(index)}
+    dealt = {(t, j): v for index in bm25_wand.indexes(table, 7) for t, j, v in _impacts(index)}
+    assert whole.keys() == dealt.keys() and all(abs(whole[k] - dealt[k]) < 1e-12 for k in whole)
+
+
+def _impacts(index):
+    """Term, item and largest impact among the item's pieces."""
+    best = {}
+    for term, n in index.vocabulary.items():
+        at, _ = index.items.rows(np.array([n]))
+        for row in at:
+            key = term, index.ids[index.item_of[index.items.number[row]]]
+            best[key] = max(best.get(key, 0), index.items.impact[row])
+    return [(*k, v) for k, v in best.items()]
+
+
 def test_token_counts(odd_docs, no_docs):
     import public_tokenizers
     from tokenizers import Tokenizer
