@@ -11,8 +11,12 @@ the threshold: the smallest density on its path from the body. The text kept is
 that of the subtree with the largest sum, plus other subtrees that reach the
 threshold and hold the largest sum among those below them.
 
-Parts that name themselves as something other than the article (navigation,
-side bars, forms, adverts, notices, comments, scripts) are taken out of the tree first.
+Scripts, navigation elements and hidden parts are taken out of the tree first.
+A name is a weaker sign. A part named as nothing but something else (side bar,
+form, advert, notice, comments) goes unless it holds the article, most of the
+page's text, or is a heading or paragraph of the article. One whose name has
+other words too (``section-header``, ``has-sidebar``, ``share-price``) goes only if
+links are most of it; otherwise its density decides.
 """
 
 from __future__ import annotations
@@ -62,6 +66,9 @@ NOT_NAME = frozenset(
 )
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 SPACE = re.compile(r"\s+")
+HINTED, NAMED, HIDDEN = 1, 2, 3
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+OF_TEXT = HEADINGS | {"p", "blockquote", "pre"}
 
 
 class Node:
@@ -69,29 +76,35 @@ class Node:
 
     def __init__(self, name: str, parent: Node | None, dropped: bool) -> None:
         self.name, self.parent, self.dropped = name, parent, dropped
-        self.suspect = False
+        self.suspect = 0
         self.children: list[Node | str] = []
 
 
-def _suspect(name: str, attrs: str, inside: Node) -> bool:
-    """Whether an element says that it is not part of the article."""
+def _suspect(name: str, attrs: str, inside: Node) -> int:
+    """How surely an element says that it is not part of the article: ``HIDDEN``, ``NAMED``, ``HINTED`` or 0."""
+    found = 0
     if name == "form":
-        return True
-    if name == "header":
-        return not any(n.name in ("article", "main", "section") for n in _up(inside))
-    if not attrs or name in ("html", "body", "main", "article"):
-        return False
+        found = NAMED
+    if name == "header" and not any(n.name in ("article", "main", "section") for n in _up(inside)):
+        found = NAMED
+    if not attrs or name in ("html", "body", "main", "article", "header"):
+        return found
     for key, *values in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), "".join(values)
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
-        if key == "role" and value.lower() in NOT_ROLE:
-            return True
+            return HIDDEN
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-        if key in ("class", "id") and not NOT_NAME.isdisjoint(x.lower() for x in NAME_PART.findall(value)):
-            return True
-    return False
+            return HIDDEN
+        if key == "role" and value.lower() in NOT_ROLE:
+            found = NAMED
+        if key in ("class", "id"):
+            for token in value.split():
+                words = [x.lower() for x in NAME_PART.findall(token) if not x.isdigit()]
+                if words and NOT_NAME.issuperset(words):
+                    found = NAMED
+                elif not NOT_NAME.isdisjoint(words):
+                    found = max(found, HINTED)
+    return found
 
 
 def _up(node: Node | None) -> Iterator[Node]:
@@ -150,7 +163,7 @@ def parse(html: str) -> Node:
             stack.pop()
         above = stack[-1]
         node = Node(name, above, above.dropped or name in NOT_TEXT)
-        node.suspect = not node.dropped and _suspect(name, match["attrs"], above)
+        node.suspect = 0 if node.dropped else _suspect(name, match["attrs"], above)
         if not above.dropped:
             above.children.append(node)
         closed = name in VOID or match["attrs"].endswith("/") and name not in BLOCKS
@@ -164,16 +177,59 @@ def parse(html: str) -> Node:
 
 
 def _settle(root: Node) -> None:
-    """Drop suspect elements, but not a frame around the article: one with an article or main, or a title and paragraphs."""
+    """Drop hidden elements, and suspect ones that links fill or whose text is neither the article's nor most of the page's.
+
+    A frame around the article stays: one with an article or main, or a title and paragraphs.
+    """
     nodes = _order(root)
     holds = {id(n): [n.name in ("article", "main"), n.name == "h1", int(n.name == "p")] for n in nodes}
     for n in reversed(nodes):
         frame, title, paragraphs = own = holds[id(n)]
-        if n.suspect and not frame and not (title and paragraphs > 1):
+        if n.suspect == HIDDEN and not frame and not (title and paragraphs > 1):
             n.dropped = True
         elif n.parent is not None:
             above = holds[id(n.parent)]
             above[:] = above[0] or own[0], above[1] or own[1], above[2] + own[2]
+    nodes = _order(root)
+    if not any(n.suspect for n in nodes):
+        return
+    measure(nodes)
+    text = {id(n): n.chars - n.link_chars for n in nodes}
+    whole = next((n for n in nodes if n.name == "body"), root)
+    has_article = any(n.name in ("article", "main") and text[id(n)] for n in nodes)
+    of_article: set[int] = set()
+    headed: set[int] = set()
+    for n in nodes:
+        if n.name in ("article", "main") or n.parent is not None and id(n.parent) in of_article:
+            of_article.add(id(n))
+    for n in reversed(nodes):
+        if n.parent is not None and (n.name in HEADINGS or id(n) in headed):
+            headed.add(id(n.parent))
+    kept = lambda n: n.chars and n.link_chars < 0.5 * n.chars
+    for n in nodes:
+        frame, title, paragraphs = holds[id(n)]
+        if not n.suspect or frame or title and paragraphs > 1:
+            continue
+        inside = id(n) in of_article
+        most = 2 * text[id(n)] > text[id(whole)] and (inside or not has_article)
+        if most or kept(n) and (n.suspect == HINTED or inside and n.name in OF_TEXT):
+            continue
+        if kept(n) and inside and n.name in ("header", "div", "section", "hgroup") and id(n) in headed and not _other_text(n):
+            continue  # around headings only
+        n.dropped = True
+
+
+def _other_text(node: Node) -> bool:
+    """Whether an element has text outside of headings."""
+    todo = [node]
+    while todo:
+        for c in todo.pop().children:
+            if isinstance(c, str):
+                if c.strip():
+                    return True
+            elif not c.dropped and c.name not in HEADINGS:
+                todo.append(c)
+    return False
 
 
 def _order(root: Node) -> list[Node]:
@@ -186,34 +242,76 @@ def _order(root: Node) -> list[Node]:
     return found
 
 
+def _measure(n: Node) -> None:
+    """Characters and tags of a node whose children have theirs."""
+    kids = [c for c in n.children if isinstance(c, Node) and not c.dropped]
+    own = sum(len(SPACE.sub("", c)) for c in n.children if isinstance(c, str))
+    n.chars = own + sum(k.chars for k in kids)
+    n.tags = len(kids) + sum(k.tags for k in kids)
+    link = n.name == "a"
+    n.link_chars = n.chars if link else sum(k.link_chars for k in kids)
+    n.link_tags = (1 if link else 0) + sum(k.link_tags for k in kids)
+
+
+def _density(n: Node, share: float) -> float:
+    if not n.chars:
+        return 0.0
+    base = log(n.chars / max(1, n.chars - n.link_chars) * n.link_chars + share * n.chars + e)
+    ratio = n.chars / max(1, n.link_chars) * max(1, n.tags) / max(1, n.link_tags)
+    return n.chars / max(1, n.tags) * log(max(ratio, 1.0)) / base if base > 0 else 0.0
+
+
+def _share(nodes: list[Node]) -> float:
+    """Share of links in the body's text."""
+    body = next((n for n in nodes if n.name == "body"), nodes[0])
+    return body.link_chars / max(1, body.chars)
+
+
 def measure(nodes: list[Node]) -> None:
     """Density and density sum of each node; ``nodes`` has parents first."""
     for n in reversed(nodes):
-        kids = [c for c in n.children if isinstance(c, Node) and not c.dropped]
-        own = sum(len(SPACE.sub("", c)) for c in n.children if isinstance(c, str))
-        n.chars = own + sum(k.chars for k in kids)
-        n.tags = len(kids) + sum(k.tags for k in kids)
-        link = n.name == "a"
-        n.link_chars = n.chars if link else sum(k.link_chars for k in kids)
-        n.link_tags = (1 if link else 0) + sum(k.link_tags for k in kids)
-    body = next((n for n in nodes if n.name == "body"), nodes[0])
-    share = body.link_chars / max(1, body.chars)
+        _measure(n)
+    share = _share(nodes)
     for n in reversed(nodes):
-        n.density = 0.0
-        if n.chars:
-            base = log(n.chars / max(1, n.chars - n.link_chars) * n.link_chars + share * n.chars + e)
-            ratio = n.chars / max(1, n.link_chars) * max(1, n.tags) / max(1, n.link_tags)
-            n.density = n.chars / max(1, n.tags) * log(max(ratio, 1.0)) / base if base > 0 else 0.0
+        n.density = _density(n, share)
         # Text of its own counts like a child without tags.
         own = sum(len(SPACE.sub("", c)) for c in n.children if isinstance(c, str))
         n.total = own + sum(c.density for c in n.children if isinstance(c, Node) and not c.dropped)
 
 
-def select(nodes: list[Node]) -> set[int]:
-    """Ids of the nodes whose whole text is kept: the subtree of the largest density sum, and others above the threshold."""
+def _runs(node: Node, above_best: set[int]) -> Iterator[list[int]]:
+    """Places of children that make a run of text, with a string of its own, between blocks."""
+    run: list[int] = []
+    for i, c in enumerate([*node.children, None]):
+        if isinstance(c, str) or c is not None and not c.dropped and c.name not in BLOCKS and id(c) not in above_best and not _holds_block(c):
+            run.append(i)
+        elif c is None or not c.dropped:
+            if any(isinstance(node.children[j], str) and node.children[j].strip() for j in run):
+                yield run
+            run = []
+
+
+def _holds_block(node: Node) -> bool:
+    todo = [node]
+    while todo:
+        for c in todo.pop().children:
+            if isinstance(c, Node) and not c.dropped:
+                if c.name in BLOCKS:
+                    return True
+                todo.append(c)
+    return False
+
+
+def select(nodes: list[Node]) -> set[int | tuple[int, int]]:
+    """What is kept whole: the subtree of the largest density sum, and others above the threshold.
+
+    Nodes are given by id. Runs of text directly in an ancestor of that subtree
+    count like its children; strings are given by their parent's id and place.
+    """
     best = max(nodes, key=lambda n: n.total)
     threshold = min(n.density for n in _up(best) if n.name not in ("html",) or n is best)
-    kept: set[int] = set()
+    share = _share(nodes)
+    kept: set[int | tuple[int, int]] = set()
     todo = [nodes[0]]
     above_best = {id(n) for n in _up(best)}
     # An inline or heading winner stands for the block container around it.
@@ -230,13 +328,20 @@ def select(nodes: list[Node]) -> set[int]:
         if node is top:
             kept.add(id(node))
         elif id(node) in above_best:
+            for run in _runs(node, above_best):
+                part = Node("span", None, False)
+                part.children = [node.children[i] for i in run]
+                _measure(part)
+                part.density = _density(part, share)
+                if part.density >= threshold and part.link_chars < 0.5 * part.chars:
+                    kept.update((id(node), i) if isinstance(node.children[i], str) else id(node.children[i]) for i in run)
             todo.extend(c for c in node.children if isinstance(c, Node) and not c.dropped)
         elif node.density >= threshold and node.chars and node.link_chars < 0.5 * node.chars:
             kept.add(id(node))
     return kept
 
 
-def blocks(root: Node, kept: set[int]) -> list[str]:
+def blocks(root: Node, kept: set[int | tuple[int, int]]) -> list[str]:
     """Texts of the blocks below kept nodes, in page order, white space made single blanks."""
     found: list[str] = []
     run: list[str] = []
@@ -263,7 +368,8 @@ def blocks(root: Node, kept: set[int]) -> list[str]:
                 todo.append((None, inside))
             elif item.name in ("br", "wbr") and inside:
                 run.append(" " if item.name == "br" else "")
-            todo.extend((c, inside) for c in reversed(item.children))
+            for i in range(len(item.children) - 1, -1, -1):
+                todo.append((item.children[i], inside or (id(item), i) in kept))
     flush()
     return found
 

@@ -30,6 +30,26 @@ def test_pages_of_every_kind():
     assert html_text.main_text("<div>" * 3000 + "deep") == "deep"
 
 
+SENTENCES = "A sentence of the article that says something worth reading. " * 4
+NAV, P = "<nav><a href=/>Home</a></nav>", f"<p>{SENTENCES}</p>"
+
+
+@pytest.mark.parametrize(
+    "page, kept, gone",
+    [
+        (f"<article><h1>T</h1>{P}<h2 class='section-header'>Part two</h2>{P}<p class='share-price'>Shares rose.</p></article>", ["Part two", "Shares rose."], []),
+        (f"<article><div class='post-header'><h1>Title</h1></div>{P}<div class='share-buttons'><a href=x>Tweet</a></div></article>", ["Title"], ["Tweet"]),
+        (f"<div class='content has-sidebar'><h2>Two</h2>{P}{P}</div><div class='sidebar'><p>Buy this.</p></div>", ["Two"], ["Buy this."]),
+        (f"<div class='ad-free'><h2>Two</h2>{P}{P}</div>", ["Two"], []),
+        (f"<form id='form1'><div><h2>Two</h2>{P}{P}</div><div class=ad>Buy this.</div></form>", ["Two"], ["Buy this."]),
+        ("Bare text that is as dense as any paragraph. " * 8 + f"<div>{P}{P}</div>", ["Bare text"], []),
+    ],
+)
+def test_article_text_is_not_lost_to_names(page, kept, gone):
+    text = html_text.main_text(f"<body>{NAV}{page}</body>")
+    assert all(x in text for x in ["worth reading", *kept]) and not any(x in text for x in ["Home", *gone])
+
+
 def test_pages_in_spark(spark):
     pages = spark.createDataFrame([(1, "u", None, 5), (1, "u", None, 5), (None, None, "<p>x</p>", 6)], "page_id long, url string, html string, n_chars int")
     got = results(html_text.extract_pages(pages), "page_id", "url", "text", "n_chars")
