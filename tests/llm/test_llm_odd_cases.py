@@ -115,6 +115,15 @@ def test_neighbours_at_every_depth(spark, noise):
     assert hits >= 0.9 * 20 * 24
 
 
+def test_neighbours_of_an_id_repeated_often(spark):
+    """The id's own rows fill its prefixes; the others are found nevertheless."""
+    x = np.random.default_rng(8).standard_normal((30, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, x[0].tolist())] * 80
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = prefix_forest.nearest(table, table.where("vec_id = 0")).collect()
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == list(np.argsort(-(x[1:] @ x[0]))[:20] + 1)
+
+
 def test_no_depth_without_the_chance_for_it():
     for dims in (16, 64, 300):
         for cosine in (-0.2, 0.1, 0.35, 0.6, 0.9):
