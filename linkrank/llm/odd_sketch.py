@@ -34,6 +34,7 @@ BANDS, ROWS = 40, 6
 SAMPLES = BANDS * ROWS
 BITS = 512
 TIE, MAY_LINK = 0.5, 0.6  # estimates below are cut; a link's is about 0.85 with a deviation of 0.03
+LEAST_PERCENT = 80  # what bands and cuts are made for; below, links would be cut unseen
 BLOCK = 512
 BIN_ROWS = 256
 COLUMNS = 4096
@@ -190,6 +191,8 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
     ``component`` is a number for each group of linked documents, null for texts
     without words. The rest is as in ``near_duplicates``.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"percent is {percent}; bands and sketches are made for {LEAST_PERCENT} or more")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     features = stored(rows.mapInPandas(_features, FEATURES))
     named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")

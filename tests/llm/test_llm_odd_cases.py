@@ -242,6 +242,12 @@ def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     assert {(r.doc_id, r.component_id) for r in got} == {(i, want[i, t][1]) for i, t in rows}
 
 
+@pytest.mark.parametrize("operator", [odd_sketch.near_duplicates, odd_sketch.without_duplicates])
+def test_no_percent_below_what_the_sketches_are_made_for(odd_docs, operator):
+    with pytest.raises(ValueError):
+        operator(odd_docs, 60)
+
+
 def test_leaks(spark, odd_docs, no_docs):
     items = spark.createDataFrame(
         [(1, PASSAGE.upper(), 0.0), (2, None, 0.0), (3, "", 0.0), (4, "two one", 0.0), (None, "ONE, two!", 0.0), (5, "entirely other words stand here today", 0.0)],
