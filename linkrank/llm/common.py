@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.session import ensure_checkpoint_dir
+from linkrank.session import ensure_checkpoint_dir, scratch_path
 
 # A word is a run of anything but these six white-space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -21,6 +21,13 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` computed once and read again from Parquet files in the shared folder."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal digits modulo ``modulus``; a null id counts as 0."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus)), F.lit(0))

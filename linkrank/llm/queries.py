@@ -17,9 +17,10 @@ from linkrank.llm.mixing import mix_documents
 from linkrank.llm.odd_sketch import near_duplicates
 from linkrank.llm.prefix_forest import nearest
 from linkrank.llm.token_counts import count_tokens
+from linkrank.llm.tokenizer_alignment import align_tokenizers
 from linkrank.llm.toxicity import score_toxicity
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -78,6 +79,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op11_identity_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents")
+    return align_tokenizers(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_text_density": op1_text_density,
@@ -90,4 +98,5 @@ def queries() -> dict[str, Query]:
         "op8_odd_sketch_dedup": op8_odd_sketch_dedup,
         "op9_benchmark_leaks": op9_benchmark_leaks,
         "op10_token_counts": op10_token_counts,
+        "op11_identity_alignment": op11_identity_alignment,
     }

@@ -55,3 +55,49 @@ def components(rows, percent=85):
         for i in group:
             found[rows[i]] = len(sets[i]), min(ids, default=None)
     return found
+
+
+def alignments(rows, a_path, b_path):
+    """The row of each (doc_id, text), every link listed: byte by byte over whole texts."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    import json
+
+    tokenizer, processor = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
+    tokenizer.encode_special_tokens = True
+    with open(a_path, encoding="utf-8") as file:
+        vocabulary = {i: e for e, i in json.load(file)["model"]["vocab"].items()}
+    # The byte-level alphabet, from what the library makes of each character's bytes.
+    visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    letter = {chr(b): b for b in visible}
+    letter.update({chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in visible)})
+    found, corpus = [], defaultdict(int)
+    for doc_id, text in rows:
+        links, groups = [], []
+        a = tokenizer.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = processor.encode(text) if text else []
+        bytes_a = [bytes(letter[c] for c in vocabulary[i]) for i in a]
+        bytes_b = [bytes([int(processor.id_to_piece(i)[3:5], 16)]) if processor.is_byte(i) else processor.id_to_piece(i).replace("▁", " ").encode() for i in b]
+        if not text or not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+            a, b = [], []
+        else:
+            at_a = [n for n, e in enumerate(bytes_a) for _ in e]
+            at_b = [n for n, e in enumerate(bytes_b) for _ in e]
+            links = [(a[i], b[j]) for i, j in sorted(set(zip(at_a, at_b, strict=True)))]
+            start = 0
+            for n in range(1, len(at_a) + 1):
+                if n == len(at_a) or (at_a[n] != at_a[n - 1] and at_b[n] != at_b[n - 1]):
+                    groups.append((sorted(set(at_a[start:n])), sorted(set(at_b[start:n]))))
+                    start = n
+        for link in links:
+            corpus[link] += 1
+        text_of = ";".join(",".join(str(a[i]) for i in x) + "|" + ",".join(str(b[i]) for i in y) for x, y in groups)
+        found.append((doc_id, len(a), len(b), links, len(groups), hashlib.sha256(text_of.encode()).hexdigest() if a else ""))
+    best = defaultdict(int)
+    for (_, b), n in corpus.items():
+        best[b] = max(best[b], n)
+    return [
+        (doc_id, n_a, n_b, n_groups, len(links), sum(corpus[x] == best[x[1]] for x in links), sum(corpus[x] for x in links), sha)
+        for doc_id, n_a, n_b, links, n_groups, sha in found
+    ]

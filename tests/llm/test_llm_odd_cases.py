@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import brute
 from conftest_rows import LONG, PASSAGE, odd_rows
-from linkrank.llm import bm25_wand, de_bruijn, hash_tree, html_text, langid, mixing, odd_sketch, prefix_forest, token_counts, toxicity
+from linkrank.llm import bm25_wand, de_bruijn, hash_tree, html_text, langid, mixing, odd_sketch, prefix_forest, token_counts, toxicity, units
 
 ROWS = [r[:2] for r in odd_rows()]
 
@@ -322,15 +322,39 @@ def test_token_counts(odd_docs, no_docs):
     tokenizer = Tokenizer.from_file(path)
     count = lambda t: len(tokenizer.encode(t or "", add_special_tokens=False).ids)
     want = Counter((i, len((t or "").encode()), count(t), count(t) > 512) for i, t in ROWS)
-    for piece_chars in (40, token_counts.PIECE_CHARS):
-        got = token_counts.count_tokens(odd_docs, path, piece_chars=piece_chars)
+    for call_bytes, table_bytes in ((40, 1), (40, 3_000), (token_counts.CALL_BYTES, None)):
+        got = token_counts.count_tokens(odd_docs, path, call_bytes=call_bytes, table_bytes=table_bytes)
         assert results(got, "doc_id", "n_bytes", "n_tokens", "over_limit") == want
     assert token_counts.count_tokens(no_docs, path).count() == 0
     assert token_counts.count_tokens(odd_docs, public_tokenizers.path("piece_bpe_32k.model")).count() == len(ROWS)
 
 
-@pytest.mark.parametrize("text", ["a  b\n\n c " * 50, "x" * 500, " " * 300 + "y", "don't  stop\t\n 12 ab " * 20, "\x1c a \x85 b" * 40])
-def test_pieces_join_to_the_text(text):
-    parts = list(token_counts.pieces(text, 30))
-    assert "".join(parts) == text
-    assert all(p[0] in " \n" and not q[-1].isspace() for q, p in zip(parts, parts[1:], strict=False))
+ODD_TEXTS = [
+    *["", " ", "  ", "a", " a", "a ", "  a  b  ", " \n a", "a\t b \tc", "a\x1c b \x1c c", "\x00 a \x00b", "a\xa0 b \xa0c", "e\u3000 f \u3000g"],
+    *["x<|endoftext|> y <|endoftext|>z", "don't  stop ' s 's", "\n\n a \n\n b\n \n", " " * 300 + "y", "a" + " " * 300, "1 2  3 \uff14 \u0663"],
+    *["a  b\n\n c " * 50, "x" * 500, "don't  stop\t\n 12 ab " * 20, "\x1c a \x85 b" * 40, "\u00e1 \u0301b", "no blank\nbut\tother white space"],
+]
+
+
+@pytest.mark.parametrize("call_bytes, table_bytes", [(1, 1), (30, 400), (1 << 18, None)])
+def test_units_have_the_tokens_of_their_text(call_bytes, table_bytes, monkeypatch):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = token_counts.json_tokenizer(path)
+    monkeypatch.setattr(units, "SLICE_CHARS", 100)
+    got = token_counts.UnitCounter(path, call_bytes, table_bytes).counts([*ODD_TEXTS, None, *ODD_TEXTS])
+    want = [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in ODD_TEXTS]
+    assert got == [*want, 0, *want]
+
+
+@pytest.mark.parametrize("text", ODD_TEXTS)
+def test_units_join_to_the_text(text):
+    assert " ".join(units.units(text)) == text
+
+
+def test_only_byte_level_files_are_cut():
+    import public_tokenizers
+
+    assert token_counts.cuts_at_blanks(public_tokenizers.path("byte_bpe_50k.json"))
+    assert not any(token_counts.cuts_at_blanks(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "piece_bpe_32k.model"))

@@ -27,7 +27,7 @@ def normal(frame):
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(registered.queries())
 
 
