@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.session import ensure_checkpoint_dir, scratch_path
+from linkrank.session import discard_checkpoint, ensure_checkpoint_dir, remove, scratch_path
 
 # A word is a run of anything but these six white-space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -21,11 +21,40 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
-def written(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` computed once and read again from Parquet files in the shared folder."""
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+class Shelf:
+    """Tables that an operator keeps in the shared folder until its result is there."""
+
+    def __init__(self) -> None:
+        self._kept: list[DataFrame] = []
+        self._paths: list[tuple[SparkSession, str]] = []
+
+    def stored(self, frame: DataFrame) -> DataFrame:
+        table = stored(frame)
+        self._kept.append(table)
+        return table
+
+    def written(self, frame: DataFrame, name: str) -> DataFrame:
+        """``frame`` computed once and read again from Parquet files."""
+        spark = frame.sparkSession
+        path = scratch_path(spark, name)
+        frame.write.parquet(path)
+        self._paths.append((spark, path))
+        return spark.read.parquet(path)
+
+    def discard(self, table: DataFrame) -> None:
+        """Give up a stored table before the others."""
+        self._kept = [t for t in self._kept if t is not table]
+        discard_checkpoint(table)
+
+    def last(self, frame: DataFrame) -> DataFrame:
+        """``frame`` stored, all other tables removed."""
+        result = stored(frame)
+        for table in self._kept:
+            discard_checkpoint(table)
+        for spark, path in self._paths:
+            remove(spark, path)
+        self._kept, self._paths = [], []
+        return result
 
 
 def id_remainder(doc_id: Column, modulus: int) -> Column:
@@ -40,28 +69,39 @@ def connected_components(edges: DataFrame) -> DataFrame:
     to its smallest neighbour, flattens the trees by doubling, and relabels the
     edges, so that only edges between different roots are left. Nodes with very
     many edges are only ever the key of partial aggregations or of joins that
-    Spark may split. Tables of a round go to the checkpoint folder.
+    Spark may split. Tables of a round go to the checkpoint folder and are
+    removed once the next round has its own.
     """
+    shelf = Shelf()
     ordered = lambda a, b: [F.greatest(a, b).alias("high"), F.least(a, b).alias("low")]
-    links = stored(edges.select(*ordered("a", "b")).where("high <> low").distinct())
-    labels = stored(
+    links = shelf.stored(edges.select(*ordered("a", "b")).where("high <> low").distinct())
+    labels = shelf.stored(
         links.select(F.explode(F.array("high", "low")).alias("node")).distinct().withColumn("component", F.col("node"))
     )
     while not links.isEmpty():
-        parent = stored(links.groupBy(F.col("high").alias("root")).agg(F.min("low").alias("parent")))
+        jumped = shelf.stored(
+            links.groupBy(F.col("high").alias("root"))
+            .agg(F.min("low").alias("parent"))
+            .withColumn("grandparent", F.lit(None).cast("long"))
+        )
         while True:
-            above = parent.select(F.col("root").alias("parent"), F.col("parent").alias("grandparent"))
-            jumped = stored(parent.join(above, "parent", "left"))
             parent = jumped.select("root", F.coalesce("grandparent", "parent").alias("parent"))
+            above = parent.select(F.col("root").alias("parent"), F.col("parent").alias("grandparent"))
+            jumped, before = shelf.stored(parent.join(above, "parent", "left")), jumped
+            shelf.discard(before)
             if jumped.where("grandparent is not null").isEmpty():
                 break
-        links = stored(
+        parent = jumped.select("root", "parent")
+        old = links, labels, jumped
+        links = shelf.stored(
             _relabel(_relabel(links, parent, "high"), parent, "low")
             .select(*ordered("high", "low"))
             .where("high <> low")
             .distinct()
         )
-        labels = stored(_relabel(labels, parent, "component"))
+        labels = shelf.stored(_relabel(labels, parent, "component"))
+        for table in old:
+            shelf.discard(table)
     return labels
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from linkrank.llm.bm25_wand import ANSWER_PART, LEAK, LEAK_PART, SHINGLE
+from linkrank.llm.burst_trie import LONGEST_SHARED, SHARED
 from linkrank.llm.de_bruijn import WINDOW
 from linkrank.llm.hash_tree import HASH_DIGITS, SLOT_DIGITS, Shard, grown, regular_tree
 from linkrank.llm.mixing import BITS, LEVELS, MAX_REPEATS, WEIGHTS
@@ -160,6 +161,42 @@ from reached r left join sizes on r.doc_id = sizes.doc_id group by r.doc_id
 """
 
 
+CONV_CRC32 = CRC32.replace("coalesce(text, '')", "conv_id::varchar")
+TRIE = f"""
+with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, md5(role || ':' || text)) as pos,
+         md5(strlen(role)::varchar || ':' || role || text) as entry, strlen(text)::bigint as size
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)),
+ids as (select distinct conv_id, conv_id - conv_id % {SHARED} as base, ({CONV_CRC32})::bigint % {LONGEST_SHARED} as shared from turns),
+rebuilt as (
+  select i.conv_id, t.pos, 0 as part, t.entry, t.size from ids i join turns t on t.conv_id = i.base and t.pos <= i.shared
+  union all
+  select i.conv_id, t.pos, 1, t.entry, t.size from ids i join turns t on t.conv_id = i.conv_id and t.pos > i.shared),
+sequences as (
+  select i.conv_id, coalesce(list(entry order by part, pos) filter (entry is not null), []) as entries,
+         coalesce(list(size order by part, pos) filter (entry is not null), []) as sizes
+  from ids i left join rebuilt r on i.conv_id = r.conv_id group by i.conv_id),
+members as (
+  select conv_id, d as depth, md5(array_to_string(entries[1:d], '/')) || '/' || d as node,
+         case when d > 0 then md5(array_to_string(entries[1:d - 1], '/')) || '/' || (d - 1) end as above,
+         case when d > 0 then sizes[d] else 0 end as size, d = len(entries) as ends
+  from (select *, unnest(range(0, len(entries) + 1)) as d from sequences)),
+nodes as (
+  select node, any_value(depth) as depth, any_value(above) as above, min(conv_id) as conv_id, count(*) as n_convs,
+         (count(*) - 1) * any_value(size) as saved,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from members group by node),
+children as (select above as node, count(*) as n_children from nodes where above is not null group by above),
+below as (
+  select m.node, count(*) filter (c.n_children is null) as n_leaves, sum(n.saved)::bigint as saved_tokens
+  from nodes n join members m on m.conv_id = n.conv_id and m.depth <= n.depth left join children c on c.node = n.node
+  group by m.node)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(c.n_children, 0) as n_children,
+       b.n_leaves, b.saved_tokens, n.ends_sha256
+from nodes n join below b on n.node = b.node left join nodes p on p.node = n.above left join children c on c.node = n.node
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_hash_tree_sharding": SHARDING,
@@ -167,4 +204,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_de_bruijn_dedup": REPEATS,
         "op8_odd_sketch_dedup": COMPONENTS,
         "op9_benchmark_leaks": LEAKS,
+        "op13_burst_trie": TRIE,
     }

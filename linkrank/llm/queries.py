@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkrank.llm.bm25_wand import find_leaks
+from linkrank.llm.burst_trie import prefix_trie
 from linkrank.llm.common import id_remainder, read_table
 from linkrank.llm.de_bruijn import remove_repeats
 from linkrank.llm.hash_tree import shard_documents
@@ -19,6 +20,7 @@ from linkrank.llm.prefix_forest import nearest
 from linkrank.llm.token_counts import count_tokens
 from linkrank.llm.tokenizer_alignment import align_tokenizers
 from linkrank.llm.toxicity import score_toxicity
+from linkrank.llm.url_filters import judge_urls
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +88,14 @@ def op11_identity_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_tokenizers(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
 
 
+def op12_viterbi_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read_table(spark, sf_dir, "pages"))
+
+
+def op13_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_text_density": op1_text_density,
@@ -99,4 +109,6 @@ def queries() -> dict[str, Query]:
         "op9_benchmark_leaks": op9_benchmark_leaks,
         "op10_token_counts": op10_token_counts,
         "op11_identity_alignment": op11_identity_alignment,
+        "op12_viterbi_url_filter": op12_viterbi_url_filter,
+        "op13_burst_trie": op13_burst_trie,
     }

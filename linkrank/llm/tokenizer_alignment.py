@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import stored, written
+from linkrank.llm.common import Shelf
 from linkrank.llm.token_counts import byte_level_entries, calls, cuts_at_blanks, json_tokenizer
 from linkrank.llm.units import Bounded, slices, units
 
@@ -336,17 +336,18 @@ def align_tokenizers(
     """
     spark = docs.sparkSession
     head = HEAD if head is None else head
+    shelf = Shelf()
     v = Vocabularies(a_path, b_path)
     wide, identity = len(v.b_bytes), v.identity
     del v
-    table = written(aligned_documents(docs, a_path, b_path, table_bytes, task_pairs), "alignment")
+    table = shelf.written(aligned_documents(docs, a_path, b_path, table_bytes, task_pairs), "alignment")
     sums = table.where("row is null").select(F.explode(F.arrays_zip("pair", "pair_n")).alias("e")).select(F.col("e.pair").alias("pair"), F.col("e.pair_n").alias("n"))
     total = lambda rows: rows.groupBy("pair").agg(F.sum("n").alias("n"))
     # The vectors of the tasks: as many sums as A has ids, at most.
     vector = {-1 - r["pair"]: r["n"] for r in total(sums.where("pair < 0")).collect()}
     same = [(int(a) * wide + int(identity[a]), int(n)) for a, n in sorted(vector.items())]
     same_rows = spark.createDataFrame(same, "pair long, n long")
-    pairs = stored(total(total(sums.where("pair >= 0")).unionByName(same_rows)))
+    pairs = shelf.stored(total(total(sums.where("pair >= 0")).unionByName(same_rows)))
     b = F.pmod(F.col("pair"), F.lit(wide)).alias("b")
     best = np.zeros(wide, np.int64)
     for r in pairs.groupBy(b).agg(F.max("n").alias("n")).collect():  # one row for each id of B, at most
@@ -409,7 +410,7 @@ def align_tokenizers(
         )
         more = lambda c, d: (F.col(c) + F.coalesce(F.col(d), F.lit(0))).alias(c)
         result = result.join(tail, "row", "left").select(*names, more("n_best", "more_best"), more("count_sum", "more_sum"))
-    return result.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return shelf.last(result.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"))
 
 
 def _entries(batch: pa.RecordBatch, values: str, times: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -101,3 +101,37 @@ def alignments(rows, a_path, b_path):
         (doc_id, n_a, n_b, n_groups, len(links), sum(corpus[x] == best[x[1]] for x in links), sum(corpus[x] for x in links), sha)
         for doc_id, n_a, n_b, links, n_groups, sha in found
     ]
+
+
+def trie(rows):
+    """Rows of the prefix trie of (conv_id, turn, role, text), by dictionaries of whole prefixes."""
+    import zlib
+
+    def order(row):
+        role, text = row[2] or "", row[3] or ""
+        whole = f"{len(role.encode())}:{role}{text}".encode()
+        return (row[1] is not None, row[1] or 0, hashlib.sha256(whole).digest()[:16], len(text.encode()))
+
+    own = defaultdict(list)
+    for row in sorted((r for r in rows if r[0] is not None), key=order):
+        own[row[0]].append((row[2] or "", row[3] or ""))
+    members, ends = defaultdict(list), defaultdict(list)
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - (c % 5 if c >= 0 else -(-c % 5))
+        whole = (*own.get(base, [])[:h], *turns[h:])
+        ends[whole].append(c)
+        for d in range(len(whole) + 1):
+            members[whole[:d]].append(c)
+    children = defaultdict(list)
+    for p in members:
+        if p:
+            children[p[:-1]].append(p)
+    leaves, saved = {}, {}
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[c] for c in children[p]) or 1
+        saved[p] = (len(members[p]) - 1) * len(p[-1][1].encode() if p else b"") + sum(saved[c] for c in children[p])
+    return [
+        (min(m), len(p), min(members[p[:-1]]) if p else None, len(m), len(children[p]), leaves[p], saved[p], hashlib.sha256(",".join(map(str, sorted(ends[p]))).encode()).hexdigest())
+        for p, m in members.items()
+    ]

@@ -36,7 +36,8 @@ def test_against_sql(spark, name):
     duck = duckdb.connect()
     for path in Path(SMALL).glob("*.parquet"):
         duck.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
-    got, want = normal(QUERIES[name](spark, SMALL).toPandas()), normal(duck.sql(ORACLE[name]).df())
+    rows = QUERIES[name](spark, SMALL).toArrow()
+    got, want = normal(duck.from_arrow(rows).df()), normal(duck.sql(ORACLE[name]).df())
     assert len(want)
     assert [str(t) for t in got.dtypes] == [str(t) for t in want.dtypes]
     pd.testing.assert_frame_equal(got, want, check_exact=True)
