@@ -47,10 +47,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def clear_scratch(spark: SparkSession) -> None:
     """Remove all scratch folders of this program."""
     while _scratch:
-        _remove(spark, _scratch.pop())
+        remove(spark, _scratch.pop())
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what is at ``path``, if anything."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)
 
@@ -59,7 +60,7 @@ def discard_checkpoint(table: DataFrame) -> None:
     """Remove the files of a table that ``checkpoint()`` returned; it can't be read afterwards."""
     kept = table._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
     if kept.isDefined():
-        _remove(table.sparkSession, kept.get())
+        remove(table.sparkSession, kept.get())
 
 
 def require_absent(spark: SparkSession, path: str) -> None:
