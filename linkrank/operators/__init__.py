@@ -9,7 +9,8 @@ from linkrank.operators.graph import (
     prepare_graph,
     project_links,
 )
-from linkrank.operators.partitioning import bucket_sizes
+from linkrank.operators.numbering import PageNumbers
+from linkrank.operators.partitioning import bucket_sizes, partition_sizes, place_by_bucket
 from linkrank.operators.steps import (
     complete_ranks,
     damped,
@@ -25,6 +26,7 @@ from linkrank.operators.urls import annotate_ranks, join_url_parts
 __all__ = [
     "DegreeRule",
     "LinkGraph",
+    "PageNumbers",
     "adjacency",
     "annotate_ranks",
     "bucket_sizes",
@@ -36,6 +38,8 @@ __all__ = [
     "neighbour_contributions",
     "numbered",
     "out_degree",
+    "partition_sizes",
+    "place_by_bucket",
     "prepare_graph",
     "project_links",
     "rank_step",

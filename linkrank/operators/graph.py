@@ -5,9 +5,10 @@ A prepared graph is two tables:
 * ``sources``: one row per page with outgoing links - ``page, degree, links,
   salts``;
 * ``links``: the distinct links - ``source, target`` and, if some source is
-  too large for one partition, ``salt``.
+  too large for one partition, ``salt``; or, as adjacency blocks, ``source``,
+  ``salt`` and the list ``neighbours`` of the links of a block.
 
-Kept in memory or on disk, both are hash-partitioned and sorted by page with
+Kept in memory or on disk, or in the reliable folder, both are hash-partitioned and sorted by page with
 the same number of partitions. A rank table that comes out of an aggregation
 by page has that partitioning too, so a ranking step moves only the summed
 contributions; the links, by far the largest table, stay where they are.
@@ -22,7 +23,7 @@ from enum import Enum
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.session import default_width, ensure_checkpoint_dir
+from linkrank.session import checkpoint_in_place, default_width, discard_checkpoint, ensure_checkpoint_dir
 
 # A source is never called hot below this many links: that many rows are an
 # ordinary partition. Concerns the layout only; ranks do not depend on it.
@@ -69,6 +70,7 @@ class LinkGraph:
     width: int
     salted: bool
     stored: tuple[DataFrame, ...] = ()
+    durable: bool = False
 
     @property
     def kept(self) -> bool:
@@ -114,13 +116,20 @@ class LinkGraph:
         return pages.drop("salts").hint("merge") if self.kept else pages.drop("salts")
 
     def along_links(self, pages: DataFrame) -> DataFrame:
-        """Every link with the columns of the page it leaves (inner join)."""
-        return self.links.join(self.keyed(pages), self.keys).drop("salt")
+        """Every link with the columns of the page it leaves (inner join); links of a block come out of its row."""
+        rows = self.links.join(self.keyed(pages), self.keys).drop("salt")
+        if "neighbours" not in rows.columns:
+            return rows
+        others = [c for c in rows.columns if c not in ("source", "neighbours")]
+        return rows.select("source", F.explode("neighbours").alias("link"), *others).select("source", "link.target", *others)
 
     def release(self) -> None:
         """Give up the stored tables."""
         for table in self.stored:
-            table.unpersist()
+            if self.durable:
+                discard_checkpoint(table)
+            else:
+                table.unpersist()
 
 
 def prepare_graph(
@@ -129,22 +138,32 @@ def prepare_graph(
     num_partitions: int | None = None,
     hot_links: int | None = None,
     keep: bool = True,
+    block_size: int | None = None,
+    durable: bool = False,
 ) -> LinkGraph:
     """Lay out the links in ``edges`` (columns ``source, target``).
 
-    ``num_partitions`` defaults to the shuffle width of the session. A source
+    ``num_partitions`` defaults to the shuffle width of the session. If it is
+    more than that, no more partitions are made than hold ``MIN_HOT_LINKS`` links
+    each; ``width`` is what came of it. A source
     with more than ``hot_links`` links is spread over several partitions by a
     salt taken from the target. ``keep`` stores both tables in memory and,
     beyond it, on disk (for many passes), and hot links default to the mean
     partition size, 100,000 at least. Without it they stay plain query plans
     (for a single pass): no job runs here, and links are only spread if
     ``hot_links`` is given. Stored blocks lost with an executor are computed
-    again from the input. For one exchange per step, jobs on a kept graph run
+    again from the input; ``durable`` tables are written to the checkpoint folder
+    once instead, keep their layout, and outlive any executor. ``block_size``
+    (with ``keep``) makes adjacency blocks of the links: a row holds so many
+    neighbours on average at most, by the same salt as hot links, and lies by
+    page and block. For one exchange per step, jobs on a kept graph run
     with its width as that of shuffles (``session.shuffle_width``).
     """
-    for name, value in (("num_partitions", num_partitions), ("hot_links", hot_links)):
+    for name, value in (("num_partitions", num_partitions), ("hot_links", hot_links), ("block_size", block_size)):
         if value is not None and value < 1:
             raise ValueError(f"{name} must be 1 or more")
+    if (block_size or durable) and not keep:
+        raise ValueError("only kept graphs have blocks or are durable")
     width = num_partitions or default_width(edges.sparkSession)
     edges = edges.select("source", "target")
     if rule is DegreeRule.DISTINCT:
@@ -159,15 +178,19 @@ def prepare_graph(
         .agg(degree.alias("degree"), F.count(F.lit(1)).alias("links"))
         .withColumnRenamed("source", "page")
     )
+    keep_table = checkpoint_in_place if durable else DataFrame.persist
     if keep:
         pairs.persist()
-        sources = sources.repartition(width, "page").sortWithinPartitions("page").persist()
+        least = default_width(edges.sparkSession)
+        if width > least:
+            width = min(width, max(least, math.ceil(pairs.count() / MIN_HOT_LINKS)))
+        sources = keep_table(sources.repartition(width, "page").sortWithinPartitions("page"))
 
     if not keep and hot_links is None:
         laid_out = sources.withColumn("salts", F.lit(1).cast("bigint"))
         return LinkGraph(laid_out, pairs.select("source", "target").where("source IS NOT NULL"), width, False)
     totals = sources.agg(F.sum("links").alias("links"), F.max("links").alias("largest")).first()
-    limit = hot_links or max(MIN_HOT_LINKS, math.ceil((totals.links or 0) / width))
+    limit = block_size or hot_links or max(MIN_HOT_LINKS, math.ceil((totals.links or 0) / width))
     salted = (totals.largest or 0) > limit
     salts = F.greatest(F.lit(1), F.ceil(F.col("links") / F.lit(limit))).cast("bigint")
     laid_out = sources.withColumn("salts", salts if salted else F.lit(1).cast("bigint"))
@@ -177,13 +200,17 @@ def prepare_graph(
         hub_limit = math.ceil(totals.links / width)
         links, keys = _salted(links, laid_out.where("salts > 1"), hub_limit), ["source", "salt"]
     if keep:
-        links = links.repartition(width, *keys).sortWithinPartitions(*keys).persist()
+        links = links.repartition(width, *keys)
+        if block_size:
+            # A struct, as lists leave out NULL targets.
+            links = links.groupBy(*keys).agg(F.collect_list(F.struct("target")).alias("neighbours"))
+        links = keep_table(links.sortWithinPartitions(*keys))
         links.count()
         pairs.unpersist()
-    return LinkGraph(laid_out, links, width, salted, (sources, links) if keep else ())
+    return LinkGraph(laid_out, links, width, salted, (sources, links) if keep else (), durable)
 
 
-def _broadcast_size(table: DataFrame, page: str) -> int:
+def broadcast_size(table: DataFrame, page: str) -> int:
     """Bytes that a table of one row per page takes, from its rows."""
     size = F.octet_length(F.col(page).cast("string")) + F.lit(ROW_BYTES)
     return table.agg(F.sum(size)).first()[0] or 0
@@ -204,7 +231,7 @@ def _salted(links: DataFrame, hot: DataFrame, hub_limit: int) -> DataFrame:
 def _with_hot(links: DataFrame, hot: DataFrame, name: str, hub_limit: int) -> DataFrame:
     """``links`` with the column ``name`` of their source from ``hot`` (``page, links, name``), else NULL."""
     hot = hot.where("page IS NOT NULL").withColumnRenamed("page", "source")
-    if _broadcast_size(hot, "source") <= MAX_BROADCAST_BYTES:
+    if broadcast_size(hot, "source") <= MAX_BROADCAST_BYTES:
         return links.join(F.broadcast(hot.select("source", name)), "source", "left")
     hubs = F.broadcast(hot.where(F.col("links") > hub_limit).select("source", name))
     others = hot.where(F.col("links") <= hub_limit).select("source", name)
@@ -229,8 +256,8 @@ def adjacency(edges: DataFrame, block_size: int, ranks: DataFrame | None = None)
     ensure_checkpoint_dir(edges.sparkSession)
     links = distinct_links(edges.where("source IS NOT NULL AND target IS NOT NULL")).checkpoint()
     degrees = links.groupBy(F.col("source").alias("page")).agg(F.count(F.lit(1)).alias("links"))
-    blocks_of = F.ceil(F.col("links") / F.lit(block_size)).cast("bigint")
-    large = degrees.where(F.col("links") > block_size).withColumn("blocks", blocks_of)
+    degrees = degrees.withColumn("blocks", F.ceil(F.col("links") / F.lit(block_size)).cast("bigint"))
+    large = degrees.where(F.col("links") > block_size)
     hub_limit = math.ceil(links.count() / default_width(edges.sparkSession))
     digits = F.substring(F.md5(F.col("target").cast("string").cast("binary")), 1, HASH_DIGITS)
     block = F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.coalesce("blocks", F.lit(1).cast("bigint")))
@@ -239,5 +266,7 @@ def adjacency(edges: DataFrame, block_size: int, ranks: DataFrame | None = None)
     pages, columns = degrees.withColumnRenamed("links", "degree"), ["degree"]
     if ranks is not None:
         pages, columns = pages.join(ranks.select("page", "pagerank"), "page"), ["degree", "pagerank"]
-    whole = lists.withColumnRenamed("source", "page").join(pages, "page")
+    # One row for each block of a page, so that the blocks of a hub meet theirs in many tasks.
+    numbers = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block")
+    whole = lists.withColumnRenamed("source", "page").join(pages.select("page", numbers, *columns), ["page", "block"])
     return whole.select("page", "block", "neighbours", *columns)

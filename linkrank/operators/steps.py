@@ -73,4 +73,4 @@ def complete_ranks(graph: LinkGraph, ranks: DataFrame, add_sources: bool) -> Dat
     """
     how = "full_outer" if add_sources else "right"
     joined = graph.with_page_layout(ranks.select("page", "pagerank"), how)
-    return joined.select("page", "pagerank", F.col("degree").alias("out_degree")).na.fill(0)
+    return joined.select("page", "pagerank", F.col("degree").alias("out_degree")).na.fill(0, ["pagerank", "out_degree"])

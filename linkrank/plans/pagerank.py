@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.operators.graph import DegreeRule, LinkGraph, prepare_graph
+from linkrank.operators.numbering import PageNumbers
+from linkrank.operators.progress import CountedSteps
 from linkrank.operators.steps import complete_ranks, page_shares, ranks_from_shares
 from linkrank.session import (
     checkpoint_in_place,
-    default_width,
     discard_checkpoint,
     ensure_checkpoint_dir,
     shuffle_width,
@@ -53,6 +54,9 @@ def pagerank(
     checkpoint_every: int = 2,
     hot_links: int | None = None,
     on_step: Callable[[int, int], None] | None = None,
+    numbered: bool = False,
+    block_size: int | None = None,
+    durable: bool = False,
 ) -> DataFrame:
     """Rank the pages in ``edges`` (columns ``source, target`` of one type).
 
@@ -64,11 +68,18 @@ def pagerank(
     the layout of the links, so the next step joins it as it lies. The files of
     a checkpoint are removed once the next one is there.
 
-    ``on_step(step, pages)`` is called after each step with the number of pages
-    in the rank table; if pages can drop out, each step is a checkpoint then and
-    is counted there. Shuffles inside have ``num_partitions`` partitions, by
-    default those of the session. It and ``hot_links`` are explained at
-    ``prepare_graph``; neither changes ranks.
+    ``on_step(step, pages)`` is called for each step with the number of pages in
+    the rank table. If pages can drop out, they are counted by an ``Observation``
+    in the step itself, and calls come when the job that runs the step is done,
+    for several steps at once. If a task of a counted step ran more than once,
+    which the observation shows, that step's pages are counted by a job.
+
+    ``num_partitions`` is the number of partitions of the result, by default
+    that of the session; steps have as many if there are links enough for them.
+    It and ``hot_links`` are explained at ``prepare_graph``, as are
+    ``block_size``, with which a step joins adjacency blocks in place of links,
+    and ``durable``. ``numbered`` replaces pages by numbers for the steps. None
+    of them changes ranks.
     """
     if isinstance(iterations, bool) or not isinstance(iterations, int) or iterations < 0:
         raise ValueError("iterations must be a whole number, 0 or more")
@@ -78,32 +89,46 @@ def pagerank(
         raise ValueError("checkpoint_every must be 1 or more")
     ensure_checkpoint_dir(edges.sparkSession)
 
+    if numbered:
+        numbers = PageNumbers(edges, num_partitions)
+        links = numbers.links(edges)
+        plain = pagerank(links, iterations, damping, semantics, num_partitions, checkpoint_every, hot_links, on_step, False, block_size, durable)
+        named = numbers.names(plain).select("page", "pagerank", "out_degree")
+        result = (named.repartition(num_partitions, "page") if num_partitions else named).checkpoint()
+        discard_checkpoint(plain)
+        numbers.release()
+        return result
+    spark = edges.sparkSession
     keeps = semantics.keeps_unreached
-    width = num_partitions or default_width(edges.sparkSession)
-    with shuffle_width(edges.sparkSession, width):
-        graph = prepare_graph(edges, semantics.degree_rule, num_partitions, hot_links)
+    graph = prepare_graph(edges, semantics.degree_rule, num_partitions, hot_links, block_size=block_size, durable=durable)
+    with shuffle_width(spark, graph.width):
         old: DataFrame | None = None
         pages: int | None = None
+        counted = CountedSteps(on_step) if on_step and not keeps else None
         try:
             ranks, shares = None, page_shares(graph, None, keeps)
             for step in range(1, iterations + 1):
                 ranks = ranks_from_shares(graph, shares, damping)
-                counted = None
                 if on_step and keeps:
                     # The targets of links never change, nor do the sources.
                     pages = pages or _page_table(graph, ranks, semantics).count()
                     on_step(step, pages)
-                elif on_step:
-                    counted = ranks = ranks.checkpoint()
-                    on_step(step, ranks.count())
+                elif counted:
+                    ranks = counted.watch(step, ranks)
                 shares = page_shares(graph, ranks, keeps)
-                if counted is None and step % checkpoint_every == 0 and step < iterations:
-                    counted = shares = checkpoint_in_place(shares)
-                if counted is not None:
+                if step % checkpoint_every == 0 and step < iterations:
+                    shares = checkpoint_in_place(shares)
+                    if counted:
+                        counted.report()
                     if old is not None:
                         discard_checkpoint(old)
-                    old = counted
-            result = _page_table(graph, ranks, semantics).checkpoint()
+                    old = shares
+            result = _page_table(graph, ranks, semantics)
+            if num_partitions and num_partitions != graph.width:
+                result = result.repartition(num_partitions, "page")
+            result = checkpoint_in_place(result) if counted else result.checkpoint()
+            if counted:
+                counted.report()
             if old is not None:
                 discard_checkpoint(old)
             return result

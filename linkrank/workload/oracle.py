@@ -245,6 +245,17 @@ def oracle_sql() -> dict[str, str]:
         "triple_file_distinct_drop": _distinct_drop(IRI_LINKS) + PAGES,
         "pagerank_annotated": _rows_zero(URL_LINKS) + ANNOTATED_SAVED,
         "pagerank_distinct_drop_partitioned": _distinct_drop(ORDER_LINKS) + PAGES,
+        "pagerank_numbered_rows_zero": iri_rows + PAGES,
+        "pagerank_numbered_distinct_drop": _distinct_drop(IRI_LINKS) + PAGES,
+        "page_numbers": f"""
+WITH links AS ({IRI_LINKS}),
+ends AS (SELECT source AS page FROM links UNION ALL SELECT target FROM links)
+SELECT page, row_number() OVER (ORDER BY page) - 1 AS number, count(*) AS rows FROM ends GROUP BY page""",
+        "pagerank_blocks_distinct_drop": _distinct_drop(ORDER_LINKS) + PAGES,
+        "pagerank_small_blocks_hub": _distinct_drop(HUB_LINKS) + PAGES,
+        "pagerank_durable_rows_zero": _rows_zero(ORDER_LINKS) + PAGES,
+        "placed_by_bucket": f"""
+SELECT {_md5_bucket('source', BUCKETS)} AS "partition", count(*) AS n_rows FROM ({IRI_LINKS}) AS links GROUP BY 1""",
         "pagerank_iter3_d50": _rows_zero(ORDER_LINKS, 3, 0.5) + PAGES,
         "topk_numbered": _distinct_drop(ORDER_LINKS) + NUMBERED.format(k=5),
         "ranks_sorted": _rows_zero(ORDER_LINKS) + PAGES + " ORDER BY pagerank DESC, page",

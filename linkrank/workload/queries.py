@@ -11,6 +11,7 @@ from linkrank.functions import md5_bucket, url_domain, url_protocol
 from linkrank.operators import (
     DegreeRule,
     LinkGraph,
+    PageNumbers,
     adjacency,
     annotate_ranks,
     bucket_sizes,
@@ -22,6 +23,8 @@ from linkrank.operators import (
     neighbour_contributions,
     numbered,
     out_degree,
+    partition_sizes,
+    place_by_bucket,
     prepare_graph,
     project_links,
     rank_step,
@@ -337,6 +340,16 @@ def partition_skew(spark, sf_dir):
 # --- saving ----------------------------------------------------------------
 
 
+def placed_by_bucket(spark, sf_dir):
+    return partition_sizes(place_by_bucket(_relation(spark, sf_dir, IRI_LINKS), BUCKETS))
+
+
+def page_numbers(spark, sf_dir):
+    """Each row of the links, as numbers with the names they stand for."""
+    edges = _relation(spark, sf_dir, IRI_LINKS)
+    return PageNumbers(edges).pages.select("page", "number", "rows")
+
+
 def _saved(sql: str, layout: str, **options) -> Query:
     """Rank, save, and read back what was saved."""
 
@@ -410,6 +423,13 @@ def queries() -> dict[str, Query]:
         "triple_file_distinct_drop": triple_file_distinct_drop,
         "pagerank_annotated": _saved(URL_LINKS, URL),
         "pagerank_distinct_drop_partitioned": _pages(semantics=DISTINCT_DROP, num_partitions=100),
+        "pagerank_numbered_rows_zero": _pages(IRI_LINKS, numbered=True),
+        "pagerank_numbered_distinct_drop": _pages(IRI_LINKS, semantics=DISTINCT_DROP, numbered=True),
+        "page_numbers": page_numbers,
+        "pagerank_blocks_distinct_drop": _pages(semantics=DISTINCT_DROP, block_size=BLOCK_SIZE),
+        "pagerank_small_blocks_hub": _pages(HUB_LINKS, semantics=DISTINCT_DROP, block_size=SMALL_BLOCK),
+        "pagerank_durable_rows_zero": _pages(durable=True),
+        "placed_by_bucket": placed_by_bucket,
         "pagerank_iter3_d50": _pages(iterations=3, damping=0.5),
         "topk_numbered": lambda spark, sf: numbered(_pages(semantics=DISTINCT_DROP)(spark, sf), 5),
         "ranks_sorted": lambda spark, sf: sorted_ranks(_pages()(spark, sf)),

@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkrank import RankSemantics, pagerank, pagerank_progress
-from linkrank.operators import DegreeRule, prepare_graph, rank_step
+from linkrank.functions import md5_bucket
+from linkrank.operators import DegreeRule, PageNumbers, adjacency, numbering, partition_sizes, place_by_bucket, prepare_graph, rank_step
+from linkrank.operators.progress import CountedSteps
 from linkrank.operators.steps import page_shares, ranks_from_shares
 from linkrank.session import checkpoint_in_place, shuffle_width
 
@@ -88,6 +90,46 @@ def test_checkpoint_interval_changes_nothing(toy, semantics, every):
     assert got == pytest.approx(GOLDEN[semantics, 10], abs=1e-8)
 
 
+LAYOUTS = [{"numbered": True}, {"block_size": 3, "durable": True}, {"numbered": True, "block_size": 2, "num_partitions": 3}]
+
+
+def page_rows(df):
+    return sorted(((r.page is not None, r.page, r.out_degree), round(r.pagerank, 9)) for r in df.collect())
+
+
+@pytest.mark.parametrize("semantics", list(RankSemantics))
+def test_layouts_change_nothing(spark, semantics):
+    rows = [(None, "a"), ("a", None), ("a", "b"), ("b", None), ("b", "a"), ("a", "b"), (None, None), ("c", "a")] + [("a", f"x{i}") for i in range(20)]
+    odd = spark.createDataFrame(rows, "source string, target string")
+    plain = page_rows(pagerank(odd, 3, semantics=semantics))
+    want = plain_pagerank(rows, 3, 0.85, semantics)
+    assert {p[1]: v for p, v in plain if p[0]} == {p: round(v, 9) for p, v in want.items() if p is not None}
+    for options in LAYOUTS:
+        assert page_rows(pagerank(odd, 3, semantics=semantics, **options)) == plain
+        assert pagerank(odd.limit(0), 1, semantics=semantics, **options).count() == 0
+
+
+def test_page_numbers_follow_the_pages(spark, orders):
+    numbers = PageNumbers(orders, 5)
+    rows = numbers.pages.orderBy("number").collect()
+    assert [r.number for r in rows] == list(range(len(rows)))
+    assert [r.page for r in rows] == sorted(r.page for r in rows)
+    links = numbers.links(orders)
+    assert links.count() == orders.count() and links.distinct().count() == orders.distinct().count()
+    numbers.release()
+
+
+@pytest.mark.parametrize("sent", [1 << 23, 0])
+def test_hubs_are_numbered_in_many_tasks(spark, monkeypatch, sent):
+    """A page of a third of all rows is joined in every task that holds some of them."""
+    monkeypatch.setattr(numbering, "MIN_HOT_LINKS", 50)
+    monkeypatch.setattr(numbering, "MAX_BROADCAST_BYTES", sent)
+    rows = spark.range(3000).selectExpr("case when id % 3 = 0 then 'hub' else concat('p', id % 700) end as source", "concat('t', id) as target")
+    numbers = PageNumbers(rows, 8)
+    back = numbers.links(rows).join(numbers.pages.selectExpr("number as source", "page as from"), "source").join(numbers.pages.selectExpr("number as target", "page as to"), "target")
+    assert back.select("from", "to").exceptAll(rows).isEmpty() and back.count() == 3000
+
+
 def test_null_ends(spark):
     rows = TOY + [("A", None), (None, "A"), (None, "Z"), ("H", None)]
     df = spark.createDataFrame(rows, "source STRING, target STRING")
@@ -162,9 +204,11 @@ def test_bad_arguments(toy, bad):
         pagerank(toy, **bad)
 
 
-def test_storage_is_given_back(spark, toy):
-    pagerank(toy, 2)
-    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+@pytest.mark.parametrize("options", [{}, {"durable": True}, {"block_size": 2}, {"numbered": True}])
+def test_storage_is_given_back(spark, toy, options):
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    pagerank(toy, 2, **options)
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
 
 
 def plan_paths(df):
@@ -215,6 +259,81 @@ def test_links_are_not_moved_in_a_step(spark, orders, width, hot_links, checkpoi
             graph.release()
 
 
+@pytest.mark.parametrize("block_size", [3, 100_000])
+@pytest.mark.parametrize("durable", [False, True])
+def test_blocks_are_not_moved_in_a_step(spark, orders, block_size, durable):
+    """Adjacency blocks stay where they are; what a durable layout reads does not lead back to the input."""
+    with shuffle_width(spark, 8):
+        graph = prepare_graph(orders, DegreeRule.DISTINCT, 8, block_size=block_size, durable=durable)
+        try:
+            longest = graph.links.agg(F.max(F.size("neighbours"))).first()[0]
+            assert graph.salted == (block_size == 3) and longest < 20 + block_size
+            shares = page_shares(graph, rank_step(graph, None, 0.85, False), False)
+            paths = plan_paths(ranks_from_shares(graph, shares, 0.85))
+            blocks = [path for path, output in paths if "neighbours" in output]
+            assert len(blocks) == 2
+            for path in blocks:
+                join = len(path) - 1 - path[::-1].index("SortMergeJoin")
+                assert set(path[join + 1 :]) <= {"Filter", "InMemoryTableScan", "Scan ExistingRDD"}
+            if durable:
+                assert {path[-1] for path, _ in paths} == {"Scan ExistingRDD"}
+        finally:
+            graph.release()
+
+
+def test_durable_links_do_not_read_the_input_again(spark, tmp_path):
+    """The input may be gone once the links are laid out."""
+    path = str(tmp_path / "edges")
+    spark.range(500).selectExpr("id % 50 as source", "id % 7 as target").write.parquet(path)
+    with shuffle_width(spark, 4):
+        graph = prepare_graph(spark.read.parquet(path), DegreeRule.DISTINCT, 4, durable=True)
+        spark.range(1).write.mode("overwrite").parquet(path)
+        spark.catalog.clearCache()
+        assert rank_step(graph, None, 0.85, False).count() == 7
+        graph.release()
+
+
+def test_blocks_of_a_hub_lie_in_many_tasks(spark):
+    """Degrees and ranks meet the blocks of a page by page and block."""
+    rows = spark.range(4000).selectExpr("case when id % 2 = 0 then 0 else id end as source", "id + 10000 as target")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        ranks = rows.selectExpr("source as page").distinct().withColumn("pagerank", F.lit(1.0))
+        blocks = adjacency(rows, 10, ranks)
+        sizes = blocks.where("page = 0").groupBy(F.spark_partition_id()).count().collect()
+        held = [r["count"] for r in sizes]
+        assert len(held) == 8 and max(held) < 0.3 * sum(held)
+        assert blocks.agg(F.sum(F.size("neighbours"))).first()[0] == 4000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_rows_lie_in_the_partition_of_their_bucket(spark, orders):
+    edges = orders.selectExpr("cast(source as string) as source", "target").unionByName(spark.createDataFrame([(None, 1)], "source string, target long"))
+    placed = place_by_bucket(edges, 13)
+    assert placed.rdd.getNumPartitions() == 13
+    wrong = placed.where(F.spark_partition_id() != F.coalesce(md5_bucket(F.col("source"), 13), F.lit(0)))
+    assert wrong.count() == 0 and partition_sizes(placed).agg(F.sum("n_rows")).first()[0] == edges.count()
+
+
+def test_repeated_tasks_are_counted_once(toy):
+    """What an observation shows of a task that ran twice, and what is reported then."""
+
+    class Seen:
+        def __init__(self, **values):
+            self.get = values
+
+    steps = []
+    counted = CountedSteps(lambda *x: steps.append(x))
+    counted._open = [(1, Seen(pages=7, tasks=2, parts=[0, 3]), toy), (2, Seen(pages=14, tasks=3, parts=[0, 3]), toy)]
+    counted.report()
+    assert steps == [(1, 7), (2, toy.count())]
+
+
 def test_one_checkpoint_is_left(spark, orders):
     folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
     gc.collect()
