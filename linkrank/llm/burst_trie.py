@@ -29,7 +29,7 @@ ENTRY, DIGEST = 20, 16
 SHARED = 5  # conversations that share a beginning: those up to the next multiple
 LONGEST_SHARED = 9
 # A level has at most so many heads; containers of fewer strings never burst.
-HEADS, LEAST_LIMIT = 16_384, 2_000
+HEADS, LEAST_LIMIT = 16_384, 256
 ID_BITS = 10  # conversation ids are joined to texts by blocks of so many ids first
 NODES = (
     "container binary, depth int, conv_id long, parent_conv_id long, n_convs long, n_children long, n_leaves long,"
