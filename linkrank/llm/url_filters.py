@@ -116,7 +116,7 @@ def segment(run: str, words: dict[tuple[int, int], int], total: int) -> list[str
     return found[::-1]
 
 
-def segmented_runs(runs: DataFrame, counts: DataFrame, total: int) -> DataFrame:
+def segmented_runs(runs: DataFrame, counts: DataFrame, total: int, shelf: Shelf) -> DataFrame:
     """``run, words`` for each of the different ``run``: its parts that are words meet again by run, some hundreds each."""
     short = runs.where(F.length("run") <= LONGEST_RUN)
     places = F.sequence(F.lit(1), F.length("run"))
@@ -124,8 +124,8 @@ def segmented_runs(runs: DataFrame, counts: DataFrame, total: int) -> DataFrame:
         "run", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("run") - F.col("start") + 1))).alias("size")
     )
     parts = parts.withColumn("word", F.expr("substring(run, start, size)"))
-    # The same part of many runs is looked up once for each task and place at most; counts is the larger side.
-    known = parts.join(counts, "word").groupBy("run").agg(F.collect_list(F.struct(F.col("start") - 1, "size", "n")).alias("known"))
+    # Single letters are parts of most runs: frequent keys.
+    known = join_frequent(parts, counts, "word", shelf).where("n is not null").groupBy("run").agg(F.collect_list(F.struct(F.col("start") - 1, "size", "n")).alias("known"))
 
     @F.arrow_udf("array<string>")
     def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -208,7 +208,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule] | None = None, learn_from: Co
     hosts = shelf.stored(urls.groupBy("host").agg(number(ALLOW), number(BLOCK)))
     host_runs = hosts.select("host", F.posexplode(letter_runs(F.lower("host"))).alias("place", "run"))
     runs = shelf.stored(host_runs.select("run").distinct())
-    words = shelf.stored(segmented_runs(runs, counts, total))
+    words = shelf.stored(segmented_runs(runs, counts, total, shelf))
     of_host = join_frequent(host_runs, words, "run", shelf).groupBy("host").agg(F.flatten(F.collect_list("words")).alias("tokens"))
     hosts_cut = shelf.stored(
         hosts.join(of_host, "host", "left").select("host", ALLOW, BLOCK, F.transform(F.coalesce("tokens", F.array().cast("array<string>")), lambda t: bin_of(t, bins)).alias("host_bins"))
