@@ -13,7 +13,11 @@ So an item of more than ``PIECE`` words is also indexed by overlapping pieces,
 each with its own score for itself. Every run of ``PIECE`` words lies in one
 passage, and a found piece makes its whole item a candidate.
 
-Found items are verified on the text: of the item's 5-word shingles, four
+Most passages are set aside before that. Words that many items have are light:
+together they give no item more than ``LIGHT`` of its score. A passage whose
+other words cannot make up the rest is not looked at further.
+
+Found items are verified on the whole text, however long: of the item's 5-word shingles, four
 fifths must stand in the document, and half of those of the question and of the
 answer, which is the last quarter of the item's words.
 
@@ -28,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,7 +42,7 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 K1, B = 1.2, 0.75
-THRESHOLD, SLACK = 0.5, 0.15
+THRESHOLD, SLACK, LIGHT = 0.5, 0.15, 0.25
 BLOCK = 16
 PASSAGE, STRIDE = 128, 64
 PIECE, PIECE_STRIDE = 64, 32  # PASSAGE - STRIDE words at most
@@ -125,6 +130,8 @@ class ItemIndex:
     blocks: Postings
     highest: np.ndarray  # largest impact of each term
     n_blocks: int = field(default=0)
+    light: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
+    light_most: float = 0.0  # of any piece's score, by light words
 
     @classmethod
     def build(cls, rows: list[tuple[int | None, str]], statistics: Statistics | None = None) -> ItemIndex:
@@ -160,6 +167,7 @@ class ItemIndex:
             Postings.of(tops),
             np.array([max(v for _, v in row) for row in postings]),
             -(-len(pieces) // BLOCK),
+            *_light(postings, len(pieces)),
         )
 
     def retrieve(self, terms: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,48 +205,70 @@ class ItemIndex:
 
     def candidates(self, words: list[list[str]]) -> dict[tuple[int, int], float]:
         """Best score of each (text, item) over the passages of each text and the pieces of each item."""
-        get, size = self.vocabulary.get, len(self.vocabulary)
-        if not size:
+        get = self.vocabulary.get
+        if not self.vocabulary:
             return {}
         passage, term, text_of = [], [], []
+        weight = np.where(self.light, 0.0, self.highest)
+        enough = THRESHOLD - self.light_most - 1e-9
         for i, w in enumerate(words):
-            ids = np.fromiter((get(x, -1) for x in w), np.int64, len(w))
+            ids = np.fromiter(map(get, w, repeat(-1)), np.int64, len(w))
             at = np.flatnonzero(ids >= 0)
             if not len(at):
                 continue
+            own = weight[ids[at]]
+            if own.sum() < enough:
+                continue
             last = max(0, -(-(len(w) - PASSAGE) // STRIDE))  # number of the last passage
-            first = len(text_of)
-            text_of += [i] * (last + 1)
-            for shift in range(PASSAGE // STRIDE):  # a word lies in so many passages
-                number = at // STRIDE - shift
-                fits = (number >= 0) & (number <= last)
-                passage.append(first + number[fits])
-                term.append(ids[at[fits]])
+            stretch = np.bincount(at // STRIDE, own, last + PASSAGE // STRIDE + 1)
+            reach = sum(stretch[shift : shift + last + 1] for shift in range(PASSAGE // STRIDE))
+            for p in np.flatnonzero(reach >= enough).tolist():
+                known = np.unique(ids[p * STRIDE : p * STRIDE + PASSAGE])
+                known = known[known >= 0]
+                passage.append(np.full(len(known), len(text_of)))
+                term.append(known)
+                text_of.append(i)
         if not passage:
             return {}
-        pairs = np.unique(np.concatenate(passage) * size + np.concatenate(term))
-        owner, piece, score = self.retrieve(pairs % size, pairs // size)
+        owner, piece, score = self.retrieve(np.concatenate(term), np.concatenate(passage))
         item = self.item_of[piece]
         best: dict[tuple[int, int], float] = {}
         for o, j, s in zip(owner.tolist(), item.tolist(), score.tolist(), strict=True):
             best[text_of[o], j] = max(s, best.get((text_of[o], j), 0.0))
         return best
 
+    def _hits(self, words: list[str], items: list[int]) -> Iterator[tuple[int, set[int]]]:
+        """For each of ``items`` the numbers of its shingles that stand in ``words``."""
+        there: dict[int, set[tuple[str, ...]]] = {}
+        for j in items:
+            own = self.shingles[j]
+            k = len(own[0])
+            if k not in there:
+                there[k] = set(_runs(words, k))
+            yield j, {n for n, s in enumerate(own) if s in there[k]}
+
     def leaks(self, texts: list[str | None]) -> list[list[tuple]]:
         """The verified items of each text, by item id."""
         scores: dict[tuple[int, int], float] = {}
         found: dict[tuple[int, int], set[int]] = {}
-        for owners, words in _segments(texts):
-            best = self.candidates(words)
-            for i in {i for i, _ in best}:
-                there = set(shingles(words[i]))
-                wide = {k: set(_runs(words[i], k)) for k in range(1, SHINGLE)} if len(words[i]) >= SHINGLE else {}
-                for j in (j for k, j in best if k == i):
-                    key = owners[i], j
-                    own = self.shingles[j]
-                    known = wide.get(len(own[0]), there) if len(own[0]) < SHINGLE else there
-                    found.setdefault(key, set()).update(n for n, s in enumerate(own) if s in known)
-                    scores[key] = max(best[i, j], scores.get(key, 0.0))
+        long = [i for i, t in enumerate(texts) if t and len(t) > SEGMENT_CHARS]
+        for owners, words in _batches([None if t and len(t) > SEGMENT_CHARS else t for t in texts]):
+            wanted: dict[int, list[int]] = {}
+            for (i, j), score in self.candidates(words).items():
+                scores[owners[i], j] = score
+                wanted.setdefault(i, []).append(j)
+            for i, items in wanted.items():
+                for j, hits in self._hits(words[i], items):
+                    found[owners[i], j] = hits
+        # An item may be found in one part of a long text and stand in others too.
+        for i in long:
+            for words in _parts(texts[i]):
+                for (_, j), score in self.candidates([words]).items():
+                    scores[i, j] = max(score, scores.get((i, j), 0.0))
+            items = [j for owner, j in scores if owner == i]
+            for words in _parts(texts[i]) if items else ():
+                for j, hits in self._hits(words, items):
+                    found.setdefault((i, j), set()).update(hits)
         result: list[list[tuple]] = [[] for _ in texts]
         for (i, j), hits in found.items():
             total, split = len(self.shingles[j]), self.answers[j]
@@ -254,26 +284,46 @@ def _runs(words: list[str], k: int) -> Iterator[tuple[str, ...]]:
     return (tuple(words[i : i + k]) for i in range(len(words) - k + 1))
 
 
-def _segments(texts: list[str | None]) -> Iterator[tuple[list[int], list[list[str]]]]:
-    """Words of the texts, some ``SEGMENT_CHARS`` at a time; a long text comes in parts that overlap by a passage."""
+def _light(postings: list[list[tuple[int, float]]], n_pieces: int) -> tuple[np.ndarray, float]:
+    """Which words are light, taken from the one in most pieces on, and the most that a piece owes to them."""
+    light, sums = np.zeros(len(postings), bool), np.zeros(n_pieces)
+    for t in sorted(range(len(postings)), key=lambda t: (-len(postings[t]), t)):
+        numbers = np.array([n for n, _ in postings[t]], np.int64)
+        more = sums[numbers] + np.array([v for _, v in postings[t]])
+        if more.max() > LIGHT:
+            break
+        sums[numbers] = more
+        light[t] = True
+    return light, float(sums.max(initial=0.0))
+
+
+def _batches(texts: list[str | None]) -> Iterator[tuple[list[int], list[list[str]]]]:
+    """Words of the texts, some ``SEGMENT_CHARS`` at a time."""
     owners: list[int] = []
     words: list[list[str]] = []
     held = 0
     for i, text in enumerate(texts):
-        tail: list[str] = []
-        for at in _cuts(text or ""):
-            part = words_of(text[at[0] : at[1]])
-            owners.append(i)
-            words.append(tail + part)
-            tail = words[-1][-PASSAGE:]
-            held += at[1] - at[0]
-            if held >= SEGMENT_CHARS:
-                yield owners, words
-                owners, words, held = [], [], 0
+        if not text:
+            continue
+        owners.append(i)
+        words.append(words_of(text))
+        held += len(text)
+        if held >= SEGMENT_CHARS:
+            yield owners, words
+            owners, words, held = [], [], 0
     if owners:
         yield owners, words
 
 
+def _parts(text: str) -> Iterator[list[str]]:
+    """Words of a long text in parts that overlap by a passage."""
+    tail: list[str] = []
+    for start, end in _cuts(text):
+        words = tail + words_of(text[start:end])
+        yield words
+        tail = words[-PASSAGE:]
+
+
 def _cuts(text: str) -> Iterator[tuple[int, int]]:
     start = 0
     while len(text) - start > SEGMENT_CHARS:
@@ -315,12 +365,18 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """A row for each document row and test item that stands in it: ``doc_id, item_id, score`` and the shingle counts.
 
     Words are runs of letters, digits and underscores in lower case. Repeated
-    document rows and repeated items each give rows of their own.
+    document rows and repeated items each give rows of their own; null ids are
+    kept. Null and empty texts hold nothing and are held by nothing. A document
+    of any length is judged as a whole. Empty tables give no rows; other
+    columns, whatever their names, are ignored.
     """
     found = docs.select("doc_id", F.explode(leaked_items(F.col("text"), indexes(items))).alias("leak"))
     return found.select("doc_id", "leak.*")
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a test item; all columns stay."""
+    """``docs`` without the rows that hold a test item; all columns stay.
+
+    Null and empty texts stay, as do all rows if there are no items; of repeated rows all go or stay.
+    """
     return docs.where(F.size(leaked_items(F.col("text"), indexes(items))) == 0)

@@ -68,13 +68,18 @@ def _grams(codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def counts(texts: list[str]) -> np.ndarray:
-    """N-gram counts, one row of ``DIMENSIONS`` for each text. Texts of any length, in pieces."""
+    """N-gram counts, one row of ``DIMENSIONS`` for each text. A long text comes in pieces, each n-gram in the one it starts in."""
     table = np.zeros((len(texts), DIMENSIONS), np.float32)
     rows = [letter_codes(t) for t in texts]
     long = [i for i, r in enumerate(rows) if len(r) > CHUNK_CHARS]
     for i in long:
         for at in range(0, len(rows[i]), CHUNK_CHARS):
-            _add(table, [i], [rows[i][at : at + CHUNK_CHARS]])
+            piece = rows[i][at : at + CHUNK_CHARS + max(SIZES) - 1]
+            for n, dims in _grams(piece):
+                starts = dims[:CHUNK_CHARS]
+                if n == 1:
+                    starts = starts[piece[: len(starts)] != BLANK]
+                table[i] += np.bincount(starts, minlength=DIMENSIONS)
     rest = [i for i in range(len(rows)) if len(rows[i]) <= CHUNK_CHARS]
     if rest:
         _add(table, rest, [rows[i] for i in rest])
@@ -229,7 +234,8 @@ def identify_languages(docs: DataFrame, labelled: DataFrame, **options) -> DataF
 
     A null text, one without a letter, or no language to learn from gives
     ``und`` with score 0, rejected. Equal cosines go to the first language by
-    name. Repeated rows are kept; other columns are ignored.
+    name. Texts of any length count whole. Repeated rows are kept; other columns
+    are ignored; an empty table gives no rows.
     """
     model = fit_languages(labelled, **options)
     predicted = docs.select("doc_id", language_of(F.col("text"), model).alias("found"))
