@@ -14,14 +14,22 @@ threshold and hold the largest sum among those below them.
 Scripts, navigation elements and hidden parts are taken out of the tree first.
 A name is a weaker sign. A part named as nothing but something else (side bar,
 form, advert, notice, comments) goes unless it holds the article, most of the
-page's text, or is a heading or paragraph of the article. One whose name has
-other words too (``section-header``, ``has-sidebar``, ``share-price``) goes only if
-links are most of it; otherwise its density decides.
+page's text, or is a heading or paragraph of the article. So does one whose
+name has other words beside those for comments, adverts, side bars and consent
+(``user-comments``, ``ad-box``, ``cookie-text``), unless it says that there is none
+or some elsewhere (``ad-free``, ``has-sidebar``). One with other doubtful words
+(``section-header``, ``share-price``) goes only if links are most of it;
+otherwise its density decides.
+
+Markup is read as browsers do: a quote opens a value right after an equals
+sign only, and a closing slash closes nothing. Open elements are counted by
+name, so that deeply nested pages take time in proportion to their length.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from math import e, log
@@ -34,7 +42,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
     r"|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)"
     r"|<[!?][^>]*(?:>|$)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)",
+    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|$)|'[^']*+(?:'|$)|[^\s>\"'][^\s>]*+)?+)*+)(?:>|$)",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -42,6 +50,7 @@ ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 # The HTML standard's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript xmp iframe noembed noframes".split())
+RAW_END = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in RAW}
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table"
@@ -64,9 +73,14 @@ NOT_NAME = frozenset(
     " promoted related recommended recommendations replies reply respond share sharing shares sidebar sidenav social sponsor"
     " sponsored tags toolbar topbar widget widgets discussion reactions skip outbrain taboola".split()
 )
+SURE_NAME = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adbox adslot comment comments commentlist disqus cookie cookies"
+    " consent gdpr sidebar sidenav newsletter sponsor sponsored replies reply respond discussion outbrain taboola".split()
+)
+NOT_SURE = frozenset("has have with no non without free".split())
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 SPACE = re.compile(r"\s+")
-HINTED, NAMED, HIDDEN = 1, 2, 3
+HINTED, MIXED, NAMED, HIDDEN = 1, 2, 3, 4
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 OF_TEXT = HEADINGS | {"p", "blockquote", "pre"}
 
@@ -80,12 +94,12 @@ class Node:
         self.children: list[Node | str] = []
 
 
-def _suspect(name: str, attrs: str, inside: Node) -> int:
-    """How surely an element says that it is not part of the article: ``HIDDEN``, ``NAMED``, ``HINTED`` or 0."""
+def _suspect(name: str, attrs: str, in_section: bool) -> int:
+    """How surely an element says that it is not part of the article: ``HIDDEN``, ``NAMED``, ``MIXED``, ``HINTED`` or 0."""
     found = 0
     if name == "form":
         found = NAMED
-    if name == "header" and not any(n.name in ("article", "main", "section") for n in _up(inside)):
+    if name == "header" and not in_section:
         found = NAMED
     if not attrs or name in ("html", "body", "main", "article", "header"):
         return found
@@ -102,6 +116,8 @@ def _suspect(name: str, attrs: str, inside: Node) -> int:
                 words = [x.lower() for x in NAME_PART.findall(token) if not x.isdigit()]
                 if words and NOT_NAME.issuperset(words):
                     found = NAMED
+                elif not SURE_NAME.isdisjoint(words) and NOT_SURE.isdisjoint(words):
+                    found = max(found, MIXED)
                 elif not NOT_NAME.isdisjoint(words):
                     found = max(found, HINTED)
     return found
@@ -113,10 +129,18 @@ def _up(node: Node | None) -> Iterator[Node]:
         node = node.parent
 
 
-def _close(stack: list[Node], names: tuple[str, ...], scope: tuple[str, ...]) -> None:
+def _cut(stack: list[Node], opened: Counter[str], at: int) -> None:
+    """Close the elements from ``at`` on."""
+    opened.subtract(n.name for n in stack[at:])
+    del stack[at:]
+
+
+def _close(stack: list[Node], opened: Counter[str], names: tuple[str, ...], scope: tuple[str, ...]) -> None:
+    if not any(opened[n] for n in names):
+        return
     for i in range(len(stack) - 1, 0, -1):
         if stack[i].name in names:
-            del stack[i:]
+            _cut(stack, opened, i)
             return
         if stack[i].name in scope:
             return
@@ -126,6 +150,7 @@ def parse(html: str) -> Node:
     """The element tree. Unclosed and stray tags are repaired the simple way; elements left out are empty and dropped."""
     root = Node("html", None, False)
     stack, at = [root], 0
+    opened: Counter[str] = Counter()
     size = len(html)
     while at < size:
         match = TOKEN.search(html, at)
@@ -142,36 +167,36 @@ def parse(html: str) -> Node:
             continue
         name = name.lower()
         if match["close"]:
-            if name == "br" or name in VOID:
+            if name in VOID or not opened[name]:
                 continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name == name:
-                    del stack[i:]
+                    _cut(stack, opened, i)
                     break
                 if name not in BLOCKS and stack[i].name in BLOCKS:
                     break  # a stray end of an inline element stays inside its block
             continue
-        if name in ("html", "body") and (name == "html" or any(n.name == "body" for n in stack)):
+        if name in ("html", "body") and (name == "html" or opened["body"]):
             continue
-        if name == "body" or name in BLOCKS and any(n.name == "head" for n in stack):
-            _close(stack, ("head",), ())
+        if opened["head"] and (name == "body" or name in BLOCKS):
+            _close(stack, opened, ("head",), ())
         if name in ENDS_P:
-            _close(stack, ("p",), ("table", "td", "th", "div", "article", "section", "li", "blockquote", "body"))
+            _close(stack, opened, ("p",), ("table", "td", "th", "div", "article", "section", "li", "blockquote", "body"))
         if name in SAME:
-            _close(stack, SAME[name], SCOPE[name])
-        if re.fullmatch("h[1-6]", name) and re.fullmatch("h[1-6]", stack[-1].name):
-            stack.pop()
+            _close(stack, opened, SAME[name], SCOPE[name])
+        if name in HEADINGS and stack[-1].name in HEADINGS:
+            _cut(stack, opened, len(stack) - 1)
         above = stack[-1]
         node = Node(name, above, above.dropped or name in NOT_TEXT)
-        node.suspect = 0 if node.dropped else _suspect(name, match["attrs"], above)
+        node.suspect = 0 if node.dropped else _suspect(name, match["attrs"], opened["article"] + opened["main"] + opened["section"] > 0)
         if not above.dropped:
             above.children.append(node)
-        closed = name in VOID or match["attrs"].endswith("/") and name not in BLOCKS
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(html, at)
+            end = RAW_END[name].search(html, at)
             at = end.end() if end else size
-        elif not closed:
+        elif name not in VOID:
             stack.append(node)
+            opened[name] += 1
     _settle(root)
     return root
 
@@ -211,8 +236,9 @@ def _settle(root: Node) -> None:
         if not n.suspect or frame or title and paragraphs > 1:
             continue
         inside = id(n) in of_article
+        paragraph = inside and n.name in OF_TEXT and n.suspect == NAMED
         most = 2 * text[id(n)] > text[id(whole)] and (inside or not has_article)
-        if most or kept(n) and (n.suspect == HINTED or inside and n.name in OF_TEXT):
+        if most or kept(n) and (n.suspect == HINTED or paragraph):
             continue
         if kept(n) and inside and n.name in ("header", "div", "section", "hgroup") and id(n) in headed and not _other_text(n):
             continue  # around headings only
@@ -325,7 +351,14 @@ def select(nodes: list[Node]) -> set[int | tuple[int, int]]:
             break
     while todo:
         node = todo.pop()
-        if node is top:
+        if node is top and node.name in ("body", "html"):
+            # The whole page: no more than its parts are known to belong together, so parts that links fill go.
+            for i, c in enumerate(node.children):
+                if isinstance(c, str):
+                    kept.add((id(node), i))
+                elif not c.dropped and (c.name not in BLOCKS or c.link_chars < 0.5 * c.chars):
+                    kept.add(id(c))
+        elif node is top:
             kept.add(id(node))
         elif id(node) in above_best:
             for run in _runs(node, above_best):
@@ -400,8 +433,10 @@ def extracted(html: Column) -> Column:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages``.
 
-    A null or empty page has an empty text of 0 characters. Repeated rows are
-    kept; other columns are ignored.
+    A null or empty page has an empty text of 0 characters. Pages of any length
+    and depth are read whole; of equal density sums the first element in page
+    order wins. Repeated rows are kept; other columns, whatever their names, are
+    ignored; an empty table gives no rows.
     """
     texts = pages.select("page_id", "url", extracted(F.col("html")).alias("text"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))

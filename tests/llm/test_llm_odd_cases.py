@@ -1,5 +1,7 @@
 """Nulls, empty, blank and long texts, ties, repeated rows, empty tables, clashing column names."""
 
+import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -50,6 +52,89 @@ def test_article_text_is_not_lost_to_names(page, kept, gone):
     assert all(x in text for x in ["worth reading", *kept]) and not any(x in text for x in ["Home", *gone])
 
 
+LINKED = "<p>Some <a href=a>linked words</a> of the <a href=b>article that</a> one may <a href=c>like to read</a> here.</p>"
+COMMENT = "<p>A plain comment of a reader, longer and denser than what the article itself has to say about it all.</p>"
+
+
+@pytest.mark.parametrize(
+    "page, kept, gone",
+    [
+        (f"<article>{LINKED * 4}</article><div class='user-comments'>{COMMENT * 2}</div>", ["linked words"], ["plain comment"]),
+        (f"<div class=post><h1>T</h1>{P * 2}</div><ol class='comments-list-items'><li>{COMMENT}<li>{COMMENT}</ol>", ["worth reading"], ["plain comment"]),
+        (f"<article>{P}</article><div class='post-comments'>{COMMENT}</div><div class='left-sidebar'>{COMMENT}</div>", ["worth reading"], ["plain comment"]),
+        (f"<article>{P}<div class='ad-box'>Buy this now.</div><p class='cookie-text'>Cookies.</p>{P}</article>", ["worth reading"], ["Buy this", "Cookies"]),
+        (f'<article><h1 class="a"">Title</h1>{P}<p>Before <a href="x"">link</a> after.</p>{P}</article>', ["Title", "Before link after"], []),
+        (f"<article><p title=it's>One.</p>{P}<p>It's two.</p></article>", ["One.", "It's two."], []),
+        (f"<div>{'<a href=/cat/>Category</a> ' * 12}</div><article>{P}</article>", ["worth reading"], ["Category"]),
+        (f"<article>{P}<p>a <b>b <i>c</b> d</i> e <br/> f</p>{P}</article>", ["a b c d e f"], []),
+    ],
+)
+def test_what_is_beside_the_article(page, kept, gone):
+    text = html_text.main_text(f"<body>{NAV}{page}</body>")
+    assert all(x in text for x in kept) and not any(x in text for x in ["Home", *gone])
+
+
+@pytest.mark.parametrize("opening", ["<div>", "<b>", "<ul><li>", "<p><span>", "<table><tr><td>", "<section><header>"])
+def test_deep_pages_take_time_in_proportion(opening):
+    times = []
+    for n in (5_000, 40_000):
+        page = f"<body>{opening * n}text at the bottom"
+        start = time.perf_counter()
+        assert html_text.main_text(page) == "text at the bottom"
+        times.append(time.perf_counter() - start)
+    assert times[1] < 8 * 4 * times[0] + 0.5
+
+
+def test_links_of_a_slash_are_links():
+    root = html_text.parse("<div><a href=/cat/>Category</a> text</div>")
+    nodes = html_text._order(root)
+    html_text.measure(nodes)
+    assert (nodes[0].chars, nodes[0].link_chars) == (12, 8)
+
+
+def naive(node):
+    """Characters, tags, link characters and link tags by recursion over the whole subtree."""
+    chars = tags = link_chars = link_tags = 0
+    for c in node.children:
+        if isinstance(c, str):
+            chars += len("".join(c.split()))
+        elif not c.dropped:
+            own = naive(c)
+            chars, tags, link_chars, link_tags = chars + own[0], tags + own[1] + 1, link_chars + own[2], link_tags + own[3]
+    return (chars, tags, chars, link_tags + 1) if node.name == "a" else (chars, tags, link_chars, link_tags)
+
+
+def naive_density(node, body):
+    chars, tags, link_chars, link_tags = naive(node)
+    if not chars:
+        return 0.0
+    share = body[2] / max(1, body[0])
+    base = math.log(chars / max(1, chars - link_chars) * link_chars + share * chars + math.e)
+    return chars / max(1, tags) * math.log(max(1.0, chars / max(1, link_chars) * max(1, tags) / max(1, link_tags))) / base
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_densities_against_recursion(seed):
+    rng = np.random.default_rng(seed)
+
+    def part(depth):
+        if depth == 0 or rng.random() < 0.2:
+            return " ".join("word" * int(rng.integers(1, 4)) for _ in range(rng.integers(1, 12)))
+        name = str(rng.choice(["div", "section", "a", "b", "span", "ul"]))
+        return f"<{name}>" + " ".join(part(depth - 1) for _ in range(rng.integers(1, 4))) + f"</{name}>"
+
+    root = html_text.parse("<body>" + "".join(part(5) for _ in range(4)) + "</body>")
+    nodes = html_text._order(root)
+    html_text.measure(nodes)
+    body = naive(next(n for n in nodes if n.name == "body"))
+    for n in nodes:
+        assert (n.chars, n.tags, n.link_chars, n.link_tags) == naive(n)
+        assert n.density == pytest.approx(naive_density(n, body))
+        kids = [c for c in n.children if not isinstance(c, str) and not c.dropped]
+        own = sum(len("".join(c.split())) for c in n.children if isinstance(c, str))
+        assert n.total == pytest.approx(own + sum(naive_density(k, body) for k in kids))
+
+
 def test_pages_in_spark(spark):
     pages = spark.createDataFrame([(1, "u", None, 5), (1, "u", None, 5), (None, None, "<p>x</p>", 6)], "page_id long, url string, html string, n_chars int")
     got = results(html_text.extract_pages(pages), "page_id", "url", "text", "n_chars")
