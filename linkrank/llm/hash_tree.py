@@ -19,6 +19,7 @@ from linkrank.llm.common import stored
 
 HASH_DIGITS = 13  # 52 bits, which a double holds exactly
 SLOT_DIGITS = 3  # 4,096 buckets a shard
+RUN = 10_000  # copies of a row that come back in one go
 
 
 @dataclass(frozen=True)
@@ -100,17 +101,28 @@ def number_slots(frame: DataFrame, order: list[Column], digest_of: Column) -> Da
     """``frame`` with ``slot``: numbers without a gap from 0 within each ``shard``.
 
     Rows are ordered by a bucket from the hash of ``digest_of`` and then by
-    ``order``. Buckets are counted first, so that no task sorts a whole shard;
-    the bucket offsets, at most 4,096 for each shard, are broadcast.
+    ``order``. Equal rows are counted first and take numbers in a row, so that
+    a row of a third of all copies is one row for the sort; its copies come back
+    by runs of ``RUN``, dealt to many tasks. Buckets are counted too, so that no
+    task sorts a whole shard; the bucket offsets, at most 4,096 for each shard,
+    are broadcast.
     """
     bucket = F.substring(F.md5(digest_of.cast("binary")), 1, SLOT_DIGITS)
-    rows = stored(frame.withColumn("bucket", bucket))
-    counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy(*order))
-    numbered = rows.withColumn("inside", inside).join(F.broadcast(offsets), ["shard", "bucket"])
-    return numbered.withColumn("slot", F.col("offset") + F.col("inside") - 1).drop("bucket", "offset", "inside")
+    rows = stored(frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("__n")).withColumn("__bucket", bucket))
+    counts = rows.groupBy("shard", "__bucket").agg(F.sum("__n").alias("__rows"))
+    before = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "__bucket", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+    earlier = Window.partitionBy("shard", "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    numbered = rows.withColumn("__inside", inside).join(F.broadcast(offsets), ["shard", "__bucket"])
+    numbered = numbered.withColumn("__first", F.col("__offset") + F.col("__inside"))
+    n = F.col("__n")
+    once = numbered.where(n == 1).withColumn("slot", F.col("__first"))
+    runs = numbered.where(n > 1).withColumn("__run", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / RUN))))
+    runs = runs.repartition("shard", "__bucket", "__run")
+    last = F.least(n, (F.col("__run") + 1) * RUN) - 1
+    copies = runs.withColumn("__copy", F.explode(F.sequence(F.col("__run") * RUN, last))).withColumn("slot", F.col("__first") + F.col("__copy"))
+    return once.select(*frame.columns, "slot").unionByName(copies.select(*frame.columns, "slot"))
 
 
 def shard_documents(docs: DataFrame, tree: list[Shard] | None = None) -> DataFrame:
@@ -118,7 +130,9 @@ def shard_documents(docs: DataFrame, tree: list[Shard] | None = None) -> DataFra
 
     ``size`` is the text's UTF-8 bytes plus 1; a null text counts as no bytes: size
     1, checksum 0. The id alone decides the shard, so equal ids share one and all
-    null ids share one; their slots differ. Repeated rows get a slot each.
+    null ids share one; their slots differ. Repeated rows get a slot each, one
+    after the other. Texts may have any length; an empty table gives no rows;
+    other columns, whatever their names, are ignored.
     """
     tree = tree or regular_tree()
     text = F.col("text").cast("binary")

@@ -229,6 +229,19 @@ def test_shards(odd_docs, no_docs):
     assert hash_tree.shard_documents(no_docs).count() == 0
 
 
+def test_many_copies_of_a_row_take_slots_of_their_own(spark, monkeypatch):
+    """A third of all rows have neither id nor text: one row for the sort, its copies dealt by runs."""
+    monkeypatch.setattr(hash_tree, "RUN", 100)
+    docs = spark.range(3000).selectExpr("case when id % 3 > 0 then id end as doc_id", "case when id % 3 > 0 then concat('t', id) end as text", "id as slot", "1 as `__n`")
+    rows = hash_tree.shard_documents(docs).collect()
+    assert len(rows) == 3000 and sum(r.doc_id is None for r in rows) == 1000
+    for shard in {r.shard for r in rows}:
+        own = sorted(r.slot for r in rows if r.shard == shard)
+        assert own == list(range(len(own)))
+    empty = sorted(r.slot for r in rows if r.doc_id is None)
+    assert empty == list(range(empty[0], empty[0] + 1000))
+
+
 def test_weights_move_rows_into_the_heavier_part_only(spark):
     tree = hash_tree.regular_tree()
     heavier = [hash_tree.Shard(s.region, s.rack, s.shard, 3.0 if s.shard == 5 else 1.0) for s in tree]
