@@ -68,11 +68,10 @@ def pagerank(
     the layout of the links, so the next step joins it as it lies. The files of
     a checkpoint are removed once the next one is there.
 
-    ``on_step(step, pages)`` is called for each step with the number of pages in
-    the rank table. If pages can drop out, they are counted by an ``Observation``
-    in the step itself, and calls come when the job that runs the step is done,
-    for several steps at once. If a task of a counted step ran more than once,
-    which the observation shows, that step's pages are counted by a job.
+    ``on_step(step, pages)`` is called after each step with the number of pages in
+    the rank table. If pages can drop out, each step is a checkpoint, and an
+    ``Observation`` counts its rows in the job that writes it. If a task of it ran
+    more than once, which the observation shows, a job of its own counts them.
 
     ``num_partitions`` is the number of partitions of the result, by default
     that of the session; steps have as many if there are links enough for them.
@@ -114,21 +113,21 @@ def pagerank(
                     pages = pages or _page_table(graph, ranks, semantics).count()
                     on_step(step, pages)
                 elif counted:
-                    ranks = counted.watch(step, ranks)
+                    # Written as a whole: a merge join need not read all rows of a side.
+                    ranks = checkpoint_in_place(counted.watch(step, ranks))
+                    counted.report()
                 shares = page_shares(graph, ranks, keeps)
-                if step % checkpoint_every == 0 and step < iterations:
-                    shares = checkpoint_in_place(shares)
-                    if counted:
-                        counted.report()
+                fresh = ranks if counted else None
+                if not counted and step % checkpoint_every == 0 and step < iterations:
+                    fresh = shares = checkpoint_in_place(shares)
+                if fresh is not None:
                     if old is not None:
                         discard_checkpoint(old)
-                    old = shares
+                    old = fresh
             result = _page_table(graph, ranks, semantics)
             if num_partitions and num_partitions != graph.width:
                 result = result.repartition(num_partitions, "page")
-            result = checkpoint_in_place(result) if counted else result.checkpoint()
-            if counted:
-                counted.report()
+            result = result.checkpoint()
             if old is not None:
                 discard_checkpoint(old)
             return result
