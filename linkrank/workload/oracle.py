@@ -14,6 +14,7 @@ from linkrank.workload.relations import (
     ORDER_LINKS,
     PART_LINKS,
     PREDICATE,
+    SAVED_DOMAINS,
     URL_LINKS,
 )
 
@@ -143,6 +144,9 @@ def oracle_sql() -> dict[str, str]:
         "scan_triples_text": IRI_LINKS,
         "scan_triples_bz2": IRI_LINKS,
         "saved_ranks_top10": iri_rows + NUMBERED.format(k=10),
+        "saved_domains_top10": _rows_zero(URL_LINKS)
+        + "\nSELECT row_number() OVER (ORDER BY pagerank DESC, page) AS position, page, pagerank"
+        f" FROM ranked WHERE out_degree > 0 AND {_domain('page')} IN {SAVED_DOMAINS} ORDER BY position LIMIT 10",
         "parse_neighbors": f"SELECT t[1] AS source, t[3] AS target FROM ({ODD_TOKENS}) AS tokens WHERE len(t) >= 3",
         "rejected_line_count": f"SELECT count(*) AS n_lines FROM ({ODD_TOKENS}) AS tokens WHERE len(t) < 3",
         "project_links": IRI_LINKS,
@@ -273,6 +277,8 @@ SELECT key_rule, bucket, count(*) AS n_rows FROM keyed GROUP BY key_rule, bucket
         "sink_csv_bzip2": iri_rows + PAGES,
         "sink_partitioned_csv": iri_rows + ANNOTATED_SAVED,
         "sink_text": _distinct_drop(IRI_LINKS) + PAGES,
+        "sink_csv_overwrite": iri_rows + PAGES,
+        "sink_text_overwrite": iri_rows + PAGES,
         "topk_report_lines": _distinct_drop(ORDER_LINKS)
         + ", top AS (SELECT row_number() OVER (ORDER BY pagerank DESC, page) AS position, page, pagerank FROM ranked)"
         "\nSELECT position, printf('%d. %s has rank: %.6f', position, CAST(page AS VARCHAR), pagerank) AS line"

@@ -51,6 +51,7 @@ from linkrank.workload.relations import (
     ORDER_LINKS,
     PART_LINKS,
     PREDICATE,
+    SAVED_DOMAINS,
     TRIPLE_LINES,
     URL_LINKS,
 )
@@ -361,6 +362,25 @@ def _saved(sql: str, layout: str, **options) -> Query:
     return run
 
 
+def _overwritten(sql: str, layout: str) -> Query:
+    """Save over what an earlier, shorter ranking has saved, and read back."""
+
+    def run(spark, sf_dir):
+        path = scratch_path(spark, layout)
+        write_ranks(_ranks(sql, iterations=1)(spark, sf_dir), path, layout, mode="overwrite")
+        write_ranks(_ranks(sql)(spark, sf_dir), path, layout, mode="overwrite")
+        return _rounded(read_ranks(spark, path, layout))
+
+    return run
+
+
+def saved_domains_top10(spark, sf_dir):
+    """The highest pages of two of the five domains, read from their directories alone."""
+    path = scratch_path(spark, URL)
+    write_ranks(_ranks(URL_LINKS)(spark, sf_dir), path, URL)
+    return numbered(_rounded(read_ranks(spark, path, URL, SAVED_DOMAINS)), 10)
+
+
 def saved_ranks_top10(spark, sf_dir):
     return numbered(_saved(IRI_LINKS, CSV)(spark, sf_dir), 10)
 
@@ -376,6 +396,7 @@ def queries() -> dict[str, Query]:
         "scan_triples_text": scan_triples_text,
         "scan_triples_bz2": scan_triples_bz2,
         "saved_ranks_top10": saved_ranks_top10,
+        "saved_domains_top10": saved_domains_top10,
         "parse_neighbors": links_of_odd_lines,
         "rejected_line_count": rejected_line_count,
         "project_links": project,
@@ -440,5 +461,7 @@ def queries() -> dict[str, Query]:
         "sink_csv_bzip2": _saved(IRI_LINKS, CSV),
         "sink_partitioned_csv": _saved(IRI_LINKS, URL),
         "sink_text": _saved(IRI_LINKS, TEXT, semantics=DISTINCT_DROP),
+        "sink_csv_overwrite": _overwritten(IRI_LINKS, CSV),
+        "sink_text_overwrite": _overwritten(IRI_LINKS, TEXT),
         "topk_report_lines": lambda spark, sf: report_lines(_pages(semantics=DISTINCT_DROP)(spark, sf), 5),
     }

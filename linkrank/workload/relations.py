@@ -33,6 +33,9 @@ URL_LINKS = (
     f"SELECT {page_url('l_orderkey')} AS source, {page_url('l_partkey')} AS target FROM lineitem"
 )
 
+# Two of the five domains.
+SAVED_DOMAINS = ("site1.example.org", "site3.example.org")
+
 
 def bracketed(key: str) -> str:
     return f"concat('<http://ex.org/n/', CAST({key} AS VARCHAR(20)), '>')"

@@ -84,6 +84,29 @@ def test_url_directories(spark, ranks, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*domain", plan)
 
 
+def scanned(rows):
+    """The plan of a scan, and how many files it read."""
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan()
+    metrics = plan.collectLeaves().head().metrics()
+    return plan.toString(), metrics.apply("numFiles").value() if metrics.contains("numFiles") else 0
+
+
+def test_domains_are_read_from_their_directories(spark, ranks, tmp_path):
+    path = str(tmp_path / "out")
+    write_ranks(ranks, path, URL)
+    whole = read_ranks(spark, path, URL)
+    _, all_files = scanned(whole)
+    for domains in (["a.org"], ["b.org", "a.org", "a.org"], [None], ["", "plain"], ["nowhere"], []):
+        rows = read_ranks(spark, path, URL, domains)
+        plan, files = scanned(rows)
+        known = {d or None for d in domains}
+        assert sorted(map(str, rows.collect())) == sorted(str(r) for r in whole.collect() if r.domain in known)
+        assert files < all_files and (not domains or re.search(r"PartitionFilters: \[[^\]]*domain", plan))
+    with pytest.raises(ValueError, match="domains"):
+        read_ranks(spark, path, CSV, ["a.org"])
+
+
 def test_a_domain_of_digits_stays_text(spark, tmp_path):
     write_ranks(spark.createDataFrame([("http://0123/x", 1.0, 1)], SCHEMA), str(tmp_path / "out"), URL)
     assert read_ranks(spark, str(tmp_path / "out"), URL).first().domain == "0123"
