@@ -1,180 +1,197 @@
 """Nearest neighbours by largest inner product with a forest of hash-prefix trees.
 
-Each tree gives a vector a string of ``DEPTH`` symbols; a symbol is the axis,
-with its sign, that is closest to the vector after a random rotation. Vectors
-that agree on a longer prefix are more likely near. To make inner products
-cosines, every vector is divided by the largest norm and gets one more
-component that brings its length to 1 (0 in a query).
-
-1. Rows are counted by tree and prefix, of every length.
-2. A query descends all trees to its full strings and ascends them together, a
-   symbol at a time, until its prefixes hold ``ENOUGH`` rows over all trees. If
-   even the first symbols hold fewer, it ascends to the root, and one tree
-   answers for all.
-   That is where a query starts, not a promise.
-3. Queries go to the shards (tree, first symbol) of the rows. A shard sorts its
-   rows by string, so a prefix is a range, and returns the best rows of each
-   query's range. Large shards are dealt into blocks of rows and of queries, so
-   a group of like vectors of any size fills tasks, not one task.
-4. The shards' best rows are merged for each query.
-5. How often two vectors share a symbol depends on their cosine only. So the
-   ``k``-th cosine found, which is never above the true one, tells the chance
-   that a true neighbour shares the query's prefix in some tree. Queries where
-   it is below ``CHANCE``, or that found fewer than ``k``, ascend and search
-   again, at last from the root, which compares all rows. This holds for every
-   size of table and every kind of vectors.
-
-Every row is indexed and nothing is fitted. No bucket is cut short.
+Each tree gives a vector a string of ``BITS`` signs of random projections; the
+longer the prefix two strings share, the nearer their vectors are likely to be.
+To make inner products cosines, every vector is divided by the largest norm and
+gets one more component that brings its length to 1 (0 in a query).
+
+Rows are dealt into shards by a hash, so copies and groups of like vectors of
+any size are spread evenly. A shard holds its rows' components once, and for
+each tree the sorted array of their strings with the places of the rows; trees
+carry strings and places only. A search goes through all shards twice:
+
+1. A query descends every tree of a shard to its longest prefix match, whose
+   length differs from tree to tree, and ascends the trees together, a sign at
+   a time, until their ranges hold ``enough`` places. The best rows of the
+   ranges are merged over the shards. That is where a query starts, not a
+   promise.
+2. The chance that two strings share a sign depends on the cosine only. So the
+   ``k``-th cosine found, which is never above the true one, tells how far the
+   trees must be ascended for a row at that cosine to share the query's prefix
+   in some tree with a chance of ``CHANCE``. All shards are searched to that
+   height, and the best rows of all ranges are merged. A query that has found
+   fewer than ``k`` ascends to the root, which compares all rows.
+
+The last level need not be ascended in all trees: a height is the sum of the
+prefix lengths of all trees. This holds for every size of table and every kind
+of vectors. Every row is indexed, nothing is fitted and no range is cut short.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import stored
+from linkrank.llm.common import Shelf
 
-TREES, DEPTH = 64, 3
-ENOUGH = 4_096
+TREES, BITS = 64, 32
+ENOUGH = 512
 CHANCE = 0.9
-COSINES = np.linspace(-1, 1, 161)
 K = 20
-BLOCK_ROWS, BLOCK_QUERIES = 4_096, 2_048
-SYMBOL_BITS = 14  # up to 8,191 dimensions
-CHUNK = 512
-STRING = "array<struct<tree: int, symbol: int, code: long>>"
-
-
-def rotation(tree: int, level: int, size: int) -> np.ndarray:
-    rng = np.random.default_rng([3, tree, level, size])
-    return np.linalg.qr(rng.standard_normal((size, size)))[0]
-
-
-class Forest:
-    """The rotations for one number of dimensions."""
-
-    def __init__(self, dims: int) -> None:
-        self.rotations = np.stack([np.stack([rotation(t, j, dims + 1) for j in range(DEPTH)]) for t in range(TREES)])
-
-    def symbols(self, unit: np.ndarray) -> np.ndarray:
-        """Symbols from 0 by vector, tree and level, for vectors of length 1."""
-        found = np.empty((len(unit), TREES, DEPTH), np.int64)
-        row = np.arange(len(unit))
-        for t in range(TREES):
-            for j in range(DEPTH):
-                turned = unit @ self.rotations[t, j]
-                axis = np.abs(turned).argmax(axis=1)
-                found[:, t, j] = 2 * axis + (turned[row, axis] > 0)
+# What a task takes of rows and of queries at most; small tables have this many shards.
+SHARD_ROWS, BLOCK_QUERIES, TASK_BYTES, FEWEST_SHARDS = 65_536, 16_384, 32 << 20, 12
+CHUNK = 4_096
+# Single precision moves a cosine by less than this for each component.
+ROUNDING = 1.2e-7
+FOUND = "query_id long, vec_id long, score double"
+
+
+@lru_cache(maxsize=2)
+def projections(size: int) -> np.ndarray:
+    """Directions of all signs of all trees, for vectors of ``size`` components."""
+    return np.random.default_rng([3, size]).standard_normal((size, TREES * BITS), np.float32)
+
+
+def strings(unit: np.ndarray) -> np.ndarray:
+    """The strings of vectors of length 1, by tree and vector; the first sign is the highest bit."""
+    found = np.empty((TREES, len(unit)), np.uint32)
+    for at in range(0, len(unit), CHUNK):
+        signs = unit[at : at + CHUNK].astype(np.float32) @ projections(unit.shape[1]) > 0
+        packed = np.packbits(signs.reshape(-1, TREES, BITS), axis=2)
+        found[:, at : at + CHUNK] = packed.view(">u4")[:, :, 0].T
+    return found
+
+
+def lengths(height: np.ndarray | int) -> np.ndarray:
+    """Prefix length of every tree (last axis) at a height, which is their sum."""
+    return (np.asarray(height)[..., None] + np.arange(TREES)) // TREES
+
+
+def chance(cosine: np.ndarray | float, height: np.ndarray | int) -> np.ndarray:
+    """Chance that a row at ``cosine`` of a query shares its prefix in one tree at least, at a height."""
+    shared = 1 - np.arccos(np.clip(cosine, -1, 1)) / np.pi
+    return 1 - np.prod(1 - np.asarray(shared)[..., None] ** lengths(height), axis=-1)
+
+
+def height_for(cosine: np.ndarray) -> np.ndarray:
+    """The greatest height with a chance of ``CHANCE`` at each cosine; 0, the root, where it is unknown."""
+    known = np.isfinite(cosine)
+    safe = np.where(known, cosine, 0.0)
+    low, high = np.zeros(len(safe), int), np.full(len(safe), TREES * BITS)
+    while (low < high).any():
+        middle = (low + high + 1) // 2
+        reached = chance(safe, middle) >= CHANCE
+        low, high = np.where(reached, middle, low), np.where(reached, high, middle - 1)
+    return np.where(known, low, 0)
+
+
+class Shard:
+    """Sorted strings of the rows of a shard, for all trees."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float) -> None:
+        self.ids, self.vectors = ids, vectors
+        self.single = len(np.unique(ids)) == len(ids)
+        unit = vectors / largest
+        self.rough = unit.astype(np.float32)
+        extra = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1, keepdims=True)))
+        codes = strings(np.hstack([unit, extra]))
+        self.order = np.argsort(codes, axis=1, kind="stable").astype(np.int32)
+        self.codes = np.take_along_axis(codes, self.order, axis=1)
+
+    def ranges(self, asked: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end in every tree's array (first axis) of the prefixes of queries."""
+        free = np.uint64(BITS) - length.astype(np.uint64)
+        low = (asked.astype(np.uint64) >> free) << free
+        high = low + (np.uint64(1) << free) - np.uint64(1)
+        start, end = np.empty(asked.shape, np.int64), np.empty(asked.shape, np.int64)
+        for t, codes in enumerate(self.codes):
+            start[t] = np.searchsorted(codes, low[t].astype(np.uint32), side="left")
+            end[t] = np.searchsorted(codes, high[t].astype(np.uint32), side="right")
+        return start, end
+
+    def longest(self, asked: np.ndarray) -> np.ndarray:
+        """Length of the longest prefix that each query shares with a row, by tree and query."""
+        found = np.empty(asked.shape, np.int64)
+        for t, codes in enumerate(self.codes):
+            at = np.searchsorted(codes, asked[t])
+            beside = [codes[np.clip(at + step, 0, len(codes) - 1)] ^ asked[t] for step in (-1, 0)]
+            # The exponent of a difference is the number of its bits.
+            found[t] = BITS - np.frexp(np.minimum(*beside).astype(np.float64))[1]
         return found
 
+    def start(self, asked: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ranges after the synchronous ascent from the longest prefix matches."""
+        own = self.longest(asked)
+        depth = own.max(axis=0)
+        start, end = self.ranges(asked, np.minimum(own, depth))
+        open_ = np.flatnonzero((end - start).sum(axis=0) < enough)
+        while len(open_):
+            depth[open_] -= 1
+            some = np.minimum(own[:, open_], depth[open_])
+            start[:, open_], end[:, open_] = self.ranges(asked[:, open_], some)
+            held = (end[:, open_] - start[:, open_]).sum(axis=0)
+            open_ = open_[(held < enough) & (depth[open_] > 0)]
+        return start, end
+
+    def best(self, query_id: int, vector: np.ndarray, start: np.ndarray, end: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the ``k`` best rows of a query's ranges, one for each id."""
+        reached = np.zeros(len(self.ids), bool)
+        spans = [order[a:b] for order, a, b in zip(self.order, start.tolist(), end.tolist(), strict=True) if a < b]
+        if spans:
+            reached[np.concatenate(spans)] = True
+        reached[self.ids == query_id] = False
+        rows = np.flatnonzero(reached)
+        if self.single and len(rows) > k:
+            near = self.rough[rows] @ (vector / np.linalg.norm(vector)).astype(np.float32)
+            slack = 2 * ROUNDING * (len(vector) + 4)
+            rows = rows[near >= np.partition(near, -k)[-k] - slack]
+        # Equal vectors must have equal scores, so the sum is taken row by row.
+        score = (self.vectors[rows] * vector).sum(axis=1)
+        ids = self.ids[rows]
+        order = np.lexsort((ids, -score))
+        if not self.single:
+            order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
+        return ids[order[:k]], score[order[:k]]
+
+
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_list()).astype(np.float64)
+
+
+def _searched(largest: float, k: int, enough: int):
+    def search(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        """The best rows of one shard for a block of queries; ``height`` is null in the first search."""
+        if not len(rows) or not len(queries):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        shard = Shard(rows["vec_id"].to_numpy(), _matrix(rows["embedding"]), largest)
+        parts = []
+        for at in range(0, len(queries), CHUNK):
+            some = queries.iloc[at : at + CHUNK]
+            x = _matrix(some["embedding"])
+            unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+            asked = strings(np.hstack([unit, np.zeros((len(x), 1))]))
+            if some["height"].isna().any():
+                start, end = shard.start(asked, enough)
+            else:
+                start, end = shard.ranges(asked, lengths(some["height"].to_numpy(np.int64)).T)
+            for i, query_id in enumerate(some["query_id"].tolist()):
+                ids, score = shard.best(query_id, x[i], start[:, i], end[:, i], k)
+                parts.append((np.full(len(ids), query_id), ids, score))
+        return pd.DataFrame({c: np.concatenate(v) for c, v in zip(("query_id", "vec_id", "score"), zip(*parts, strict=True), strict=True)})
 
-def prefix_of(code: np.ndarray, depth: int) -> np.ndarray:
-    return code >> (SYMBOL_BITS * (DEPTH - depth))
-
-
-def _codes(symbols: np.ndarray) -> np.ndarray:
-    code = np.zeros(symbols.shape[:2], np.int64)
-    for j in range(DEPTH):
-        code = (code << SYMBOL_BITS) | symbols[:, :, j]
-    return code
+    return search
 
 
-def _hashed(vectors: list[np.ndarray], largest: float, query: bool, forests: dict[int, Forest]) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-    """Positions, dimensions and codes (by tree) of the vectors, some at a time."""
-    dims = np.array([len(v) for v in vectors])
-    for d in np.unique(dims):
-        forest = forests.get(d) or forests.setdefault(d, Forest(d))
-        all_of = np.flatnonzero(dims == d)
-        for at in range(0, len(all_of), CHUNK):
-            chosen = all_of[at : at + CHUNK]
-            x = np.stack([vectors[i] for i in chosen]).astype(np.float64)
-            if query:
-                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                extra = np.zeros((len(x), 1))
-            else:
-                unit = x / largest
-                extra = np.sqrt(np.maximum(0, 1 - (unit * unit).sum(axis=1, keepdims=True)))
-            yield chosen, int(d), _codes(forest.symbols(np.hstack([unit, extra])))
-
-
-def strings(vector: Column, largest: float, query: bool) -> Column:
-    """Tree, first symbol and whole string of a vector, for every tree."""
-
-    @F.pandas_udf(STRING)
-    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        forests: dict[int, Forest] = {}
-        for batch in batches:
-            result: list = [None] * len(batch)
-            for chosen, _, codes in _hashed(batch.tolist(), largest, query, forests):
-                first = prefix_of(codes, 1)
-                for i, symbols, row in zip(chosen.tolist(), first.tolist(), codes.tolist(), strict=True):
-                    result[i] = [{"tree": t, "symbol": s, "code": c} for t, (s, c) in enumerate(zip(symbols, row, strict=True))]
-            yield pd.Series(result, dtype=object)
-
-    return hashed(vector)
-
-
-def _prefix_counts(largest: float):
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows by prefix of every length, summed over a batch."""
-        forests: dict[int, Forest] = {}
-        for batch in batches:
-            for _, dims, codes in _hashed(batch["embedding"].tolist(), largest, False, forests):
-                for depth in range(1, DEPTH + 1):
-                    key = prefix_of(codes, depth)
-                    for t in range(TREES):
-                        prefix, n = np.unique(key[:, t], return_counts=True)
-                        yield pd.DataFrame({"dims": dims, "tree": t, "depth": depth, "prefix": prefix, "n": n})
-
-    return count
-
-
-@lru_cache(maxsize=64)
-def collisions(size: int) -> np.ndarray:
-    """Chance that a rotation gives two vectors of ``size`` components one symbol, for each of ``COSINES``."""
-    rng = np.random.default_rng([5, size])
-    samples = min(20_000, max(2_000, 4_000_000 // size))
-    one, other = rng.standard_normal((2, samples, size))
-    one /= np.linalg.norm(one, axis=1, keepdims=True)
-    other -= (other * one).sum(axis=1, keepdims=True) * one
-    other /= np.linalg.norm(other, axis=1, keepdims=True)
-    row = np.arange(samples)
-    axis = np.abs(one).argmax(axis=1)
-    shared = []
-    for c in COSINES:
-        turned = c * one + np.sqrt(1 - c * c) * other
-        shared.append(np.mean((np.abs(turned).argmax(axis=1) == axis) & (turned[row, axis] * one[row, axis] > 0)))
-    return np.array(shared)
-
-
-def chance(cosine: float, dims: int, depth: int) -> float:
-    """Chance that a vector at ``cosine`` of a query shares its prefix of ``depth`` symbols in one tree at least."""
-    at = int(np.searchsorted(COSINES, cosine, side="right")) - 1  # the next lower one: rather too low than too high
-    shared = collisions(dims + 1)[max(at, 0)]
-    return float(1 - (1 - shared**depth) ** TREES)
-
-
-def next_depth(depth: int, cosine: float | None, dims: int) -> int:
-    """Where a query searches again: ``depth`` itself if its neighbours are found, else above; no cosine: fewer than ``k`` found."""
-    if depth == 0 or cosine is not None and chance(cosine, dims, depth) >= CHANCE:
-        return depth
-    suffice = [d for d in range(1, depth) if cosine is not None and chance(cosine, dims, d) >= CHANCE]
-    # The cosine grows with the search, so the root is for those that the first symbols have failed.
-    return max(suffice, default=min(1, depth - 1)) if cosine is not None else depth - 1
-
-
-def next_depths(depth: Column, cosine: Column, dims: Column) -> Column:
+def heights(cosine: Column) -> Column:
     @F.pandas_udf("int")
-    def found(depth: pd.Series, cosine: pd.Series, dims: pd.Series) -> pd.Series:
-        rows = zip(depth.tolist(), cosine.tolist(), dims.tolist(), strict=True)
-        return pd.Series([next_depth(int(d), None if pd.isna(c) else c, int(n)) for d, c, n in rows], dtype="int32")
+    def found(cosine: pd.Series) -> pd.Series:
+        return pd.Series(height_for(cosine.to_numpy(np.float64, na_value=np.nan)), dtype="int32")
 
-    return found(depth, cosine, dims)
+    return found(cosine)
 
 
 def usable(vector: Column) -> Column:
@@ -183,120 +200,54 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _best(k: int):
-    columns = ["query_id", "vec_id", "score"]
-
-    def search(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or not len(queries):
-            return pd.DataFrame(columns=columns)
-        rows = rows.sort_values(["code", "vec_id"])
-        x = np.stack(rows["embedding"].to_list()).astype(np.float64)
-        ids, codes = rows["vec_id"].to_numpy(), rows["code"].to_numpy()
-        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for query_id, depth, code, vector in zip(queries["query_id"], queries["depth"], queries["code"], queries["embedding"], strict=True):
-            shift = SYMBOL_BITS * (DEPTH - depth)
-            low = (code >> shift) << shift
-            a, b = np.searchsorted(codes, (low, low + (1 << shift))) if depth else (0, len(codes))
-            score = (x[a:b] * np.asarray(vector, np.float64)).sum(axis=1)
-            near = np.flatnonzero(ids[a:b] != query_id)
-            if len(near) > k:
-                near = near[score[near] >= np.partition(score[near], -k)[-k]]
-            near = near[np.lexsort((ids[a:b][near], -score[near]))[:k]]
-            parts.append((np.full(len(near), query_id), ids[a:b][near], score[near]))
-        return pd.DataFrame({c: np.concatenate(values) for c, values in zip(columns, zip(*parts, strict=True), strict=True)})
-
-    return search
-
-
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, enough: int = ENOUGH) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` best rows found for each row of ``queries``.
 
     Both tables have ``vec_id`` and ``embedding``; others of their columns are
     ignored. A row is no candidate for a query of its own id. Rows with a null
     id or a vector that is null, empty, zero or not finite take no part. Vectors
-    are compared with those of equal length only. Rows of one id count as one,
-    with their best score; equal scores go by id. Fewer than ``k`` candidates
-    are all returned. Each of the true ``k`` is found with a chance of
-    ``CHANCE`` or more; ``enough`` only says where queries start.
+    are compared with those of equal length only. Repeated rows count once, and
+    rows of one id count as one, with their best score; equal scores go by id.
+    Fewer than ``k`` candidates are all returned; an empty table gives no rows.
+    Each of the true ``k`` is found with a chance of ``CHANCE`` or more;
+    ``enough`` only says where queries start.
     """
+    shelf = Shelf()
     usual = lambda t: t.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(
         F.col("vec_id").isNotNull() & usable(F.col("embedding"))
     )
-    rows, asked = usual(vectors), usual(queries).withColumnRenamed("vec_id", "query_id")
+    rows = shelf.stored(usual(vectors).distinct())
+    asked = shelf.stored(usual(queries).distinct().withColumnRenamed("vec_id", "query_id"))
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    largest = rows.agg(F.max(norm)).first()[0] or 1.0
-    counts = stored(
-        rows.select("embedding")
-        .mapInPandas(_prefix_counts(largest), "dims int, tree int, depth int, prefix long, n long")
-        .groupBy("dims", "tree", "depth", "prefix")
-        .agg(F.sum("n").alias("n"))
-    )
-    hashed = stored(
-        asked.select("query_id", "embedding", F.size("embedding").alias("dims"), strings(F.col("embedding"), largest, True).alias("strings"))
-    )
-    steps = hashed.select("query_id", "dims", F.explode("strings").alias("s")).select(
-        "query_id", "dims", "s.tree", "s.code", F.explode(F.sequence(F.lit(1), F.lit(DEPTH))).alias("depth")
-    )
-    steps = steps.withColumn("prefix", F.expr(f"shiftright(code, {SYMBOL_BITS} * ({DEPTH} - depth))"))
-    held = steps.join(counts, ["dims", "tree", "depth", "prefix"]).groupBy("query_id", "depth").agg(F.sum("n").alias("held"))
-    starts = held.where(F.col("held") >= enough).groupBy("query_id").agg(F.max("depth").alias("depth"))
-    asked_ids = hashed.select("query_id").distinct().join(starts, "query_id", "left")
-    depths = stored(asked_ids.select("query_id", F.coalesce("depth", F.lit(0)).alias("depth")))
-    lengths = hashed.select("query_id", "dims", norm.alias("norm"))
-    parts: list[DataFrame] = []
-    while True:
-        best = stored(_search(rows, hashed, counts, depths, largest, k))
-        last = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("last"))
-        judged = depths.where("depth > 0").join(lengths, "query_id").join(last, "query_id", "left")
-        # One id may ask with several vectors; the one that needs most counts.
-        onward = judged.withColumn("cosine", F.col("last") / (F.col("norm") * largest)).groupBy("query_id", "depth").agg(
-            F.min(next_depths(F.col("depth"), F.col("cosine"), F.col("dims"))).alias("next")
-        )
-        onward = stored(onward.where("next < depth").select("query_id", F.col("next").alias("depth")))
-        if onward.isEmpty():
-            parts.append(best)
-            break
-        parts.append(best.join(onward, "query_id", "left_anti"))
-        depths = onward
-    return reduce(DataFrame.unionByName, parts).select("query_id", "rank", "vec_id", "score")
-
-
-def _search(rows: DataFrame, hashed: DataFrame, counts: DataFrame, depths: DataFrame, largest: float, k: int) -> DataFrame:
-    """The ``k`` best rows of the queries in ``depths``, each compared with the rows of its prefixes of that length."""
-    placed = hashed.join(depths, "query_id")
-    shards = counts.where("depth = 1").select("dims", "tree", F.col("prefix").cast("int").alias("symbol"), F.col("n").alias("rows"))
-    found = placed.where("depth > 0").select("query_id", "embedding", "dims", "depth", F.explode("strings").alias("s"))
-    by_prefix = found.select("query_id", "embedding", "dims", "depth", "s.tree", "s.symbol", "s.code")
-    whole = shards.where("tree = 0").select("dims", "tree", "symbol")  # at most twice the dimensions
-    by_root = placed.where("depth = 0").join(F.broadcast(whole), "dims").select(
-        "query_id", "embedding", "dims", "depth", "tree", "symbol", F.lit(0).cast("long").alias("code")
-    )
-    routed = stored(by_prefix.unionByName(by_root))
-    load = routed.groupBy("dims", "tree", "symbol").agg(F.count(F.lit(1)).alias("queries"))
-    # One row for each tree and symbol: trees times twice the dimensions at most.
-    sizes = stored(
-        shards.join(load, ["dims", "tree", "symbol"]).select(
-            "dims", "tree", "symbol",
-            F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("row_blocks"),
-            F.ceil(F.col("queries") / BLOCK_QUERIES).cast("int").alias("query_blocks"),
-        )
+    extent = [F.count(F.lit(1)), F.coalesce(F.sum(F.size("embedding")), F.lit(0)) * 8]
+    parts = lambda n, size, most: max(-(-n // most), -(-size // TASK_BYTES))
+    largest, *held = rows.agg(F.max(norm), *extent).first()
+    largest = largest or 1.0
+    shards = max(FEWEST_SHARDS, parts(*held, SHARD_ROWS))
+    blocks = max(1, parts(*asked.agg(*extent).first(), BLOCK_QUERIES))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    spread = lambda n, *c: F.pmod(F.xxhash64(*c), F.lit(n)).cast("int")
+    key = ["dims", "shard", "block"]
+    dealt = rows.select(
+        F.size("embedding").alias("dims"), spread(shards, "vec_id", "embedding").alias("shard"), every(blocks).alias("block"),
+        "vec_id", "embedding",
     )
-    spread = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    shard = ["dims", "tree", "symbol"]
-    strung = rows.select("vec_id", "embedding", F.size("embedding").alias("dims"), F.explode(strings(F.col("embedding"), largest, False)).alias("s"))
-    index = (
-        strung.select("vec_id", "embedding", "dims", "s.tree", "s.symbol", "s.code")
-        .join(F.broadcast(sizes), shard)
-        .select(*shard, "vec_id", "embedding", "code", spread("vec_id", "row_blocks").alias("row_block"), every("query_blocks").alias("query_block"))
-    )
-    visits = routed.join(F.broadcast(sizes), shard).select(
-        *shard, "query_id", "embedding", "code", "depth", spread("query_id", "query_blocks").alias("query_block"), every("row_blocks").alias("row_block")
-    )
-    key = [*shard, "row_block", "query_block"]
-    # Both sides may come from one table; new columns tell them apart.
-    index, visits = (side.select(*[F.col(c).alias(c) for c in side.columns]) for side in (index, visits))
-    best = index.groupBy(*key).cogroup(visits.groupBy(*key)).applyInPandas(_best(k), "query_id long, vec_id long, score double")
-    merged = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    def searched(asking: DataFrame) -> DataFrame:
+        sent = asking.select(
+            F.size("embedding").alias("dims"), every(shards).alias("shard"), spread(blocks, "query_id", "embedding").alias("block"),
+            "query_id", "embedding", "height",
+        )
+        # Both sides may come from one table; new columns tell them apart.
+        left, right = (side.select(*[F.col(c).alias(c) for c in side.columns]) for side in (dealt, sent))
+        found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_searched(largest, k, enough), FOUND)
+        merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    first = searched(asked.withColumn("height", F.lit(None).cast("int")))
+    last = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("last"))
+    # One id may ask with several vectors; each goes to its own height.
+    cosine = F.col("last") / (norm * F.lit(largest))
+    asking = shelf.stored(asked.join(last, "query_id", "left").select("query_id", "embedding", heights(cosine).alias("height")))
+    return shelf.last(searched(asking).select("query_id", "rank", "vec_id", "score"))

@@ -209,14 +209,37 @@ def test_neighbours_of_an_id_repeated_often(spark):
     assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == list(np.argsort(-(x[1:] @ x[0]))[:20] + 1)
 
 
-def test_no_depth_without_the_chance_for_it():
-    for dims in (16, 64, 300):
-        for cosine in (-0.2, 0.1, 0.35, 0.6, 0.9):
-            depth = 3
-            while (above := prefix_forest.next_depth(depth, cosine, dims)) != depth:
-                depth = above
-            assert depth == 0 or prefix_forest.chance(cosine, dims, depth) >= prefix_forest.CHANCE
-    assert [prefix_forest.next_depth(d, None, 64) for d in (3, 2, 1, 0)] == [2, 1, 0, 0]
+def test_no_height_without_the_chance_for_it():
+    cosines = np.array([-0.9, -0.2, 0.0, 0.1, 0.35, 0.6, 0.9, 1.0, np.nan])
+    heights = prefix_forest.height_for(cosines)
+    assert heights[-1] == 0 and (np.diff(heights[:-1]) >= 0).all() and heights[-2] == prefix_forest.TREES * prefix_forest.BITS
+    for cosine, height in zip(cosines[:-1], heights[:-1], strict=True):
+        assert prefix_forest.chance(cosine, height) >= prefix_forest.CHANCE
+        assert height == heights[-2] or prefix_forest.chance(cosine, height + 1) < prefix_forest.CHANCE
+        assert prefix_forest.lengths(height).sum() == height
+
+
+def test_ranges_are_prefixes():
+    """Ranges of the sorted arrays hold the rows that share a prefix, longest matches are the longest."""
+    rng = np.random.default_rng(9)
+    x = np.repeat(rng.standard_normal((60, 8)), 3, axis=0) + 0.05 * rng.standard_normal((180, 8))
+    largest = np.linalg.norm(x, axis=1).max()
+    shard = prefix_forest.Shard(np.arange(180), x, largest)
+    unit = np.hstack([x / largest, np.sqrt(np.maximum(0, 1 - ((x / largest) ** 2).sum(axis=1, keepdims=True)))])
+    codes = prefix_forest.strings(unit)
+    q = rng.standard_normal((5, 9))
+    asked = prefix_forest.strings(q / np.linalg.norm(q, axis=1, keepdims=True))
+    bits = lambda c: np.unpackbits(c.astype(">u4")[..., None].view(np.uint8), axis=-1)
+    shared = np.cumprod(bits(codes)[:, None] == bits(asked)[:, :, None], axis=-1).sum(axis=-1)  # tree, query, row
+    assert (shard.longest(asked) == shared.max(axis=2)).all()
+    for height in (0, 1, 70, 200, 64 * 12 + 5, 64 * 32):
+        length = np.repeat(prefix_forest.lengths(height)[:, None], 5, axis=1)
+        start, end = shard.ranges(asked, length)
+        assert (end - start == (shared >= length[:, :, None]).sum(axis=2)).all()
+        for t in (0, 63):
+            assert set(shard.order[t, start[t, 2] : end[t, 2]]) == set(np.flatnonzero(shared[t, 2] >= length[t, 2]))
+    start, end = shard.start(asked, 300)
+    assert ((end - start).sum(axis=0) >= 300).all()
 
 
 def test_shards(odd_docs, no_docs):
