@@ -20,7 +20,8 @@ carry strings and places only. A search goes through all shards twice:
    trees must be ascended for a row at that cosine to share the query's prefix
    in some tree with a chance of ``CHANCE``. All shards are searched to that
    height, and the best rows of all ranges are merged. A query that has found
-   fewer than ``k`` ascends to the root, which compares all rows.
+   fewer than ``k``, or whose ranges would hold half of all rows anyway,
+   ascends to the root, which compares all rows.
 
 The last level need not be ascended in all trees: a height is the sum of the
 prefix lengths of all trees. This holds for every size of table and every kind
@@ -40,7 +41,7 @@ from linkrank.llm.common import Shelf
 
 TREES, BITS = 64, 32
 ENOUGH = 512
-CHANCE = 0.9
+CHANCE, SHARE = 0.9, 0.5
 K = 20
 # What a task takes of rows and of queries at most; small tables have this many shards.
 SHARD_ROWS, BLOCK_QUERIES, TASK_BYTES, FEWEST_SHARDS = 65_536, 16_384, 32 << 20, 12
@@ -78,7 +79,11 @@ def chance(cosine: np.ndarray | float, height: np.ndarray | int) -> np.ndarray:
 
 
 def height_for(cosine: np.ndarray) -> np.ndarray:
-    """The greatest height with a chance of ``CHANCE`` at each cosine; 0, the root, where it is unknown."""
+    """The greatest height with a chance of ``CHANCE`` at each cosine.
+
+    0, the root, where the cosine is unknown or the ranges would hold ``SHARE``
+    of the rows that have nothing to do with the query (cosine 0) anyway.
+    """
     known = np.isfinite(cosine)
     safe = np.where(known, cosine, 0.0)
     low, high = np.zeros(len(safe), int), np.full(len(safe), TREES * BITS)
@@ -86,7 +91,7 @@ def height_for(cosine: np.ndarray) -> np.ndarray:
         middle = (low + high + 1) // 2
         reached = chance(safe, middle) >= CHANCE
         low, high = np.where(reached, middle, low), np.where(reached, high, middle - 1)
-    return np.where(known, low, 0)
+    return np.where(known & (chance(0.0, low) < SHARE), low, 0)
 
 
 class Shard:
