@@ -1,16 +1,19 @@
 """Toxicity by weak supervision.
 
 Voters: words and word beginnings that labelled toxic texts have far more often
-than clean ones (each votes "toxic" where it occurs), a general list of insults,
-and patterns of tone. A generative label model estimates for every voter how
-often it fires in toxic and in clean texts (EM, semi-supervised) and how it is
-correlated with the others given the class; correlated voters share their
-weight. Its posteriors are the targets of a logistic regression on voters,
-counts and density, which scores whole texts.
+than clean ones (each votes "toxic" where it occurs) or far less often (each
+votes "clean"), a general list of insults, patterns of tone, and the silence of
+all others. A generative label model estimates for every voter how often it
+fires in toxic and in clean texts (EM; labels start it and are then one weak
+voter more) and how it is correlated with the others given the class;
+correlated voters share their weight. Its posteriors, not the labels, are the
+targets of a logistic regression on voters, counts and density, which scores
+whole texts.
 
 All fitting is on bounded samples: ``per_class`` labelled texts of each class
-and ``unlabelled`` others, drawn by hash. Scoring keeps nothing but a table of
-at most ``MAX_VOTERS`` terms.
+and ``unlabelled`` others, drawn by hash. ``MAX_VOTERS`` bounds the terms that
+vote "toxic" and ``MAX_CLEAN`` those that vote "clean"; the weakest go first, and
+a text with none but those has no vote. Scoring keeps nothing but that table.
 """
 
 from __future__ import annotations
@@ -26,15 +29,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkrank.llm.common import stored
+from linkrank.session import discard_checkpoint
 
 PER_CLASS, UNLABELLED = 6_000, 4_000
-MAX_VOTERS = 384
+MAX_VOTERS, MAX_CLEAN = 384, 64
 # Of a million terms that tell nothing, less than one reaches this log-likelihood ratio.
 MIN_PRECISION, MIN_RATIO = 0.7, 25.0
 PREFIXES = (4, 5, 6)
 SHARE = 1 << 20
 THRESHOLD = 0.3
-EM_ROUNDS, LABEL_TRUST, SMOOTHING = 8, 0.995, 1.0
+EM_ROUNDS, LABEL_TRUST, SMOOTHING = 8, 0.9, 1.0
 WORD = re.compile(r"[^\W\d_]+")
 
 # Common insults and hostile words.
@@ -73,13 +77,15 @@ def tone(text: str, words: set[str], n: int) -> list[int]:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    voters: list[str]
-    weights: np.ndarray  # of the voters, the tone patterns, any voter, log count, density
+    voters: list[str]  # those that vote "toxic"
+    clean: list[str]  # those that vote "clean"
+    weights: np.ndarray  # of both, the tone patterns, any toxic voter, log count, density
     bias: float
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         """A row for each text, from all of it."""
-        index = {v: i for i, v in enumerate(self.voters)}
+        index = {v: i for i, v in enumerate(self.voters + self.clean)}
+        n_toxic = len(self.voters)
         table = np.zeros((len(texts), len(index) + len(TONE) + 3))
         lengths = sorted({len(v) - 1 for v in index if v.endswith("-")})
         for row, text in zip(table, texts, strict=True):
@@ -90,10 +96,12 @@ class ToxicityModel:
             for word, times in Counter(found).items():
                 fired = False
                 if (i := index.get(word)) is not None:
-                    row[i] = fired = True
+                    row[i] = True
+                    fired = i < n_toxic
                 for n in lengths:
                     if len(word) > n and (i := index.get(word[:n] + "-")) is not None:
-                        row[i] = fired = True
+                        row[i] = True
+                        fired |= i < n_toxic
                 hits += times * fired
             row[len(index) : -3] = tone(text, set(found), len(found))
             row[-3:] = hits > 0, np.log1p(hits), min(1.0, 10 * hits / max(1, len(found)))
@@ -113,8 +121,8 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"term": names, "clean": [counts[0][t] for t in names], "toxic": [counts[1][t] for t in names]})
 
 
-def choose_voters(sample: DataFrame, sizes: dict[int, int]) -> list[str]:
-    """The terms that tell toxic labelled texts best by log-likelihood ratio, most telling first."""
+def choose_voters(sample: DataFrame, sizes: dict[int, int]) -> tuple[list[str], list[str]]:
+    """The terms that tell toxic and clean labelled texts best by log-likelihood ratio, most telling first; ties by term."""
     counts = sample.mapInPandas(_count_terms, "term string, clean long, toxic long").groupBy("term")
     summed = counts.agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     n_clean, n_toxic = sizes[0], sizes[1]
@@ -125,8 +133,11 @@ def choose_voters(sample: DataFrame, sizes: dict[int, int]) -> list[str]:
         lacks = n - F.col(has)
         ratio += F.when(F.col(has) > 0, 2 * F.col(has) * F.log(F.col(has) / (overall * n))).otherwise(0.0)
         ratio += F.when(lacks > 0, 2 * lacks * F.log(lacks / ((1 - overall) * n))).otherwise(0.0)
-    telling = summed.withColumn("ratio", ratio).where((F.col("ratio") >= MIN_RATIO) & (precision >= MIN_PRECISION))
-    return [r["term"] for r in telling.orderBy(F.desc("ratio"), "term").limit(MAX_VOTERS).collect()]
+    telling = stored(summed.withColumns({"ratio": ratio, "precision": precision}).where(F.col("ratio") >= MIN_RATIO))
+    best = lambda side, most: [r["term"] for r in telling.where(side).orderBy(F.desc("ratio"), "term").limit(most).collect()]
+    chosen = best(F.col("precision") >= MIN_PRECISION, MAX_VOTERS), best(F.col("precision") <= 1 - MIN_PRECISION, MAX_CLEAN)
+    discard_checkpoint(telling)
+    return chosen
 
 
 def label_model(votes: np.ndarray, labels: np.ndarray, base_rate: float) -> np.ndarray:
@@ -137,7 +148,9 @@ def label_model(votes: np.ndarray, labels: np.ndarray, base_rate: float) -> np.n
     where all others abstain. The covariances of the voters' residuals within the classes
     give correlations; a voter's log-likelihood ratio is divided by one plus the
     sum of its positive correlations with others, so that a word and its
-    beginning count once. A given label holds with ``LABEL_TRUST``.
+    beginning count once. Labels start the estimates; afterwards a label counts
+    as one more voter that is right with a chance of ``LABEL_TRUST``, whom the
+    others can outvote.
     """
     votes = np.hstack([votes, votes.sum(axis=1, keepdims=True) == 0])
     known = labels >= 0
@@ -158,7 +171,7 @@ def label_model(votes: np.ndarray, labels: np.ndarray, base_rate: float) -> np.n
         discount = 1 + np.where(correlation > 0.1, correlation, 0).sum(axis=1)
         fired = np.log(fire_toxic / fire_clean) / discount
         odds = prior + votes @ fired
-        by_label = np.where(known, np.log(given / (1 - given)) - prior, 0.0)
+        by_label = np.where(known, np.log(given / (1 - given)), 0.0)
         posterior = 1 / (1 + np.exp(-np.clip(odds + by_label, -30, 30)))
         fit = np.ones(len(votes), bool)
     return posterior
@@ -198,7 +211,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     base_rate = sizes.get(1, 0) / max(1, sum(sizes.values()))
     nothing = np.zeros(len(TONE) + 3)
     if len(sizes) < 2:
-        return ToxicityModel([], nothing, 30.0 if base_rate else -30.0)
+        return ToxicityModel([], [], nothing, 30.0 if base_rate else -30.0)
     picked = F.when(F.col("toxic") == 1, _drawn(F.col("doc_id"), min(1.0, per_class / sizes[1]), "labelled")).otherwise(
         _drawn(F.col("doc_id"), min(1.0, per_class / sizes[0]), "labelled")
     )
@@ -207,13 +220,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     sample = stored(texts.join(F.broadcast(ids), "doc_id").select("text", "toxic"))
     drawn = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(drawn) < 2:
-        return ToxicityModel([], nothing, float(np.log(base_rate / (1 - base_rate))))
-    voters = choose_voters(sample, drawn)
+        return ToxicityModel([], [], nothing, float(np.log(base_rate / (1 - base_rate))))
+    voters, clean = choose_voters(sample, drawn)
     total = docs.count()
     others = texts.where(_drawn(F.col("doc_id"), min(1.0, unlabelled / max(1, total)), "unlabelled")).select(
         "text", F.lit(-1).alias("toxic")
     )
-    blank = ToxicityModel(voters, np.zeros(0), 0.0)
+    blank = ToxicityModel(voters, clean, np.zeros(0), 0.0)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -224,11 +237,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     table.sort(key=lambda r: (r["toxic"], r["row"]))
     label = np.array([r["toxic"] for r in table])
     features = np.stack([np.frombuffer(r["row"], "<f4") for r in table]).astype(float)
-    posterior = label_model(features[:, : len(voters) + len(TONE)], label, base_rate)
+    posterior = label_model(features[:, :-3], label, base_rate)
     # The classes were drawn at different rates; weights bring the base rate back.
     share = {1: sizes[1] / drawn[1], 0: sizes[0] / drawn[0], -1: sizes[1] / drawn[1]}
     weights, bias = logistic(features, posterior, np.array([share[k] for k in label]))
-    return ToxicityModel(voters, weights, bias)
+    return ToxicityModel(voters, clean, weights, bias)
 
 
 def toxicity(text: Column, model: ToxicityModel) -> Column:
