@@ -29,7 +29,10 @@ class Shelf:
         self._paths: list[tuple[SparkSession, str]] = []
 
     def stored(self, frame: DataFrame) -> DataFrame:
-        table = stored(frame)
+        return self.taken(stored(frame))
+
+    def taken(self, table: DataFrame) -> DataFrame:
+        """A table that was stored elsewhere and is no longer needed after the result."""
         self._kept.append(table)
         return table
 

@@ -9,11 +9,15 @@
    each other, and ties whose sketches differ too much are cut. The components
    of the ties are groups: two sets at the threshold miss each other's group
    with a chance of about (1 - 0.85**6)**40 = 6e-9.
-4. Within a group, every pair is compared by sketches and every pair that may
-   reach the threshold by its full sets. A large group is split into blocks of
-   ``BLOCK``, and each pair of blocks is a task of its own, so no task holds a
-   group. A task returns a spanning forest of its links, not the links.
-5. Components of these are the result.
+4. Each class is compared with its nearest pivot and up to ``BLOCK`` other classes
+   of that pivot, on full sets. What is linked so far is a part of its group; a
+   group of near copies is mostly one part after that.
+5. Pairs of different parts of a group are compared by sketches. The largest part
+   and the other classes are split into blocks of ``BLOCK``, each pair of blocks
+   but those within the largest part is a task of its own, so no task holds a
+   group. Only classes that may have a link there are sent their texts, and their
+   full sets decide. A task returns a spanning forest of its links, not the links.
+6. Components of all links are the result.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.llm.common import connected_components, stored
+from linkrank.llm.common import Shelf, connected_components, stored
 from linkrank.llm.word_hashes import hash_words, mixed, shingle_set, signed
 
 SHINGLE = 5
@@ -41,6 +45,7 @@ COLUMNS = 4096
 _RANDOM = np.random.default_rng(8)
 FACTORS = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 OFFSETS = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64)
+TASK = "component long, first int, second int, node long, part long, block int, sketch array<long>"
 FEATURES = "doc_id long, digest long, n_shingles long, high long, low long, bands array<long>, sketch array<long>"
 
 
@@ -139,15 +144,22 @@ def _roots(links: np.ndarray) -> np.ndarray:
         label = new
 
 
-def block_links(node: np.ndarray, block: np.ndarray, sketch: list, texts: list[str], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between the rows of one or two blocks."""
-    bits = np.unpackbits(np.array(sketch, np.int64).view(np.uint8).reshape(len(node), -1), axis=1).astype(np.float32)
+def may_link(part: np.ndarray, block: np.ndarray, sketch: list) -> np.ndarray:
+    """Which pairs of rows of one or two blocks lie in different parts and have sketches of a possible link."""
+    bits = np.unpackbits(np.array(sketch, np.int64).view(np.uint8).reshape(len(part), -1), axis=1).astype(np.float32)
     ones = bits.sum(axis=1)
     differing = ones[:, None] + ones[None, :] - 2 * (bits @ bits.T)
-    may = differing <= most_bits(MAY_LINK)
+    may = (differing <= most_bits(MAY_LINK)) & (part[:, None] != part[None, :])
     if len(set(block.tolist())) > 1:
         may &= block[:, None] != block[None, :]  # pairs within a block belong to the task of that block
-    np.fill_diagonal(may, False)
+    return may
+
+
+def block_links(
+    node: np.ndarray, part: np.ndarray, block: np.ndarray, sketch: list, texts: list[str], percent: int
+) -> list[tuple[int, int]]:
+    """A spanning forest of the links between the rows of one or two blocks."""
+    may = may_link(part, block, sketch)
     rows = np.flatnonzero(may.any(axis=1))
     if not len(rows):
         return []
@@ -160,28 +172,115 @@ def block_links(node: np.ndarray, block: np.ndarray, sketch: list, texts: list[s
     return [(int(names[i]), int(names[r])) for i, r in enumerate(root) if r != i]
 
 
+def _tasks(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    for _, task in group.groupby(["component", "first", "second"], sort=False):
+        task = task.drop_duplicates("node")
+        if len(task) > 1:
+            yield task
+
+
 def _linker(percent: int):
     def link(group: pd.DataFrame) -> pd.DataFrame:
         edges: list[tuple[int, int]] = []
-        for _, part in group.groupby(["component", "first", "second"], sort=False):
-            part = part.drop_duplicates("node")
-            if len(part) > 1:
-                edges += block_links(part["node"].to_numpy(), part["block"].to_numpy(), list(part["sketch"]), list(part["text"]), percent)
+        for task in _tasks(group):
+            numbers = (task[c].to_numpy() for c in ("node", "part", "block"))
+            edges += block_links(*numbers, list(task["sketch"]), list(task["text"]), percent)
         return pd.DataFrame(edges, columns=["a", "b"])
 
     return link
 
 
-def _ties(classes: DataFrame) -> DataFrame:
-    """``a, b``: a class and the pivot of a band they share, with sketches that are alike."""
+def _survivors(group: pd.DataFrame) -> pd.DataFrame:
+    """Rows of each task that may have a link in it."""
+    found = [
+        task[may_link(task["part"].to_numpy(), task["block"].to_numpy(), list(task["sketch"])).any(axis=1)]
+        for task in _tasks(group)
+    ]
+    return pd.concat([group.iloc[:0], *found])
+
+
+def _binned(tasks: DataFrame) -> DataFrame:
+    """``tasks`` with a ``bin`` for each of its tasks, about ``BIN_ROWS`` rows in each bin."""
+    bins = max(1, tasks.count() // BIN_ROWS)
+    return tasks.withColumn("bin", F.pmod(F.xxhash64("component", "first", "second"), F.lit(bins)))
+
+
+def _links(shelf: Shelf, tasks: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: links found by ``tasks`` of ``component, first, second, node, part, block, sketch``."""
+    texts = rows.select(F.col("doc_id").alias("id"), F.col("digest").alias("of_text"), "text")
+    of_class = classes.select("node", "doc_id", "digest")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of_text"))
+    with_text = _binned(tasks).join(of_class, "node").join(texts, same).drop("doc_id", "digest", "id", "of_text")
+    return shelf.stored(with_text.groupBy("bin").applyInPandas(_linker(percent), "a long, b long"))
+
+
+def _pivots(shelf: Shelf, classes: DataFrame, ties: DataFrame) -> DataFrame:
+    """Tasks that compare each class with its nearest pivot and others of that pivot."""
+    nearest = ties.groupBy(F.col("a").alias("node")).agg(F.min(F.struct("differing", F.col("b").alias("pivot"))).alias("n"))
+    near = nearest.select("node", F.col("n.pivot").alias("component"))
+    sizes = near.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    others = near.join(sizes, "component").select(
+        "component", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("first"), "node"
+    )
+    itself = sizes.select(
+        "component", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("first"), F.col("component").alias("node")
+    )
+    tasks = others.unionByName(itself).join(classes.select("node", "sketch"), "node")
+    first = F.col("first")
+    return shelf.stored(
+        tasks.select("component", "first", first.alias("second"), "node", F.col("node").alias("part"), first.alias("block"), "sketch")
+    )
+
+
+def _across_parts(shelf: Shelf, classes: DataFrame, groups: DataFrame, linked: DataFrame) -> DataFrame:
+    """Tasks that compare the classes of different parts of a group, with the rows that may have a link there.
+
+    The largest part has blocks of its own, after those of all others: pairs
+    within it need no task. A group of one part gives no tasks at all.
+    """
+    parts = groups.join(linked.withColumnRenamed("component", "of_part"), "node", "left").select(
+        "component", "node", F.coalesce("of_part", "node").alias("part")
+    )
+    counts = parts.groupBy("component", "part").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.groupBy("component").agg(
+        F.max(F.struct("n", "part")).alias("main"), (F.sum("n") - F.max("n")).alias("n_others")
+    )
+    sizes = sizes.where("n_others > 0").select(
+        "component",
+        F.col("main.part").alias("main"),
+        F.ceil(F.col("main.n") / BLOCK).cast("int").alias("main_blocks"),
+        F.ceil(F.col("n_others") / BLOCK).cast("int").alias("blocks"),
+    )
+    in_main = F.col("part") == F.col("main")
+    placed = parts.join(sizes, "component").join(classes.select("node", "sketch"), "node")
+    placed = placed.withColumn(
+        "block",
+        F.when(in_main, F.col("blocks") + F.pmod(F.xxhash64("node"), F.col("main_blocks")))
+        .otherwise(F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .cast("int"),
+    )
+    last = F.when(in_main, F.col("blocks")).otherwise(F.col("blocks") + F.col("main_blocks")) - 1
+    members = placed.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    tasks = shelf.stored(
+        members.select(
+            "component", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"),
+            "node", "part", "block", "sketch",
+        )
+    )
+    return shelf.stored(_binned(tasks).groupBy("bin").applyInPandas(_survivors, f"{TASK}, bin long").drop("bin"))
+
+
+def _ties(shelf: Shelf, classes: DataFrame) -> DataFrame:
+    """``a, b, differing``: a class and the pivot of a band they share, with sketches that are alike."""
     keyed = classes.select("node", F.explode("bands").alias("band"))
     pivots = keyed.groupBy("band").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = stored(keyed.join(pivots, "band").where("node <> pivot").select("node", "pivot").distinct())
+    pairs = shelf.stored(keyed.join(pivots, "band").where("node <> pivot").select("node", "pivot").distinct())
     sketches = classes.select("node", "sketch")
     of_pivot = sketches.select(F.col("node").alias("pivot"), F.col("sketch").alias("other"))
     differing = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other")[i])) for i in range(BITS // 64)), F.lit(0))
-    alike = pairs.join(sketches, "node").join(of_pivot, "pivot").where(differing <= most_bits(TIE))
-    return alike.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    alike = pairs.join(sketches, "node").join(of_pivot, "pivot").withColumn("differing", differing)
+    alike = alike.where(F.col("differing") <= most_bits(TIE))
+    return shelf.stored(alike.select(F.col("node").alias("a"), F.col("pivot").alias("b"), "differing"))
 
 
 def components(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -193,43 +292,34 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     if percent < LEAST_PERCENT:
         raise ValueError(f"percent is {percent}; bands and sketches are made for {LEAST_PERCENT} or more")
+    shelf = Shelf()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
-    features = stored(rows.mapInPandas(_features, FEATURES))
+    features = shelf.stored(rows.mapInPandas(_features, FEATURES))
     named = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
     grouped = (
         features.where("n_shingles > 0")
         .groupBy("high", "low", "n_shingles")
         .agg(F.min(named).alias("first"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     )
-    classes = stored(
+    classes = shelf.stored(
         grouped.select("high", "low", "n_shingles", "first.doc_id", "first.digest", "bands", "sketch").withColumn(
             "node", F.monotonically_increasing_id()
         )
     )
-    groups = connected_components(_ties(classes))
-    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    placed = (
-        groups.join(sizes, "component")
-        .join(classes.select("node", "doc_id", "digest", "sketch"), "node")
-        .withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    members = stored(placed.select("component", "node", "doc_id", "digest", "sketch", "block", other.alias("other")))
-    bins = max(1, members.count() // BIN_ROWS)
-    texts = rows.select(F.col("doc_id").alias("id"), F.col("digest").alias("of_text"), "text")
-    with_text = members.join(texts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of_text")))
-    tasks = with_text.select(
-        "component", "node", "sketch", "block", "text", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second")
-    ).withColumn("bin", F.pmod(F.xxhash64("component", "first", "second"), F.lit(bins)))
-    links = stored(tasks.groupBy("bin").applyInPandas(_linker(percent), "a long, b long"))
-    linked = connected_components(links)
+    ties = _ties(shelf, classes)
+    pairs = _links(shelf, _pivots(shelf, classes, ties), classes, rows, percent)
+    linked = shelf.taken(connected_components(pairs))
+    groups = shelf.taken(connected_components(ties.select("a", "b")))
+    across = _across_parts(shelf, classes, groups, linked)
+    if not across.isEmpty():
+        known = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        more = _links(shelf, across, classes, rows, percent)
+        linked = shelf.taken(connected_components(known.unionByName(more)))
     result = classes.select("node", "high", "low", "n_shingles", F.col("doc_id").alias("smallest"))
     reached = linked.join(result, "node").groupBy("component").agg(F.min("smallest").alias("component_id"))
     by_node = linked.join(reached, "component").select("node", "component", "component_id")
     alone = F.col("component").isNull()
-    final = stored(
+    final = shelf.stored(
         result.join(by_node, "node", "left").select(
             "high",
             "low",
@@ -240,7 +330,7 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     named_rows = features.select("doc_id", "digest", "high", "low", "n_shingles").join(final, ["high", "low", "n_shingles"], "left")
     component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return named_rows.select("doc_id", "digest", "n_shingles", "component", component_id.alias("component_id"))
+    return shelf.last(named_rows.select("doc_id", "digest", "n_shingles", "component", component_id.alias("component_id")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:

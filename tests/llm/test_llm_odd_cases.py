@@ -365,6 +365,30 @@ def test_near_duplicates_in_small_blocks(spark, monkeypatch):
     assert {(r.doc_id, r.component_id) for r in got} == {(i, want[i, t][1]) for i, t in rows}
 
 
+def test_parts_of_a_group_meet(spark, monkeypatch):
+    """Chains of near copies and a large group of them, where only classes of different parts are compared a second time."""
+    rng = np.random.default_rng(8)
+    rows, sent = [], []
+    for family in range(4):
+        words = [f"f{family}_{i}" for i in range(200)]
+        for i in range(60):
+            words = list(words) if i % 2 else [f"f{family}_{j}" if j % 3 else w for j, w in enumerate(words)]
+            for at in rng.choice(200, 2, replace=False):
+                words[at] = f"n{family}_{i}_{at}"
+            rows.append((family * 100 + i, " ".join(words)))
+    base = [f"b{i}" for i in range(300)]
+    rows += [(1000 + i, " ".join(base[:i] + [f"y{i}"] + base[i + 1 :])) for i in range(200)]
+    monkeypatch.setattr(odd_sketch, "BLOCK", 16)
+    find = odd_sketch._across_parts
+    monkeypatch.setattr(odd_sketch, "_across_parts", lambda *a: sent.append(find(*a)) or sent[-1])
+    monkeypatch.setattr(odd_sketch.Shelf, "last", lambda shelf, frame: frame)  # the tables are looked at below
+    found = odd_sketch.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = brute.components(rows)
+    assert {(r.doc_id, r.component_id) for r in found.collect()} == {(i, want[i, t][1]) for i, t in rows}
+    tasks = sent[0].groupBy("component", "first", "second").agg(F.count("node").alias("n"), F.countDistinct("part").alias("parts"))
+    assert all(r.parts > 1 for r in tasks.collect())
+
+
 @pytest.mark.parametrize("operator", [odd_sketch.near_duplicates, odd_sketch.without_duplicates])
 def test_no_percent_below_what_the_sketches_are_made_for(odd_docs, operator):
     with pytest.raises(ValueError):
