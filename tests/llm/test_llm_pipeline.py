@@ -3,6 +3,7 @@
 import brute
 import corpus_pipeline
 from linkrank.llm import bm25_wand
+from linkrank.llm.common import stored
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -13,7 +14,7 @@ def test_stages(spark):
     assert names == ["toxicity", "near_duplicates", "benchmark_decontamination", "source_mix", "sharding"]
     tables = {"": docs}
     for name, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, SMALL).cache()
+        docs = stored(stage(spark, docs, SMALL))
         tables[name] = docs
     assert all(tables[n].columns == columns for n in names[:-1])
     rows = {n: [(r.doc_id, r.text) for r in t.collect()] for n, t in tables.items() if n != "sharding"}
@@ -34,7 +35,19 @@ def test_run(spark):
 
 
 def test_odd_documents_pass_through(spark, odd_docs, no_docs):
-    for docs in (odd_docs, no_docs):
-        for _, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, SMALL)
-        docs.collect()
+    for given in (odd_docs, no_docs):
+        docs, kept = given, None
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stored(stage(spark, docs, SMALL))
+            rows = [(r.doc_id, r.text) for r in docs.collect()] if name != "sharding" else docs.collect()
+            if name == "sharding":
+                assert len(rows) == len(kept)
+                continue
+            assert docs.columns == given.columns
+            if kept is not None:
+                assert set(rows) <= set(kept)
+            if name == "near_duplicates":
+                assert len(rows) == len(set(rows))  # a repeated row is one document here
+            kept = rows
+        if given is no_docs:
+            assert not rows
