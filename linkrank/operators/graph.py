@@ -17,7 +17,7 @@ contributions; the links, by far the largest table, stay where they are.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from enum import Enum
 
 from pyspark.sql import DataFrame
@@ -31,6 +31,8 @@ MIN_HOT_LINKS = 100_000
 # Tables of hot sources are broadcast up to this size, measured on their rows.
 MAX_BROADCAST_BYTES = 8 << 20
 ROW_BYTES = 32  # besides the page itself
+# Links that can still pass something on are stored anew if they are at most this share of all.
+LIVE_SHARE = 0.8
 HASH_DIGITS = 15  # of the md5 that puts a target into a block; 60 bits fit a BIGINT
 
 
@@ -71,6 +73,10 @@ class LinkGraph:
     salted: bool
     stored: tuple[DataFrame, ...] = ()
     durable: bool = False
+    # Checkpoints below the stored tables.
+    written: tuple[DataFrame, ...] = ()
+    # Rank of a source that a rank table lacks.
+    unreached: float = 0.0
 
     @property
     def kept(self) -> bool:
@@ -80,13 +86,13 @@ class LinkGraph:
         """``sources`` with a ``pagerank`` column.
 
         Without a rank table every source has the start rank 1. Sources the
-        table lacks get rank 0, or are left out if not ``keep_unranked``.
+        table lacks get the rank ``unreached``, or are left out if not ``keep_unranked``.
         """
         if ranks is None:
             return self.sources.withColumn("pagerank", F.lit(1.0))
         how = "left" if keep_unranked else "inner"
         joined = self.with_page_layout(ranks.select("page", "pagerank"), how)
-        return joined.withColumn("pagerank", F.coalesce("pagerank", F.lit(0.0)))
+        return joined.withColumn("pagerank", F.coalesce("pagerank", F.lit(self.unreached)))
 
     def with_page_layout(self, pages: DataFrame, how: str) -> DataFrame:
         """Join ``sources`` (left side) with a per-page table, on the page."""
@@ -123,13 +129,39 @@ class LinkGraph:
         others = [c for c in rows.columns if c not in ("source", "neighbours")]
         return rows.select("source", F.explode("neighbours").alias("link"), *others).select("source", "link.target", *others)
 
+    def leaving(self, reached: DataFrame, unreached: float) -> LinkGraph | None:
+        """The part of a kept graph whose links leave pages of ``reached``, or None if that is most of it.
+
+        ``reached`` holds ``page`` in the layout of ``sources``, so nothing is moved
+        but the keys of salted links. The part is a checkpoint, so nothing leads back to
+        the links of the graph, which are given up; if not ``durable`` it is also kept in memory.
+        """
+        pages = reached.select("page").hint("merge")
+        sources = self.sources.join(pages, "page", "left_semi")
+        count = F.coalesce(F.sum("links"), F.lit(0)).alias("links")
+        if sources.agg(count).first()[0] > LIVE_SHARE * self.sources.agg(count).first()[0]:
+            return None
+        sources = checkpoint_in_place(sources)
+        links = checkpoint_in_place(self.links.join(self.keyed(sources.select("page", "salts")), self.keys, "left_semi"))
+        _give_up(self.stored[1:], self.durable)
+        written = (sources, links)
+        if not self.durable:
+            sources, links = sources.persist(), links.persist()
+        return replace(self, sources=sources, links=links, stored=(sources, links), written=written, unreached=unreached)
+
     def release(self) -> None:
         """Give up the stored tables."""
-        for table in self.stored:
-            if self.durable:
-                discard_checkpoint(table)
-            else:
-                table.unpersist()
+        _give_up(self.stored, self.durable)
+        for table in self.written:
+            discard_checkpoint(table)
+
+
+def _give_up(tables: tuple[DataFrame, ...], durable: bool) -> None:
+    for table in tables:
+        if durable:
+            discard_checkpoint(table)
+        else:
+            table.unpersist()
 
 
 def prepare_graph(

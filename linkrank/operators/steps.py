@@ -48,9 +48,14 @@ def sum_contributions(contributions: DataFrame) -> DataFrame:
     return contributions.groupBy("target").agg(F.sum("contribution").alias("sum_contributions"))
 
 
-def ranks_from_shares(graph: LinkGraph, shares: DataFrame, damping: float) -> DataFrame:
-    """``page, pagerank`` of every page that is the target of a link of a page in ``shares``."""
-    totals = sum_contributions(graph.along_links(shares))
+def ranks_from_shares(
+    graph: LinkGraph, shares: DataFrame, damping: float, reached: DataFrame | None = None
+) -> DataFrame:
+    """``page, pagerank`` of every page that is the target of a link of a page in ``shares``, or is in ``reached``."""
+    passed = graph.along_links(shares).select("target", "contribution")
+    if reached is not None:
+        passed = passed.unionByName(reached.select(F.col("page").alias("target"), F.lit(0.0).alias("contribution")))
+    totals = sum_contributions(passed)
     return totals.select(
         F.col("target").alias("page"),
         damped(F.col("sum_contributions"), damping).alias("pagerank"),

@@ -68,6 +68,12 @@ def pagerank(
     the layout of the links, so the next step joins it as it lies. The files of
     a checkpoint are removed once the next one is there.
 
+    Pages nobody links to pass something on in the first step alone: from then on
+    they have rank 0 or are gone. So the pages of the first step are a checkpoint
+    too, and later steps join only the links that leave these pages
+    (``LinkGraph.leaving``). What lies in the rank table of the last step is that of the
+    first under ``ROWS_ZERO``, whose targets always are all targets.
+
     ``on_step(step, pages)`` is called after each step with the number of pages in
     the rank table. If pages can drop out, each step is a checkpoint, and an
     ``Observation`` counts its rows in the job that writes it. If a task of it ran
@@ -104,10 +110,11 @@ def pagerank(
         old: DataFrame | None = None
         pages: int | None = None
         counted = CountedSteps(on_step) if on_step and not keeps else None
+        live, reached = graph, None
         try:
             ranks, shares = None, page_shares(graph, None, keeps)
             for step in range(1, iterations + 1):
-                ranks = ranks_from_shares(graph, shares, damping)
+                ranks = ranks_from_shares(live, shares, damping, reached if step == iterations else None)
                 if on_step and keeps:
                     # The targets of links never change, nor do the sources.
                     pages = pages or _page_table(graph, ranks, semantics).count()
@@ -116,22 +123,29 @@ def pagerank(
                     # Written as a whole: a merge join need not read all rows of a side.
                     ranks = checkpoint_in_place(counted.watch(step, ranks))
                     counted.report()
-                shares = page_shares(graph, ranks, keeps)
                 fresh = ranks if counted else None
+                if step == 1 and iterations > 1:
+                    fresh = ranks = ranks if counted else checkpoint_in_place(ranks)
+                    live = graph.leaving(ranks, 1 - damping) or graph
+                    reached = ranks if keeps and live is not graph else None
+                shares = page_shares(live, ranks, keeps)
                 if not counted and step % checkpoint_every == 0 and step < iterations:
                     fresh = shares = checkpoint_in_place(shares)
                 if fresh is not None:
-                    if old is not None:
+                    if old is not None and old is not reached:
                         discard_checkpoint(old)
                     old = fresh
             result = _page_table(graph, ranks, semantics)
             if num_partitions and num_partitions != graph.width:
                 result = result.repartition(num_partitions, "page")
             result = result.checkpoint()
-            if old is not None:
-                discard_checkpoint(old)
+            for table in (old, reached):
+                if table is not None:
+                    discard_checkpoint(table)
             return result
         finally:
+            if live is not graph:
+                live.release()
             graph.release()
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkrank import RankSemantics, pagerank, pagerank_progress
 from linkrank.functions import md5_bucket
-from linkrank.operators import DegreeRule, PageNumbers, adjacency, numbering, partition_sizes, place_by_bucket, prepare_graph, rank_step
+from linkrank.operators import DegreeRule, LinkGraph, PageNumbers, adjacency, numbering, partition_sizes, place_by_bucket, prepare_graph, rank_step
 from linkrank.operators.progress import CountedSteps
 from linkrank.operators.steps import page_shares, ranks_from_shares
 from linkrank.session import checkpoint_in_place, shuffle_width
@@ -357,3 +357,28 @@ def test_single_pass_runs_no_job(spark, orders):
         assert not tracker.getJobIdsForGroup("single pass")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+# 300 pages that nobody links to, a ring they link into, a page without links behind it, and NULL ends.
+LEAVES = [(f"s{i}", f"r{i % 10}") for i in range(300)] + [(f"r{i}", f"r{(i + 1) % 10}") for i in range(10)]
+LEAVES += [("r0", "end"), ("s1", None), (None, "r1"), ("s2", "x"), ("x", "y")]
+
+
+@pytest.mark.parametrize("options", [{}, {"durable": True}, {"block_size": 2}, {"numbered": True}, {"hot_links": 1}])
+def test_later_steps_join_links_of_reached_pages_alone(spark, monkeypatch, options):
+    """Links of pages nobody links to are joined once, and ranks are those of the plain loop."""
+    df = spark.createDataFrame(LEAVES, "source STRING, target STRING")
+    joined, along = [], LinkGraph.along_links
+
+    def counted(graph, pages):
+        rows = graph.links
+        joined.append(rows.agg(F.sum(F.size("neighbours"))).first()[0] if "neighbours" in rows.columns else rows.count())
+        return along(graph, pages)
+
+    monkeypatch.setattr(LinkGraph, "along_links", counted)
+    for semantics in RankSemantics:
+        joined.clear()
+        got = pagerank(df, 4, semantics=semantics, **options).where("page IS NOT NULL")
+        want = {p: r for p, r in plain_pagerank(LEAVES, 4, 0.85, semantics).items() if p is not None}
+        assert as_dict(got) == pytest.approx(want, abs=1e-9)
+        assert joined[0] >= 313 and set(joined[1:]) == {12}
