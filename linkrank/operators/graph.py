@@ -32,7 +32,7 @@ MIN_HOT_LINKS = 100_000
 MAX_BROADCAST_BYTES = 8 << 20
 ROW_BYTES = 32  # besides the page itself
 # Links that can still pass something on are stored anew if they are at most this share of all.
-LIVE_SHARE = 0.8
+LIVE_SHARE = 0.3
 HASH_DIGITS = 15  # of the md5 that puts a target into a block; 60 bits fit a BIGINT
 
 
