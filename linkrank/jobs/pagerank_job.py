@@ -61,6 +61,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         edges = read_triples_text(spark, args.input, rejected)
     fit_width(edges, args.num_partitions)
+    edges = edges.persist()  # laying out the links reads them twice
     steps: list[int] = []
 
     def show_step(step: int, pages: int) -> None:
@@ -77,6 +78,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         hot_links=args.hot_links,
         on_step=show_step if args.progress else None,
     )
+    edges.unpersist()
     write_ranks(ranks, args.output, layout, mode, args.strip_brackets)
     if rows_zero:
         top_k(ranks, args.top).show(args.top, truncate=False)

@@ -6,7 +6,8 @@ A prepared graph is two tables:
   salts``;
 * ``links``: the distinct links - ``source, target`` and, if some source is
   too large for one partition, ``salt``; or, as adjacency blocks, ``source``,
-  ``salt`` and the list ``neighbours`` of the links of a block.
+  ``salt`` and the list ``neighbours`` of the links of a block. Without hubs
+  they are stored as ``lists``, one row per source, and come out of it.
 
 Kept in memory or on disk, or in the reliable folder, both are hash-partitioned and sorted by page with
 the same number of partitions. A rank table that comes out of an aggregation
@@ -23,7 +24,7 @@ from enum import Enum
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.session import checkpoint_in_place, default_width, discard_checkpoint, ensure_checkpoint_dir
+from linkrank.session import checkpoint_in_place, default_width, discard_checkpoint, ensure_checkpoint_dir, keep_in_place
 
 # A source is never called hot below this many links: that many rows are an
 # ordinary partition. Concerns the layout only; ranks do not depend on it.
@@ -33,6 +34,9 @@ MAX_BROADCAST_BYTES = 8 << 20
 ROW_BYTES = 32  # besides the page itself
 # Links that can still pass something on are stored anew if they are at most this share of all.
 LIVE_SHARE = 0.3
+# Rows are dealt by their source alone if no partition gets more than this many times the mean.
+EVEN_SHARE = 2
+PLAIN_TYPES = {"string", "bigint", "int", "smallint", "tinyint"}
 HASH_DIGITS = 15  # of the md5 that puts a target into a block; 60 bits fit a BIGINT
 
 
@@ -77,6 +81,8 @@ class LinkGraph:
     written: tuple[DataFrame, ...] = ()
     # Rank of a source that a rank table lacks.
     unreached: float = 0.0
+    # ``source, targets``: all links of a source in a row, from which ``links`` come.
+    lists: DataFrame | None = None
 
     @property
     def kept(self) -> bool:
@@ -123,6 +129,10 @@ class LinkGraph:
 
     def along_links(self, pages: DataFrame) -> DataFrame:
         """Every link with the columns of the page it leaves (inner join); links of a block come out of its row."""
+        if self.lists is not None:
+            rows = self.lists.join(self.keyed(pages), "source")
+            others = [c for c in rows.columns if c not in ("source", "targets")]
+            return rows.select("source", F.explode("targets").alias("target"), *others)
         rows = self.links.join(self.keyed(pages), self.keys).drop("salt")
         if "neighbours" not in rows.columns:
             return rows
@@ -142,12 +152,14 @@ class LinkGraph:
         if sources.agg(count).first()[0] > LIVE_SHARE * self.sources.agg(count).first()[0]:
             return None
         sources = checkpoint_in_place(sources)
-        links = checkpoint_in_place(self.links.join(self.keyed(sources.select("page", "salts")), self.keys, "left_semi"))
+        links = self.links if self.lists is None else self.lists
+        links = checkpoint_in_place(links.join(self.keyed(sources.select("page", "salts")), self.keys, "left_semi"))
         _give_up(self.stored[1:], self.durable)
         written = (sources, links)
         if not self.durable:
             sources, links = sources.persist(), links.persist()
-        return replace(self, sources=sources, links=links, stored=(sources, links), written=written, unreached=unreached)
+        part = replace(self, sources=sources, links=links, stored=(sources, links), written=written, unreached=unreached)
+        return part if self.lists is None else replace(part, links=_listed(links), lists=links)
 
     def release(self) -> None:
         """Give up the stored tables."""
@@ -190,6 +202,11 @@ def prepare_graph(
     neighbours on average at most, by the same salt as hot links, and lies by
     page and block. For one exchange per step, jobs on a kept graph run
     with its width as that of shuffles (``session.shuffle_width``).
+
+    A kept graph without ``hot_links`` and ``block_size`` reads the input twice: the
+    first pass counts the rows that each partition would get by a hash of
+    the source. Unless a hub makes one of them large, rows are moved once, by
+    their source. Persist an input that is slow to read.
     """
     for name, value in (("num_partitions", num_partitions), ("hot_links", hot_links), ("block_size", block_size)):
         if value is not None and value < 1:
@@ -201,6 +218,13 @@ def prepare_graph(
     if rule is DegreeRule.DISTINCT:
         edges = edges.where("source IS NOT NULL AND target IS NOT NULL")
 
+    # Other types have values that are equal and differ, such as 0.0 and -0.0.
+    plain = {kind for _, kind in edges.dtypes} <= PLAIN_TYPES
+    if keep and plain and not hot_links and not block_size:
+        even = _even_width(edges, width)
+        if even:
+            return _dealt_by_source(edges, rule, even, durable)
+
     # One pass gives distinct links and row counts. Hashing both ends keeps a
     # hub's links apart, and copies of one row are counted before the shuffle.
     pairs = edges.groupBy("source", "target").agg(F.count(F.lit(1)).alias("copies"))
@@ -242,6 +266,42 @@ def prepare_graph(
     return LinkGraph(laid_out, links, width, salted, (sources, links) if keep else (), durable)
 
 
+def _even_width(edges: DataFrame, width: int) -> int | None:
+    """The number of partitions, if a hash of the source deals the rows evenly."""
+    least = default_width(edges.sparkSession)
+    while True:
+        # The hash is that of ``repartition``, so this counts its partitions.
+        dealt = edges.groupBy(F.pmod(F.hash("source"), F.lit(width)).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
+        sizes = dealt.agg(F.sum("rows").alias("rows"), F.max("rows").alias("largest")).first()
+        rows = sizes.rows or 0
+        fitting = min(width, max(least, math.ceil(rows / MIN_HOT_LINKS)))
+        if fitting == width:
+            return width if (sizes.largest or 0) <= max(MIN_HOT_LINKS, EVEN_SHARE * rows / width) else None
+        width = fitting
+
+
+def _listed(lists: DataFrame) -> DataFrame:
+    return lists.select("source", F.explode("targets").alias("target"))
+
+
+def _dealt_by_source(edges: DataFrame, rule: DegreeRule, width: int, durable: bool) -> LinkGraph:
+    """The kept graph of rows without hubs: moved and sorted once, and grouped as they lie."""
+    keep_table = checkpoint_in_place if durable else keep_in_place
+    rows = edges.repartition(width, "source").sortWithinPartitions("source")
+    # Sets leave out NULL.
+    targets, null = F.collect_set("target"), F.lit(None).cast(edges.schema["target"].dataType)
+    targets = F.when(F.count_if(F.col("target").isNull()) > 0, F.array_append(targets, null)).otherwise(targets)
+    grouped = rows.groupBy("source").agg(targets.alias("targets"), F.count(F.lit(1)).alias("rows"))
+    stored = keep_table(grouped.sortWithinPartitions("source"))
+    count = F.size("targets").cast("bigint")
+    degree = F.col("rows") if rule is DegreeRule.ROWS else count
+    sources = keep_table(stored.select(F.col("source").alias("page"), degree.alias("degree"), count.alias("links")))
+    sources.count()
+    lists = stored.select("source", "targets").where("source IS NOT NULL")
+    laid_out = sources.withColumn("salts", F.lit(1).cast("bigint"))
+    return LinkGraph(laid_out, _listed(lists), width, False, (sources, stored), durable, lists=lists)
+
+
 def broadcast_size(table: DataFrame, page: str) -> int:
     """Bytes that a table of one row per page takes, from its rows."""
     size = F.octet_length(F.col(page).cast("string")) + F.lit(ROW_BYTES)

@@ -1,5 +1,5 @@
 """The iterative ranking."""
 
-from linkrank.plans.pagerank import RankSemantics, pagerank, pagerank_progress
+from linkrank.plans.pagerank import RankSemantics, pagerank, pagerank_after, pagerank_progress
 
-__all__ = ["RankSemantics", "pagerank", "pagerank_progress"]
+__all__ = ["RankSemantics", "pagerank", "pagerank_after", "pagerank_progress"]

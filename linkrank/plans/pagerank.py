@@ -14,7 +14,7 @@ nothing on, and nothing is normalised.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from enum import Enum
 
 from pyspark.sql import DataFrame
@@ -86,23 +86,49 @@ def pagerank(
     and ``durable``. ``numbered`` replaces pages by numbers for the steps. None
     of them changes ranks.
     """
-    if isinstance(iterations, bool) or not isinstance(iterations, int) or iterations < 0:
+    return pagerank_after(edges, (iterations,), damping, semantics, num_partitions, checkpoint_every, hot_links, on_step, numbered, block_size, durable)[0]
+
+
+def pagerank_after(
+    edges: DataFrame,
+    steps: Collection[int],
+    damping: float = 0.85,
+    semantics: RankSemantics = RankSemantics.ROWS_ZERO,
+    num_partitions: int | None = None,
+    checkpoint_every: int = 2,
+    hot_links: int | None = None,
+    on_step: Callable[[int, int], None] | None = None,
+    numbered: bool = False,
+    block_size: int | None = None,
+    durable: bool = False,
+) -> list[DataFrame]:
+    """The rank tables after each of several numbers of ``steps``, ascending, from one run.
+
+    Each is what ``pagerank()`` returns for that number; the other options are its own.
+    """
+    steps = list(steps)
+    if not steps or any(isinstance(n, bool) or not isinstance(n, int) or n < 0 for n in steps):
         raise ValueError("iterations must be a whole number, 0 or more")
     if not 0 <= damping <= 1:
         raise ValueError("damping must lie between 0 and 1")
     if checkpoint_every < 1:
         raise ValueError("checkpoint_every must be 1 or more")
     ensure_checkpoint_dir(edges.sparkSession)
+    wanted = sorted(set(steps))
+    iterations = wanted[-1]
 
     if numbered:
         numbers = PageNumbers(edges, num_partitions)
-        links = numbers.links(edges)
-        plain = pagerank(links, iterations, damping, semantics, num_partitions, checkpoint_every, hot_links, on_step, False, block_size, durable)
-        named = numbers.names(plain).select("page", "pagerank", "out_degree")
-        result = (named.repartition(num_partitions, "page") if num_partitions else named).checkpoint()
-        discard_checkpoint(plain)
+        links = numbers.links(edges).persist()
+        plain = pagerank_after(links, wanted, damping, semantics, num_partitions, checkpoint_every, hot_links, on_step, False, block_size, durable)
+        links.unpersist()
+        results = []
+        for ranks in plain:
+            named = numbers.names(ranks).select("page", "pagerank", "out_degree")
+            results.append((named.repartition(num_partitions, "page") if num_partitions else named).checkpoint())
+            discard_checkpoint(ranks)
         numbers.release()
-        return result
+        return results
     spark = edges.sparkSession
     keeps = semantics.keeps_unreached
     graph = prepare_graph(edges, semantics.degree_rule, num_partitions, hot_links, block_size=block_size, durable=durable)
@@ -111,10 +137,18 @@ def pagerank(
         pages: int | None = None
         counted = CountedSteps(on_step) if on_step and not keeps else None
         live, reached = graph, None
+
+        def result(ranks: DataFrame | None) -> DataFrame:
+            table = _page_table(graph, ranks, semantics)
+            if num_partitions and num_partitions != graph.width:
+                table = table.repartition(num_partitions, "page")
+            return table.checkpoint()
+
         try:
+            results = [result(None)] if wanted[0] == 0 else []
             ranks, shares = None, page_shares(graph, None, keeps)
             for step in range(1, iterations + 1):
-                ranks = ranks_from_shares(live, shares, damping, reached if step == iterations else None)
+                ranks = ranks_from_shares(live, shares, damping, reached if step in wanted else None)
                 if on_step and keeps:
                     # The targets of links never change, nor do the sources.
                     pages = pages or _page_table(graph, ranks, semantics).count()
@@ -128,6 +162,8 @@ def pagerank(
                     fresh = ranks = ranks if counted else checkpoint_in_place(ranks)
                     live = graph.leaving(ranks, 1 - damping) or graph
                     reached = ranks if keeps and live is not graph else None
+                if step in wanted:
+                    results.append(result(ranks))
                 shares = page_shares(live, ranks, keeps)
                 if not counted and step % checkpoint_every == 0 and step < iterations:
                     fresh = shares = checkpoint_in_place(shares)
@@ -135,14 +171,10 @@ def pagerank(
                     if old is not None and old is not reached:
                         discard_checkpoint(old)
                     old = fresh
-            result = _page_table(graph, ranks, semantics)
-            if num_partitions and num_partitions != graph.width:
-                result = result.repartition(num_partitions, "page")
-            result = result.checkpoint()
             for table in (old, reached):
                 if table is not None:
                     discard_checkpoint(table)
-            return result
+            return results
         finally:
             if live is not graph:
                 live.release()

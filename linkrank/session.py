@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 WIDTH_SETTING = "spark.sql.shuffle.partitions"
 INITIAL_WIDTH_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# Plans as they are written; sorted rows are grouped as they lie, without a hash table.
+IN_PLACE = {"spark.sql.adaptive.enabled": "false", "spark.sql.execution.replaceHashWithSortAgg": "true"}
 _scratch: list[str] = []
 
 
@@ -112,10 +114,16 @@ def checkpoint_in_place(table: DataFrame) -> DataFrame:
     Adaptive execution may change both while a job runs, so its checkpoints
     count as laid out in no way. The setting is read when the job starts.
     """
-    with _settings(table.sparkSession, {"spark.sql.adaptive.enabled": "false"}):
+    with _settings(table.sparkSession, IN_PLACE):
         return table.checkpoint()
 
 
+def keep_in_place(table: DataFrame) -> DataFrame:
+    """``table.persist()`` that keeps the partitioning and order of the plan."""
+    with _settings(table.sparkSession, IN_PLACE):
+        return table.persist()
+
+
 def fit_width(table: DataFrame, wanted: int | None = None) -> int:
     """Set the shuffle width of the session for work on ``table``; returns it.
 

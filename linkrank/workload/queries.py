@@ -34,7 +34,7 @@ from linkrank.operators import (
     sum_contributions,
     top_k,
 )
-from linkrank.plans import RankSemantics, pagerank, pagerank_progress
+from linkrank.plans import RankSemantics, pagerank, pagerank_after, pagerank_progress
 from linkrank.session import default_width, scratch_path
 from linkrank.sinks import CSV, TEXT, URL, write_ranks
 from linkrank.sources import (
@@ -367,8 +367,8 @@ def _overwritten(sql: str, layout: str) -> Query:
 
     def run(spark, sf_dir):
         path = scratch_path(spark, layout)
-        write_ranks(_ranks(sql, iterations=1)(spark, sf_dir), path, layout, mode="overwrite")
-        write_ranks(_ranks(sql)(spark, sf_dir), path, layout, mode="overwrite")
+        for ranks in pagerank_after(_relation(spark, sf_dir, sql), (1, 10)):
+            write_ranks(ranks, path, layout, mode="overwrite")
         return _rounded(read_ranks(spark, path, layout))
 
     return run

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from linkrank import RankSemantics, pagerank, pagerank_progress
 from linkrank.functions import md5_bucket
+from linkrank.operators import graph as graph_module
 from linkrank.operators import DegreeRule, LinkGraph, PageNumbers, adjacency, numbering, partition_sizes, place_by_bucket, prepare_graph, rank_step
 from linkrank.operators.progress import CountedSteps
 from linkrank.operators.steps import page_shares, ranks_from_shares
+from linkrank.plans import pagerank_after
 from linkrank.session import checkpoint_in_place, shuffle_width
 
 ROWS_ZERO, DISTINCT_DROP = RankSemantics.ROWS_ZERO, RankSemantics.DISTINCT_DROP
@@ -382,3 +384,32 @@ def test_later_steps_join_links_of_reached_pages_alone(spark, monkeypatch, optio
         want = {p: r for p, r in plain_pagerank(LEAVES, 4, 0.85, semantics).items() if p is not None}
         assert as_dict(got) == pytest.approx(want, abs=1e-9)
         assert joined[0] >= 313 and set(joined[1:]) == {12}
+
+
+@pytest.mark.parametrize("semantics", RankSemantics)
+def test_several_step_counts_come_from_one_run(spark, semantics):
+    """The rank tables of a long run and of shorter ones, with copies and NULL ends."""
+    rows = [*LEAVES, *LEAVES[:50], ("s1", None)]
+    df = spark.createDataFrame(rows, "source STRING, target STRING")
+    tables = pagerank_after(df, (3, 1), semantics=semantics)
+    for steps, ranks in zip((1, 3), tables, strict=True):
+        want = {p: r for p, r in plain_pagerank(rows, steps, 0.85, semantics).items() if p is not None}
+        assert as_dict(ranks.where("page IS NOT NULL")) == pytest.approx(want, abs=1e-9)
+
+
+def test_links_are_moved_once_unless_a_hub_fills_a_partition(spark, monkeypatch):
+    """Rows go by their source alone; a hub, or a row repeated very often, is dealt by both ends first."""
+    monkeypatch.setattr(graph_module, "MIN_HOT_LINKS", 100)
+    even = spark.range(4000).selectExpr("concat('s', id % 900) as source", "concat('t', id % 70) as target")
+    hub = even.unionAll(spark.range(4000).selectExpr("'hub' as source", "concat('t', id) as target"))
+    copies = even.unionAll(spark.range(4000).selectExpr("'a' as source", "'b' as target"))
+    with shuffle_width(spark, 8):
+        for rows, lists, salted in ((even, True, False), (hub, False, True), (copies, False, False)):
+            graph = prepare_graph(rows, DegreeRule.ROWS, 8)
+            try:
+                assert (graph.lists is not None, graph.salted) == (lists, salted)
+                assert graph.links.select("source", "target").exceptAll(rows.distinct()).isEmpty()
+                assert graph.links.count() == rows.distinct().count()
+                assert graph.sources.agg(F.sum("degree")).first()[0] == rows.count()
+            finally:
+                graph.release()
