@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 # separator control characters included); source and target are tokens 0 and 2.
 TOKEN_GAP = r"(?U)[\s\x1c-\x1f]+"
 SOURCE_TOKEN, TARGET_TOKEN = 0, 2
+# A gap other than one blank.
+_ODD_GAP = r"(?U)[\s\x1c-\x1f&&[^ ]]|  "
 
 
 def leading_tokens(line: Column) -> Column:
     """The first three tokens and, as a fourth, whatever follows them."""
-    return F.split(line, TOKEN_GAP, TARGET_TOKEN + 2)
+    # Most lines have single blanks, and to split at these needs no pattern.
+    pieces = TARGET_TOKEN + 2
+    return F.when(F.rlike(line, F.lit(_ODD_GAP)), F.split(line, TOKEN_GAP, pieces)).otherwise(F.split(line, " ", pieces))
 
 
 def csv_rank_line(page: Column, rank: Column) -> Column:

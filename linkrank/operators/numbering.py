@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from linkrank.operators.graph import MAX_BROADCAST_BYTES, MIN_HOT_LINKS, broadcast_size
 from linkrank.session import default_width, discard_checkpoint, ensure_checkpoint_dir
 
+# Pages of a partition up to which names are looked up in a hash table rather than merged.
+MAX_HASHED_PAGES = 1_000_000
 PLACE_BITS = 33  # of Spark's increasing ids, for the place in a partition
 
 
@@ -47,7 +49,8 @@ class PageNumbers:
         large. Should their names be longer than the bytes that may be sent,
         their rows are dealt by the other end too.
         """
-        rows = self._placed.agg(F.sum("rows")).first()[0] or 0
+        totals = self._placed.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("pages")).first()
+        rows, self._hashed = totals.rows or 0, totals.pages <= MAX_HASHED_PAGES * self.width
         limit = max(MIN_HOT_LINKS, math.ceil(rows / 2 / self.width))
         hubs = self.pages.where(F.col("rows") > limit).select("page", "number")
         for end in ("source", "target"):
@@ -57,10 +60,11 @@ class PageNumbers:
     def _numbered(self, edges: DataFrame, end: str, hubs: DataFrame, limit: int) -> DataFrame:
         own = lambda table: table.select(F.col("page").alias(end), F.col("number").alias("own"))
         replaced = lambda table: table.withColumn(end, F.col("own")).drop("own")
+        looked_up = lambda table: table.hint("shuffle_hash") if self._hashed else table
         few = hubs.count()
         if not few:
-            return replaced(edges.join(own(self.pages), end, "left"))
-        rest = own(self.pages.where(F.col("rows") <= limit))
+            return replaced(edges.join(looked_up(own(self.pages)), end, "left"))
+        rest = looked_up(own(self.pages.where(F.col("rows") <= limit)))
         if broadcast_size(hubs, "page") <= MAX_BROADCAST_BYTES:
             sent = F.broadcast(own(hubs))
             others = edges.join(F.broadcast(own(hubs).drop("own")), end, "left_anti")

@@ -99,8 +99,10 @@ def _saved_lines(
     spark: SparkSession, sf_dir: str, sql: str = TRIPLE_LINES, compression: str = "none"
 ) -> str:
     path = scratch_path(spark, "triples.nt")
-    # A table in few files would be compressed by few tasks.
-    lines = _relation(spark, sf_dir, sql).repartition(default_width(spark))
+    lines = _relation(spark, sf_dir, sql)
+    if compression != "none":
+        # A table in few files would be compressed by few tasks.
+        lines = lines.repartition(default_width(spark))
     lines.write.text(path, compression=compression)
     return path
 
@@ -280,15 +282,22 @@ def iteration_counts_rows_zero(spark, sf_dir):
     return pagerank_progress(_relation(spark, sf_dir, ORDER_LINKS))
 
 
+def _file_ranks(links: DataFrame, **options) -> DataFrame:
+    # Parsed once: laying out the links reads them twice.
+    links = links.persist()
+    ranks = pagerank(links, **options)
+    links.unpersist()
+    return _rounded(ranks).select("page", "pagerank")
+
+
 def triple_file_rows_zero(spark, sf_dir):
     """From compressed triple lines to ranks, the way the rows-zero job does it."""
-    return _rounded(pagerank(scan_triples_bz2(spark, sf_dir))).select("page", "pagerank")
+    return _file_ranks(scan_triples_bz2(spark, sf_dir))
 
 
 def triple_file_distinct_drop(spark, sf_dir):
     """From triple lines to ranks, the way the distinct-drop job does it."""
-    ranks = pagerank(scan_triples_text(spark, sf_dir), semantics=DISTINCT_DROP)
-    return _rounded(ranks).select("page", "pagerank")
+    return _file_ranks(scan_triples_text(spark, sf_dir), semantics=DISTINCT_DROP)
 
 
 def annotated_ranks(spark, sf_dir):
