@@ -413,3 +413,16 @@ def test_links_are_moved_once_unless_a_hub_fills_a_partition(spark, monkeypatch)
                 assert graph.sources.agg(F.sum("degree")).first()[0] == rows.count()
             finally:
                 graph.release()
+
+
+def test_names_are_looked_up_in_a_hash_table(spark, monkeypatch):
+    """Links are not sorted by name to be numbered, unless a partition would have too many pages for a hash table."""
+    rows = spark.range(300).selectExpr("concat('p', id % 70) as source", "concat('t', id % 40) as target")
+    for most in (1_000_000, 0):
+        monkeypatch.setattr(numbering, "MAX_HASHED_PAGES", most)
+        numbers = PageNumbers(rows, 4)
+        links = numbers.links(rows)
+        if most:
+            assert "ShuffledHashJoin" in {name for path, _ in plan_paths(links) for name in path}
+        assert links.count() == 300 and links.distinct().count() == rows.distinct().count()
+        numbers.release()
