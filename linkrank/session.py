@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 WIDTH_SETTING = "spark.sql.shuffle.partitions"
 INITIAL_WIDTH_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+TASK_BYTES_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 # Plans as they are written; sorted rows are grouped as they lie, without a hash table.
 IN_PLACE = {"spark.sql.adaptive.enabled": "false", "spark.sql.execution.replaceHashWithSortAgg": "true"}
 _scratch: list[str] = []
@@ -108,6 +109,13 @@ def shuffle_width(spark: SparkSession, width: int):
     return _settings(spark, dict.fromkeys(names, width))
 
 
+def smaller_tasks(spark: SparkSession, most: int):
+    """Context in which adaptive execution aims at ``most`` shuffled bytes a task, if the session aims at more."""
+    size = spark._jsparkSession.sessionState().conf().getConfString(TASK_BYTES_SETTING, "64m")
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+    return _settings(spark, {TASK_BYTES_SETTING: min(now, most)})
+
+
 def checkpoint_in_place(table: DataFrame) -> DataFrame:
     """``table.checkpoint()`` that keeps the partitioning and order of the plan.
 

@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from linkrank.functions.lines import csv_rank_line, tuple_rank_line
 from linkrank.operators.topk import sorted_ranks
 from linkrank.operators.urls import annotate_ranks
+from linkrank.session import smaller_tasks
 from linkrank.sinks.layouts import CSV, TEXT, check_layout, default_mode
 
 # Files of a directory without adaptive execution, at most.
 SPLIT_FILES = 64
+# With it, shuffled bytes of a task that writes directories, at most: half a million to a million rows.
+SPLIT_BYTES = 6 << 20
 
 
 def write_ranks_csv(ranks: DataFrame, path: str, mode: str = "error") -> None:
@@ -29,8 +32,10 @@ def write_ranks_by_url(annotated: DataFrame, path: str, mode: str = "overwrite")
 
     The rows are brought together by directory first, so that a directory gets
     few files instead of one from every task. ``rebalance`` does this by size:
-    a domain that holds most of the pages is split into many files, and small
-    domains share a task. Without adaptive execution a hash of the page is part
+    a domain that holds most of the pages is split into many files, of
+    ``SPLIT_BYTES`` in the shuffle, and small domains share a task. Ranked pages
+    are compressed to a few bytes each there, so the session's size for a task would
+    give one of them many millions. Without adaptive execution a hash of the page is part
     of the key, so that a large domain is split then as well.
     """
     rows = annotated.select("page", "pagerank", "domain", "protocol")
@@ -40,7 +45,8 @@ def write_ranks_by_url(annotated: DataFrame, path: str, mode: str = "overwrite")
         part = F.pmod(F.xxhash64("page"), F.lit(SPLIT_FILES))
         dealt = rows.repartition("domain", "protocol", part)
     writer = dealt.write.partitionBy("domain", "protocol").mode(mode)
-    writer.csv(path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    with smaller_tasks(rows.sparkSession, SPLIT_BYTES):
+        writer.csv(path, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_ranks_text(ranks: DataFrame, path: str, mode: str = "error") -> None:
