@@ -29,6 +29,8 @@ from linkrank.session import checkpoint_in_place, default_width, discard_checkpo
 # A source is never called hot below this many links: that many rows are an
 # ordinary partition. Concerns the layout only; ranks do not depend on it.
 MIN_HOT_LINKS = 100_000
+# Rows of a partition at most, on average, unless the caller sets the number of partitions.
+MAX_ROWS = 1_000_000
 # Tables of hot sources are broadcast up to this size, measured on their rows.
 MAX_BROADCAST_BYTES = 8 << 20
 ROW_BYTES = 32  # besides the page itself
@@ -187,7 +189,8 @@ def prepare_graph(
 ) -> LinkGraph:
     """Lay out the links in ``edges`` (columns ``source, target``).
 
-    ``num_partitions`` defaults to the shuffle width of the session. If it is
+    ``num_partitions`` defaults to the shuffle width of the session, or more where
+    rows without hubs would be more than ``MAX_ROWS`` in a partition. If it is
     more than that, no more partitions are made than hold ``MIN_HOT_LINKS`` links
     each; ``width`` is what came of it. A source
     with more than ``hot_links`` links is spread over several partitions by a
@@ -221,7 +224,7 @@ def prepare_graph(
     # Other types have values that are equal and differ, such as 0.0 and -0.0.
     plain = {kind for _, kind in edges.dtypes} <= PLAIN_TYPES
     if keep and plain and not hot_links and not block_size:
-        even = _even_width(edges, width)
+        even = _even_width(edges, width, num_partitions is None)
         if even:
             return _dealt_by_source(edges, rule, even, durable)
 
@@ -266,15 +269,15 @@ def prepare_graph(
     return LinkGraph(laid_out, links, width, salted, (sources, links) if keep else (), durable)
 
 
-def _even_width(edges: DataFrame, width: int) -> int | None:
-    """The number of partitions, if a hash of the source deals the rows evenly."""
+def _even_width(edges: DataFrame, width: int, wider: bool) -> int | None:
+    """The number of partitions, if a hash of the source deals the rows evenly; more than ``width`` if ``wider`` and needed."""
     least = default_width(edges.sparkSession)
     while True:
         # The hash is that of ``repartition``, so this counts its partitions.
         dealt = edges.groupBy(F.pmod(F.hash("source"), F.lit(width)).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
         sizes = dealt.agg(F.sum("rows").alias("rows"), F.max("rows").alias("largest")).first()
         rows = sizes.rows or 0
-        fitting = min(width, max(least, math.ceil(rows / MIN_HOT_LINKS)))
+        fitting = max(width, math.ceil(rows / MAX_ROWS)) if wider else min(width, max(least, math.ceil(rows / MIN_HOT_LINKS)))
         if fitting == width:
             return width if (sizes.largest or 0) <= max(MIN_HOT_LINKS, EVEN_SHARE * rows / width) else None
         width = fitting

@@ -426,3 +426,15 @@ def test_names_are_looked_up_in_a_hash_table(spark, monkeypatch):
             assert "ShuffledHashJoin" in {name for path, _ in plan_paths(links) for name in path}
         assert links.count() == 300 and links.distinct().count() == rows.distinct().count()
         numbers.release()
+
+
+def test_large_inputs_get_more_partitions(spark, monkeypatch):
+    """Beyond ``MAX_ROWS`` rows a partition the width of the session is too small, unless the caller sets one."""
+    rows = spark.range(2000).selectExpr("concat('p', id % 700) as source", "concat('p', id % 90) as target")
+    plain = {r.page: round(r.pagerank, 9) for r in pagerank(rows, 3).collect()}
+    monkeypatch.setattr(graph_module, "MAX_ROWS", 100)
+    for wanted, width in ((None, 20), (3, 3)):
+        graph = prepare_graph(rows, DegreeRule.ROWS, wanted)
+        assert graph.width == width
+        graph.release()
+    assert {r.page: round(r.pagerank, 9) for r in pagerank(rows, 3).collect()} == plain
