@@ -38,6 +38,7 @@ MIN_PRECISION, MIN_RATIO = 0.7, 25.0
 PREFIXES = (4, 5, 6)
 SHARE = 1 << 20
 THRESHOLD = 0.3
+BLOCK = 1024
 EM_ROUNDS, LABEL_TRUST, SMOOTHING = 8, 0.9, 1.0
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -161,12 +162,16 @@ def label_model(votes: np.ndarray, labels: np.ndarray, base_rate: float) -> np.n
     discount = np.ones(votes.shape[1])
     for _ in range(EM_ROUNDS):
         toxic, clean = posterior[fit], 1 - posterior[fit]
-        chosen = votes[fit]
+        chosen = votes if fit.all() else votes[fit]
         fire_toxic = (toxic @ chosen + SMOOTHING * 0.1) / (toxic.sum() + SMOOTHING)
         fire_clean = (clean @ chosen + SMOOTHING * 0.01) / (clean.sum() + SMOOTHING)
-        residual = chosen - np.outer(toxic, fire_toxic) - np.outer(clean, fire_clean)
+        residual = np.empty(chosen.shape)  # by blocks: the driver holds few tables of this size at once
+        for i in range(0, len(chosen), BLOCK):
+            rows = slice(i, i + BLOCK)
+            residual[rows] = chosen[rows] - np.outer(toxic[rows], fire_toxic) - np.outer(clean[rows], fire_clean)
         deviation = residual.std(axis=0)
         correlation = (residual.T @ residual) / len(residual) / np.maximum(np.outer(deviation, deviation), 1e-9)
+        del residual
         np.fill_diagonal(correlation, 0)
         discount = 1 + np.where(correlation > 0.1, correlation, 0).sum(axis=1)
         fired = np.log(fire_toxic / fire_clean) / discount
@@ -237,6 +242,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     table.sort(key=lambda r: (r["toxic"], r["row"]))
     label = np.array([r["toxic"] for r in table])
     features = np.stack([np.frombuffer(r["row"], "<f4") for r in table]).astype(float)
+    del table
     posterior = label_model(features[:, :-3], label, base_rate)
     # The classes were drawn at different rates; weights bring the base rate back.
     share = {1: sizes[1] / drawn[1], 0: sizes[0] / drawn[0], -1: sizes[1] / drawn[1]}

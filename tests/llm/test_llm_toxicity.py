@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -88,3 +89,16 @@ def test_voters_outvote_a_wrong_label():
     assert strong.any() and (got[strong] > 0.5).all()
     known = labels >= 0
     assert np.mean((got > 0.5)[known] == truth[known]) > np.mean(labels[known] == truth[known])
+
+
+def test_the_label_model_holds_few_copies_of_the_votes():
+    """It runs on the driver; the residuals of all rows are made by blocks."""
+    drawn = np.random.default_rng(3)
+    votes = (drawn.random((6000, 200)) < 0.1).astype(float)
+    labels = drawn.integers(-1, 2, 6000)
+    tracemalloc.start()
+    try:
+        toxicity.label_model(votes, labels, 0.1)
+        assert tracemalloc.get_traced_memory()[1] < 4 * votes.nbytes
+    finally:
+        tracemalloc.stop()
