@@ -9,7 +9,7 @@ A prepared graph is two tables:
   ``salt`` and the list ``neighbours`` of the links of a block. Without hubs
   they are stored as ``lists``, one row per source, and come out of it.
 
-Kept in memory or on disk, or in the reliable folder, both are hash-partitioned and sorted by page with
+Kept in memory or on disk (lists and blocks on disk alone), or in the reliable folder, both are hash-partitioned and sorted by page with
 the same number of partitions. A rank table that comes out of an aggregation
 by page has that partitioning too, so a ranking step moves only the summed
 contributions; the links, by far the largest table, stay where they are.
@@ -21,10 +21,18 @@ import math
 from dataclasses import dataclass, replace
 from enum import Enum
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.session import checkpoint_in_place, default_width, discard_checkpoint, ensure_checkpoint_dir, keep_in_place
+from linkrank.session import (
+    checkpoint_in_place,
+    default_width,
+    discard_checkpoint,
+    ensure_checkpoint_dir,
+    keep_in_place,
+    small_batches,
+)
 
 # A source is never called hot below this many links: that many rows are an
 # ordinary partition. Concerns the layout only; ranks do not depend on it.
@@ -38,6 +46,10 @@ ROW_BYTES = 32  # besides the page itself
 LIVE_SHARE = 0.3
 # Rows are dealt by their source alone if no partition gets more than this many times the mean.
 EVEN_SHARE = 2
+# Where lists of links are kept, in batches of so many rows. A batch of Spark's default, 10,000 rows,
+# is an array of megabytes, which takes up to twice that in a heap of small regions, unseen by the
+# accounts by which Spark moves stored blocks to disk. Lists are read a few times in a run.
+LISTS, LIST_ROWS = StorageLevel.DISK_ONLY, 1_000
 PLAIN_TYPES = {"string", "bigint", "int", "smallint", "tinyint"}
 HASH_DIGITS = 15  # of the md5 that puts a target into a block; 60 bits fit a BIGINT
 
@@ -146,7 +158,7 @@ class LinkGraph:
 
         ``reached`` holds ``page`` in the layout of ``sources``, so nothing is moved
         but the keys of salted links. The part is a checkpoint, so nothing leads back to
-        the links of the graph, which are given up; if not ``durable`` it is also kept in memory.
+        the links of the graph, which are given up; if not ``durable`` it is also kept in memory, lists on disk.
         """
         pages = reached.select("page").hint("merge")
         sources = self.sources.join(pages, "page", "left_semi")
@@ -159,7 +171,8 @@ class LinkGraph:
         _give_up(self.stored[1:], self.durable)
         written = (sources, links)
         if not self.durable:
-            sources, links = sources.persist(), links.persist()
+            of_lists = self.lists is not None or "neighbours" in links.columns
+            sources, links = sources.persist(), links.persist(LISTS) if of_lists else links.persist()
         part = replace(self, sources=sources, links=links, stored=(sources, links), written=written, unreached=unreached)
         return part if self.lists is None else replace(part, links=_listed(links), lists=links)
 
@@ -198,7 +211,7 @@ def prepare_graph(
     beyond it, on disk (for many passes), and hot links default to the mean
     partition size, 100,000 at least. Without it they stay plain query plans
     (for a single pass): no job runs here, and links are only spread if
-    ``hot_links`` is given. Stored blocks lost with an executor are computed
+    ``hot_links`` is given. Lists and adjacency blocks are kept on disk alone. Stored blocks lost with an executor are computed
     again from the input; ``durable`` tables are written to the checkpoint folder
     once instead, keep their layout, and outlive any executor. ``block_size``
     (with ``keep``) makes adjacency blocks of the links: a row holds so many
@@ -263,8 +276,10 @@ def prepare_graph(
         if block_size:
             # A struct, as lists leave out NULL targets.
             links = links.groupBy(*keys).agg(F.collect_list(F.struct("target")).alias("neighbours"))
-        links = keep_table(links.sortWithinPartitions(*keys))
-        links.count()
+        links = links.sortWithinPartitions(*keys)
+        with small_batches(edges.sparkSession, LIST_ROWS):
+            links = links.persist(LISTS) if block_size and not durable else keep_table(links)
+            links.count()
         pairs.unpersist()
     return LinkGraph(laid_out, links, width, salted, (sources, links) if keep else (), durable)
 
@@ -289,17 +304,19 @@ def _listed(lists: DataFrame) -> DataFrame:
 
 def _dealt_by_source(edges: DataFrame, rule: DegreeRule, width: int, durable: bool) -> LinkGraph:
     """The kept graph of rows without hubs: moved and sorted once, and grouped as they lie."""
-    keep_table = checkpoint_in_place if durable else keep_in_place
     rows = edges.repartition(width, "source").sortWithinPartitions("source")
     # Sets leave out NULL.
     targets, null = F.collect_set("target"), F.lit(None).cast(edges.schema["target"].dataType)
     targets = F.when(F.count_if(F.col("target").isNull()) > 0, F.array_append(targets, null)).otherwise(targets)
     grouped = rows.groupBy("source").agg(targets.alias("targets"), F.count(F.lit(1)).alias("rows"))
-    stored = keep_table(grouped.sortWithinPartitions("source"))
+    grouped = grouped.sortWithinPartitions("source")
     count = F.size("targets").cast("bigint")
     degree = F.col("rows") if rule is DegreeRule.ROWS else count
-    sources = keep_table(stored.select(F.col("source").alias("page"), degree.alias("degree"), count.alias("links")))
-    sources.count()
+    with small_batches(edges.sparkSession, LIST_ROWS):
+        stored = checkpoint_in_place(grouped) if durable else keep_in_place(grouped, LISTS)
+        sources = stored.select(F.col("source").alias("page"), degree.alias("degree"), count.alias("links"))
+        sources = checkpoint_in_place(sources) if durable else keep_in_place(sources)
+        sources.count()
     lists = stored.select("source", "targets").where("source IS NOT NULL")
     laid_out = sources.withColumn("salts", F.lit(1).cast("bigint"))
     return LinkGraph(laid_out, _listed(lists), width, False, (sources, stored), durable, lists=lists)

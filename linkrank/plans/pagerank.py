@@ -20,7 +20,7 @@ from enum import Enum
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkrank.operators.graph import DegreeRule, LinkGraph, prepare_graph
+from linkrank.operators.graph import LIST_ROWS, DegreeRule, LinkGraph, prepare_graph
 from linkrank.operators.numbering import PageNumbers
 from linkrank.operators.progress import CountedSteps
 from linkrank.operators.steps import complete_ranks, page_shares, ranks_from_shares
@@ -29,6 +29,7 @@ from linkrank.session import (
     discard_checkpoint,
     ensure_checkpoint_dir,
     shuffle_width,
+    small_batches,
 )
 
 
@@ -132,7 +133,7 @@ def pagerank_after(
     spark = edges.sparkSession
     keeps = semantics.keeps_unreached
     graph = prepare_graph(edges, semantics.degree_rule, num_partitions, hot_links, block_size=block_size, durable=durable)
-    with shuffle_width(spark, graph.width):
+    with shuffle_width(spark, graph.width), small_batches(spark, LIST_ROWS):
         old: DataFrame | None = None
         pages: int | None = None
         counted = CountedSteps(on_step) if on_step and not keeps else None

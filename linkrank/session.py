@@ -7,11 +7,13 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 WIDTH_SETTING = "spark.sql.shuffle.partitions"
 INITIAL_WIDTH_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 TASK_BYTES_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+BATCH_SETTING = "spark.sql.inMemoryColumnarStorage.batchSize"
 # Plans as they are written; sorted rows are grouped as they lie, without a hash table.
 IN_PLACE = {"spark.sql.adaptive.enabled": "false", "spark.sql.execution.replaceHashWithSortAgg": "true"}
 _scratch: list[str] = []
@@ -126,10 +128,15 @@ def checkpoint_in_place(table: DataFrame) -> DataFrame:
         return table.checkpoint()
 
 
-def keep_in_place(table: DataFrame) -> DataFrame:
+def keep_in_place(table: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK_DESER) -> DataFrame:
     """``table.persist()`` that keeps the partitioning and order of the plan."""
     with _settings(table.sparkSession, IN_PLACE):
-        return table.persist()
+        return table.persist(level)
+
+
+def small_batches(spark: SparkSession, rows: int):
+    """Context in which tables are stored in batches of ``rows`` rows, from ``persist()`` to the first job on them."""
+    return _settings(spark, {BATCH_SETTING: rows})
 
 
 def fit_width(table: DataFrame, wanted: int | None = None) -> int:

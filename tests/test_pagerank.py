@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from linkrank import RankSemantics, pagerank, pagerank_progress
 from linkrank.functions import md5_bucket
 from linkrank.operators import graph as graph_module
+from linkrank.operators.graph import LIST_ROWS, LISTS
 from linkrank.operators import DegreeRule, LinkGraph, PageNumbers, adjacency, numbering, partition_sizes, place_by_bucket, prepare_graph, rank_step
 from linkrank.operators.progress import CountedSteps
 from linkrank.operators.steps import page_shares, ranks_from_shares
 from linkrank.plans import pagerank_after
-from linkrank.session import checkpoint_in_place, shuffle_width
+from linkrank.session import checkpoint_in_place, shuffle_width, small_batches
 
 ROWS_ZERO, DISTINCT_DROP = RankSemantics.ROWS_ZERO, RankSemantics.DISTINCT_DROP
 TOY = [("A", "B"), ("A", "C"), ("B", "C"), ("C", "A"), ("D", "C"), ("A", "B"), ("C", "E"), ("F", "G"), ("G", "A")]
@@ -438,3 +439,22 @@ def test_large_inputs_get_more_partitions(spark, monkeypatch):
         assert graph.width == width
         graph.release()
     assert {r.page: round(r.pagerank, 9) for r in pagerank(rows, 3).collect()} == plain
+
+
+@pytest.mark.parametrize("options", [{}, {"block_size": 50}])
+def test_lists_are_stored_on_disk_in_small_batches(spark, options):
+    """Stored lists of links take no memory, in the whole graph and in its part; a batch has few rows."""
+    rows = spark.range(12_000).selectExpr("concat('p', id % 6000) as source", "concat('p', id % 90) as target")
+    graph = prepare_graph(rows, DegreeRule.ROWS, 2, **options)
+    stored = graph.stored[1]
+    with shuffle_width(spark, graph.width), small_batches(spark, LIST_ROWS):
+        try:
+            assert stored.storageLevel == LISTS and not LISTS.useMemory
+            assert graph.links.count() >= 6000
+            batches = stored._jdf.queryExecution().withCachedData().cacheBuilder().cachedColumnBuffers().count()
+            assert batches >= 6000 / LIST_ROWS
+            part = graph.leaving(rows.select(F.col("target").alias("page")).distinct(), 0.15)
+            assert part.stored[1].storageLevel == LISTS
+            part.release()
+        finally:
+            graph.release()
