@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkrank.session import discard_checkpoint, ensure_checkpoint_dir, remove, scratch_path
+from linkrank.session import collect_garbage, discard_checkpoint, ensure_checkpoint_dir, remove, scratch_path
 
 # A word is a run of anything but these six white-space characters.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -73,7 +73,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges, so that only edges between different roots are left. Nodes with very
     many edges are only ever the key of partial aggregations or of joins that
     Spark may split. Tables of a round go to the checkpoint folder and are
-    removed once the next round has its own.
+    removed once the next round has its own; the driver collects its garbage then,
+    as a round is a dozen jobs.
     """
     shelf = Shelf()
     ordered = lambda a, b: [F.greatest(a, b).alias("high"), F.least(a, b).alias("low")]
@@ -105,6 +106,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         labels = shelf.stored(_relabel(labels, parent, "component"))
         for table in old:
             shelf.discard(table)
+        collect_garbage(edges.sparkSession)
     return labels
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from linkrank.llm.common import Shelf, connected_components, stored
 from linkrank.llm.word_hashes import hash_words, mixed, shingle_set, signed
+from linkrank.session import collect_garbage, smaller_broadcasts
 
 SHINGLE = 5
 BANDS, ROWS = 40, 6
@@ -41,6 +42,8 @@ TIE, MAY_LINK = 0.5, 0.6  # estimates below are cut; a link's is about 0.85 with
 LEAST_PERCENT = 80  # what bands and cuts are made for; below, links would be cut unseen
 BLOCK = 512
 BIN_ROWS = 256
+# A table that joins broadcast passes the driver and stays there until its garbage is collected; a run has dozens.
+BROADCAST_BYTES = 256 << 10
 COLUMNS = 4096
 _RANDOM = np.random.default_rng(8)
 FACTORS = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -292,6 +295,11 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
     """
     if percent < LEAST_PERCENT:
         raise ValueError(f"percent is {percent}; bands and sketches are made for {LEAST_PERCENT} or more")
+    with smaller_broadcasts(docs.sparkSession, BROADCAST_BYTES):
+        return _components(docs, percent)
+
+
+def _components(docs: DataFrame, percent: int) -> DataFrame:
     shelf = Shelf()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text")
     features = shelf.stored(rows.mapInPandas(_features, FEATURES))
@@ -307,10 +315,13 @@ def components(docs: DataFrame, percent: int = 85) -> DataFrame:
         )
     )
     ties = _ties(shelf, classes)
+    collect_garbage(docs.sparkSession)
     pairs = _links(shelf, _pivots(shelf, classes, ties), classes, rows, percent)
+    collect_garbage(docs.sparkSession)
     linked = shelf.taken(connected_components(pairs))
     groups = shelf.taken(connected_components(ties.select("a", "b")))
     across = _across_parts(shelf, classes, groups, linked)
+    collect_garbage(docs.sparkSession)
     if not across.isEmpty():
         known = linked.select(F.col("node").alias("a"), F.col("component").alias("b"))
         more = _links(shelf, across, classes, rows, percent)

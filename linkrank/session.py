@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 WIDTH_SETTING = "spark.sql.shuffle.partitions"
 INITIAL_WIDTH_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 TASK_BYTES_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+BROADCAST_SETTING = "spark.sql.autoBroadcastJoinThreshold"
+ADAPTIVE_BROADCAST_SETTING = "spark.sql.adaptive.autoBroadcastJoinThreshold"
 BATCH_SETTING = "spark.sql.inMemoryColumnarStorage.batchSize"
 # Plans as they are written; sorted rows are grouped as they lie, without a hash table.
 IN_PLACE = {"spark.sql.adaptive.enabled": "false", "spark.sql.execution.replaceHashWithSortAgg": "true"}
@@ -68,6 +71,15 @@ def discard_checkpoint(table: DataFrame) -> None:
         remove(table.sparkSession, kept.get())
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Let go of what finished jobs have left with the driver: plans and broadcast tables in memory, shuffles on disk.
+
+    Spark removes them once the driver's garbage is collected, which may be long after.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def require_absent(spark: SparkSession, path: str) -> None:
     """Raise ``FileExistsError`` if there is something at ``path``."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -111,11 +123,24 @@ def shuffle_width(spark: SparkSession, width: int):
     return _settings(spark, dict.fromkeys(names, width))
 
 
+def _bytes(spark: SparkSession, name: str, default: str) -> int:
+    size = spark._jsparkSession.sessionState().conf().getConfString(name, default)
+    if size.startswith("-"):  # off
+        return -1
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
 def smaller_tasks(spark: SparkSession, most: int):
     """Context in which adaptive execution aims at ``most`` shuffled bytes a task, if the session aims at more."""
-    size = spark._jsparkSession.sessionState().conf().getConfString(TASK_BYTES_SETTING, "64m")
-    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
-    return _settings(spark, {TASK_BYTES_SETTING: min(now, most)})
+    return _settings(spark, {TASK_BYTES_SETTING: min(_bytes(spark, TASK_BYTES_SETTING, "64m"), most)})
+
+
+def smaller_broadcasts(spark: SparkSession, most: int):
+    """Context in which tables of more than ``most`` bytes are not broadcast in joins unless a hint asks for it."""
+    names = [BROADCAST_SETTING]
+    if spark.conf.get(ADAPTIVE_BROADCAST_SETTING, None):
+        names.append(ADAPTIVE_BROADCAST_SETTING)
+    return _settings(spark, {name: min(_bytes(spark, name, "10m"), most) for name in names})
 
 
 def checkpoint_in_place(table: DataFrame) -> DataFrame:

@@ -2,8 +2,9 @@
 
 import brute
 import corpus_pipeline
-from linkrank.llm import bm25_wand
+from linkrank.llm import bm25_wand, common, odd_sketch
 from linkrank.llm.common import stored
+from linkrank.session import BROADCAST_SETTING
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -51,3 +52,28 @@ def test_odd_documents_pass_through(spark, odd_docs, no_docs):
             kept = rows
         if given is no_docs:
             assert not rows
+
+
+def test_near_duplicates_broadcast_no_large_table(spark, monkeypatch):
+    """No job of the stage joins by a broadcast that a session allows for but the driver could not hold dozens of."""
+    allowed, collected = [], []
+
+    def noted(frame):
+        allowed.append(int(spark.conf.get(BROADCAST_SETTING)))
+        return stored(frame)
+
+    for module in (common, odd_sketch):
+        monkeypatch.setattr(module, "collect_garbage", lambda s: collected.append(s))
+    monkeypatch.setattr(common, "stored", noted)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    before = spark.conf.get(BROADCAST_SETTING)
+    try:
+        for given, most in (("10m", 256 << 10), ("1000", 1000), ("-1", -1)):
+            spark.conf.set(BROADCAST_SETTING, given)
+            allowed.clear()
+            collected.clear()
+            corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+            assert set(allowed) == {most} and len(allowed) > 5 and len(collected) >= 3
+            assert spark.conf.get(BROADCAST_SETTING) == given
+    finally:
+        spark.conf.set(BROADCAST_SETTING, before)
